@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from souk.catalog import CHURN_CUTOFF
 
-from . import reports
+from . import etl, reports
 
 ORACLE: dict[str, str] = {
     "q_monthly_revenue_trend": reports.Q_MONTHLY_REVENUE_TREND,
@@ -17,4 +17,19 @@ ORACLE: dict[str, str] = {
     "q_repeat_rate": reports.Q_REPEAT_RATE,
     "q_churn": reports.q_churn(CHURN_CUTOFF),
     "q_delivery_by_city": reports.Q_DELIVERY_BY_CITY,
+    "etl_stage": etl.ETL_STAGE,
+    "etl_validate_message": etl.ETL_VALIDATE_MESSAGE,
+    "etl_validate_flags": etl.ETL_VALIDATE_FLAGS,
+    "etl_error_rows": etl.ETL_ERROR_ROWS,
+    "etl_clean_rows": etl.ETL_CLEAN_ROWS,
+    "etl_error_flags_rows": etl.ETL_ERROR_FLAGS_ROWS,
+    "etl_clean_flags_rows": etl.ETL_CLEAN_FLAGS_ROWS,
+    "etl_rule_counts": etl.ETL_RULE_COUNTS,
+    "etl_audit_row": etl.ETL_AUDIT_ROW,
+    "dq_single_rule": etl.DQ_SINGLE_RULE,
+    "dq_strict_rules": etl.DQ_STRICT_RULES,
+    "etl_customers": etl.ETL_CUSTOMERS,
+    "etl_orders": etl.ETL_ORDERS,
+    "etl_end_to_end": etl.ETL_CLEAN_ROWS,
+    "profile_head": etl.PROFILE_HEAD,
 }

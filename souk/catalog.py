@@ -10,7 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import customers, logistics, revenue
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from .plans import customers, logistics, pipeline, quality, revenue
+from .session import ensure_checkpoint_dir
 from .sources.proxies import Retail
 
 # Parameter values of the registered report queries. The reference's own
@@ -18,6 +24,8 @@ from .sources.proxies import Retail
 # size makes a default meaningless, the registered value is stated here.
 CHURN_CUTOFF = "2001-01-01"      # test data spans 1995-2001 (reference: 2017-07-01)
 
+LOAD_TS = dt.datetime(2024, 1, 1)  # fixed load time so results are repeatable
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -73,6 +81,56 @@ def _q_delivery(spark, root):
     return logistics.delivery_by_city(r.orders, r.customers)
 
 
+def _staged(r: Retail):
+    return pipeline.stage(r.raw_products, quality.PRODUCTS, 1, LOAD_TS)
+
+
+def _validated(r: Retail):
+    return pipeline.validate_staged(_staged(r), quality.PRODUCTS)
+
+
+def _flagged(r: Retail):
+    return pipeline.validate_raw(r.raw_products, quality.PRODUCTS)
+
+
+def _etl(build):
+    def run(spark, root):
+        return build(_r(spark, root))
+    return run
+
+
+def _rule_counts(r: Retail):
+    spec = quality.PRODUCTS
+    flags = pipeline.flag_counts(_flagged(r), spec)
+    msgs = pipeline.message_rule_counts(_validated(r), spec)
+    return (flags.select(F.lit("flags").alias("profile"), "rule", "n_rows")
+            .unionByName(msgs.select(F.lit("message").alias("profile"), "rule",
+                                     "n_rows")
+                         .filter(F.col("rule").isin("total", "valid", "rejected")
+                                 | (F.col("n_rows") > 0))))
+
+
+def _entity(spec, frame):
+    def build(r: Retail):
+        staged = pipeline.stage(getattr(r, frame), spec, 1, LOAD_TS)
+        return pipeline.validate_staged(staged, spec)
+    return build
+
+
+def _end_to_end(spark, root):
+    """Run the whole pipeline into a fresh zone folder under the session's
+    checkpoint folder and read the published clean batch back."""
+    zones = f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-zones/{uuid.uuid4().hex}"
+    r = _r(spark, root)
+    pipeline.run_pipeline(spark, r.raw_products, quality.PRODUCTS, zones,
+                          load_ts=LOAD_TS)
+    return pipeline.read_published(spark, zones, "clean", "products")
+
+
+def _profile_head(spark, root):
+    return _r(spark, root).orders.orderBy("order_id").limit(5)
+
+
 QUERIES: dict[str, Query] = {
     "q_monthly_revenue_trend": _q_monthly,
     "q_category_revenue": _q_category,
@@ -84,4 +142,21 @@ QUERIES: dict[str, Query] = {
     "q_repeat_rate": _q_repeat_rate,
     "q_churn": _q_churn,
     "q_delivery_by_city": _q_delivery,
+    # load pipeline
+    "etl_stage": _etl(_staged),
+    "etl_validate_message": _etl(_validated),
+    "etl_validate_flags": _etl(_flagged),
+    "etl_error_rows": _etl(lambda r: pipeline.error_rows(_validated(r), quality.PRODUCTS)),
+    "etl_clean_rows": _etl(lambda r: pipeline.clean_rows(_validated(r), quality.PRODUCTS)),
+    "etl_error_flags_rows": _etl(
+        lambda r: pipeline.error_flag_rows(_flagged(r), quality.PRODUCTS)),
+    "etl_clean_flags_rows": _etl(lambda r: pipeline.transform(_flagged(r), quality.PRODUCTS)),
+    "etl_rule_counts": _etl(_rule_counts),
+    "etl_audit_row": _etl(lambda r: pipeline.audit_summary(_validated(r), "products")),
+    "dq_single_rule": _etl(lambda r: quality.single_rule_quarantine(_staged(r))),
+    "dq_strict_rules": _etl(lambda r: quality.strict_validate(_staged(r), r.category_name)),
+    "etl_customers": _etl(_entity(quality.CUSTOMERS, "customers")),
+    "etl_orders": _etl(_entity(quality.ORDERS, "orders")),
+    "etl_end_to_end": _end_to_end,
+    "profile_head": _profile_head,
 }

@@ -54,6 +54,27 @@ def rows_of(cols, rows):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT", "smallint": "SMALLINT",
+    "tinyint": "TINYINT",
+}
+
+
+def type_mismatches(schema, con, sql):
+    desc = con.execute(f"DESCRIBE {sql}").fetchall()
+    dtypes = {d[0]: d[1] for d in desc}
+    bad = []
+    for f in schema.fields:
+        st = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(st, st.upper())
+        got = dtypes.get(f.name)
+        if got is not None and got != want and not (st.startswith("array") and got.endswith("[]")):
+            bad.append((f.name, st, got))
+    return bad
+
+
 def compare(spark, con, key, fn, sql, sf_dir):
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -65,11 +86,14 @@ def compare(spark, con, key, fn, sql, sf_dir):
     drows = res.fetchall()
     ok_cols = sorted(scols) == sorted(dcols)
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
-    ok = ok_cols and a == b
+    tbad = type_mismatches(df.schema, con, sql) if ok_cols else []
+    ok = ok_cols and a == b and not tbad
     msg = f"{key:32s} spark={len(srows):6d} duck={len(drows):6d} " \
           f"{'OK ' if ok else 'BAD'} {t1 - t0:5.2f}s"
     if not ok_cols:
         msg += f"\n   cols spark={scols} duck={dcols}"
+    elif tbad:
+        msg += f"\n   types {tbad}"
     elif not ok:
         diff_a = [r for r in a if r not in b][:3]
         diff_b = [r for r in b if r not in a][:3]
