@@ -33,3 +33,7 @@ ORACLE: dict[str, str] = {
     "etl_end_to_end": etl.ETL_CLEAN_ROWS,
     "profile_head": etl.PROFILE_HEAD,
 }
+
+from .insights import INSIGHTS  # noqa: E402
+
+ORACLE.update(INSIGHTS)

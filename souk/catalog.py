@@ -160,3 +160,68 @@ QUERIES: dict[str, Query] = {
     "etl_end_to_end": _end_to_end,
     "profile_head": _profile_head,
 }
+
+
+# ------------------------------------------------- extensions (§2.13) ----
+from .plans.insights import experience as X  # noqa: E402
+from .plans.insights import operations as OP  # noqa: E402
+from .plans.insights import segments as SG  # noqa: E402
+
+CHURN_CUTOFFS = ("1997-01-01", "1999-01-01", "2001-01-01")
+
+
+def _x(build):
+    def run(spark, root):
+        return build(_r(spark, root))
+    return run
+
+
+def _incremental(r: Retail):
+    published = pipeline.clean_rows(_validated(r), quality.PRODUCTS)
+    new = pipeline.stage(r.raw_products, quality.PRODUCTS, 2, LOAD_TS)
+    return pipeline.incremental_rows(new, published, quality.PRODUCTS.key)
+
+
+QUERIES.update({
+    "q_churn_over_time": _x(lambda r: customers.churn_over_time(
+        r.orders, r.customers, list(CHURN_CUTOFFS))),
+    "x_revenue_per_seller": _x(lambda r: OP.revenue_per_seller(r.order_items)),
+    "x_cancellation_impact": _x(lambda r: OP.cancellation_impact(r.orders, r.order_items)),
+    "x_state_revenue_corr": _x(lambda r: OP.state_revenue_corr(
+        r.orders, r.order_items, r.customers)),
+    "x_delivery_actual_vs_est": _x(lambda r: OP.delivery_actual_vs_estimate(r.orders)),
+    "x_slowest_sellers": _x(lambda r: OP.slowest_sellers(r.orders, r.order_items, r.sellers)),
+    "x_delay_vs_review": _x(lambda r: X.delay_vs_review(r.orders, r.order_reviews)),
+    "x_weekend_holiday_delay": _x(lambda r: X.weekend_holiday_delay(r.orders)),
+    "x_ship_lag": _x(lambda r: OP.ship_lag(r.orders, r.order_items)),
+    "x_category_cancel_rate": _x(lambda r: OP.category_cancel_rate(
+        r.orders, r.order_items, r.products)),
+    "x_category_5v1": _x(lambda r: X.category_5v1(r.order_items, r.products, r.order_reviews)),
+    "x_category_avg_score": _x(lambda r: X.category_avg_score(
+        r.order_items, r.products, r.order_reviews)),
+    "x_basket_pairs": _x(lambda r: SG.basket_pairs(r.order_items, r.products)),
+    "x_holiday_products": _x(lambda r: OP.holiday_products(r.orders, r.order_items)),
+    "x_seller_rating": _x(lambda r: X.seller_rating(r.order_items, r.order_reviews)),
+    "x_poor_sellers": _x(lambda r: X.poor_sellers(r.orders, r.order_items, r.order_reviews)),
+    "x_score_by_delay": _x(lambda r: X.score_by_delay(r.orders, r.order_reviews)),
+    "x_price_vs_score": _x(lambda r: X.price_vs_score(r.order_items, r.order_reviews)),
+    "x_top_sellers": _x(lambda r: OP.top_sellers(r.order_items)),
+    "x_seller_retention": _x(lambda r: OP.seller_retention(r.orders, r.order_items)),
+    "x_seller_ship_time": _x(lambda r: OP.seller_ship_time(r.orders, r.order_items)),
+    "x_region_performance": _x(lambda r: OP.region_performance(
+        r.orders, r.order_items, r.sellers)),
+    "x_payment_mix": _x(lambda r: X.payment_mix(r.order_payments)),
+    "x_payment_vs_value": _x(lambda r: X.payment_vs_value(r.order_payments)),
+    "x_installments_by_category": _x(lambda r: X.installments_by_category(
+        r.order_items, r.products, r.order_payments)),
+    "x_installments_by_value": _x(lambda r: X.installments_by_value(r.order_payments)),
+    "x_cohort": _x(lambda r: SG.cohorts(r.orders, r.customers)),
+    "x_rfm": _x(lambda r: SG.rfm_segments(SG.rfm_scores(r.orders, r.order_items,
+                                                         r.customers))),
+    "x_forecast": _x(lambda r: SG.revenue_forecast(r.orders, r.order_items)),
+    "x_satisfaction_index": _x(lambda r: SG.satisfaction_index(
+        r.orders, r.customers, r.order_reviews)),
+    "x_recommend": _x(lambda r: SG.recommend(r.order_items, r.products)),
+    "x_price_elasticity": _x(lambda r: SG.price_elasticity(r.order_items, r.products)),
+    "x_incremental_load": _x(_incremental),
+})
