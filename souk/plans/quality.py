@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
 from ..operators.rules import (Rule, duplicate, is_null, negative, not_positive,
                                validate_message)
 
@@ -149,7 +148,7 @@ def strict_validate(staged: DataFrame, category_name: DataFrame,
     names = category_name.select(
         F.col("product_category_name").alias("_src"),
         F.col("product_category_name_english").alias("_english"))
-    joined = staged.join(bounded_broadcast(names),
+    joined = staged.join(names,
                          staged.product_category_name == F.col("_src"), "left")
     checked = validate_message(joined, STRICT_RULES)
     english = (F.when(F.col("product_category_name").isNull(), F.lit(undefined))

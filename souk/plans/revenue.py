@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import from_cents, money_sum, month_label, pct
-from ..operators.joins import bounded_broadcast
 
 
 def revenue_per_order(order_items: DataFrame) -> DataFrame:
@@ -63,7 +62,7 @@ def category_revenue(order_items: DataFrame, products: DataFrame,
 
     One scan of ``order_items``: the grand total is taken from the per-category
     aggregate, including items whose product is unknown (a left join marks
-    them), instead of a second pass over the items.
+    them).
     """
     p = products.select("product_id", "product_category_name",
                         F.lit(True).alias("_known"))
@@ -72,21 +71,27 @@ def category_revenue(order_items: DataFrame, products: DataFrame,
                .groupBy("_known", "product_category_name")
                .agg(money_sum("price").alias("cents"),
                     F.count_distinct("order_id").alias("order_count")))
-    grand = per_cat.agg(F.sum("cents").alias("all_cents"))
-    cats = (per_cat.filter(F.col("_known"))
+    # The grand total is a window over the aggregated groups (one row per
+    # category, a bounded domain), so the items are scanned once; a separate
+    # global aggregate would be planned as a second scan of the items.
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cats = (per_cat.withColumn("all_cents", F.sum("cents").over(everything))
+            .filter(F.col("_known"))
             .select(F.coalesce("product_category_name", F.lit(misc_label))
-                    .alias("category"), "cents", "order_count"))
+                    .alias("category"), "cents", "order_count", "all_cents"))
     names = category_name.select(
         F.col("product_category_name").alias("category"),
         F.col("product_category_name_english").alias("english"))
     how = "left" if keep_unmapped else "inner"
-    named = cats.join(bounded_broadcast(names), "category", how).select(
+    # The translation table is small by nature (one row per category); callers
+    # hint it (see bounded_broadcast) or the planner sizes it.
+    named = cats.join(names, "category", how).select(
         F.coalesce("english", "category").alias("product_category_name"),
-        "cents", "order_count")
+        "cents", "order_count", "all_cents")
     return (named.groupBy("product_category_name")
             .agg(F.sum("cents").alias("cents"),
-                 F.sum("order_count").alias("number_of_orders"))
-            .crossJoin(F.broadcast(grand))
+                 F.sum("order_count").alias("number_of_orders"),
+                 F.max("all_cents").alias("all_cents"))
             .select("product_category_name",
                     F.round(from_cents("cents"), 2).alias("total_revenue"),
                     pct("cents", "all_cents", 2).alias("revenue_percentage"),
