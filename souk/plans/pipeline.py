@@ -147,14 +147,27 @@ def audit_summary(validated: DataFrame, table: str) -> DataFrame:
              F.lit(None).cast("string").alias("error_message"))
 
 
-def read_published(spark: SparkSession, root: str, zone: str, table: str) -> DataFrame:
-    """Rows of the newest batch whose audit row says SUCCESS."""
-    audit = read_audit(spark, root)
-    last = (audit.filter((F.col("table_name") == table) & (F.col("status") == "SUCCESS"))
-            .agg(F.max("run_id").alias("b")).first()["b"])
-    if last is None:
+def published_batches(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Batch ids with a SUCCESS audit row, oldest first (a tiny driver read)."""
+    rows = (read_audit(spark, root)
+            .filter((F.col("table_name") == table) & (F.col("status") == "SUCCESS"))
+            .select("run_id").distinct().collect())
+    return sorted(r.run_id for r in rows)
+
+
+def has_published(spark: SparkSession, root: str, table: str) -> bool:
+    return bool(published_batches(spark, root, table))
+
+
+def read_published(spark: SparkSession, root: str, zone: str, table: str,
+                   all_batches: bool = False) -> DataFrame:
+    """Rows of the newest batch whose audit row says SUCCESS (or of every
+    such batch, for incrementally loaded tables)."""
+    batches = published_batches(spark, root, table)
+    if not batches:
         raise FileNotFoundError(f"no published batch of {table} under {root}")
-    return spark.read.parquet(zone_path(root, zone, table, last))
+    chosen = batches if all_batches else batches[-1:]
+    return spark.read.parquet(*[zone_path(root, zone, table, b) for b in chosen])
 
 
 # -------------------------------------------------------------- publish ----
@@ -167,13 +180,19 @@ def _write_counted(df: DataFrame, path: str) -> int:
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str,
                  profile: str = "message",
-                 load_ts: dt.datetime | None = None) -> dict:
+                 load_ts: dt.datetime | None = None,
+                 source_file: str | None = None,
+                 incremental: bool = False) -> dict:
     """Stage, validate, split and publish one batch of ``raw``.
 
     ``profile`` is ``"message"`` (SQL rules, error_flags text) or ``"flags"``
     (pandas rules, flag columns, cleaned values). On any failure a FAILED
     audit row is appended (counts -1, first 500 characters of the error) and
     the error is raised again; the previous batch stays the published one.
+
+    ``incremental=True`` appends instead of replacing: clean rows whose key is
+    already published in an earlier SUCCESS batch are left out, and readers
+    use ``read_published(..., all_batches=True)``.
     """
     load_ts = load_ts or dt.datetime.now().replace(microsecond=0)
     batch_id = next_batch_id(read_audit(spark, root))
@@ -182,7 +201,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         # duplicate detection) then re-read a stable table instead of
         # recomputing the raw lineage.
         stg_path = zone_path(root, "stg", spec.table, batch_id)
-        stage(raw, spec, batch_id, load_ts).write.mode("overwrite").parquet(stg_path)
+        stage(raw, spec, batch_id, load_ts, source_file).write.mode("overwrite") \
+            .parquet(stg_path)
         staged = spark.read.parquet(stg_path)
         if profile == "message":
             validated = validate_staged(staged, spec).persist()
@@ -194,6 +214,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
             err, clean = error_flag_rows(validated, spec), transform(validated, spec)
         else:
             raise ValueError(f"unknown profile {profile!r}")
+        if incremental and has_published(spark, root, spec.table):
+            old = read_published(spark, root, "clean", spec.table, all_batches=True)
+            clean = incremental_rows(clean, old, spec.key)
         try:
             rejected = _write_counted(err, zone_path(root, "error", spec.table, batch_id))
             loaded = _write_counted(clean, zone_path(root, "clean", spec.table, batch_id))
