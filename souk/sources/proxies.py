@@ -9,7 +9,8 @@ columns of the Parquet file.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +43,13 @@ class Retail:
 
     spark: SparkSession
     root: str
+    _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.root, name)
+        """One lazy scan per table and instance (reused by every proxy)."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.root, name)
+        return self._tables[name]
 
     # Parquet dimensions get no hint: the planner broadcasts them from their
     # file statistics when under spark.sql.autoBroadcastJoinThreshold and falls
@@ -57,7 +62,7 @@ class Retail:
     def region(self) -> DataFrame:
         return self.table("region")
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         c = self.table("customer")
         n = self.nation
@@ -70,7 +75,7 @@ class Retail:
                         .alias("customer_city"),
                         n.n_name.alias("customer_state")))
 
-    @property
+    @cached_property
     def geolocation(self) -> DataFrame:
         s = self.table("supplier")
         return s.select(
@@ -79,7 +84,7 @@ class Retail:
             F.concat(F.lit("CITY_"), s.s_nationkey.cast("string"), F.lit("_"),
                      (s.s_suppkey % 3).cast("string")).alias("geolocation_city"))
 
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
         o = self.table("orders")
         oid = F.col("o_orderkey")
@@ -100,7 +105,7 @@ class Retail:
             add_days("o_orderdate", 20 + oid % 11)
             .alias("order_estimated_delivery_date"))
 
-    @property
+    @cached_property
     def order_items(self) -> DataFrame:
         li = self.table("lineitem")
         return li.select(
@@ -112,7 +117,7 @@ class Retail:
             F.col("l_quantity").alias("quantity"),
             (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"))
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         p = self.table("part")
         return p.select(
@@ -120,14 +125,14 @@ class Retail:
             F.when(F.col("p_partkey") % 37 != 0, F.col("p_type"))
             .alias("product_category_name"))
 
-    @property
+    @cached_property
     def category_name(self) -> DataFrame:
         rows = [(c, c.lower() + "_en") for c in TRANSLATED_CATEGORIES]
         df = self.spark.createDataFrame(
             rows, "product_category_name string, product_category_name_english string")
         return bounded_broadcast(df, DIMENSION_ROWS, known_rows=len(rows))
 
-    @property
+    @cached_property
     def sellers(self) -> DataFrame:
         s = self.table("supplier")
         n, r = self.nation, self.region
@@ -137,14 +142,14 @@ class Retail:
                         n.n_name.alias("seller_state"),
                         r.r_name.alias("seller_region")))
 
-    @property
+    @cached_property
     def order_reviews(self) -> DataFrame:
         o = self.table("orders")
         score = (1 + (F.col("o_orderkey") * 13 + F.col("o_custkey")) % 5).cast("int")
         return o.select(F.col("o_orderkey").alias("order_id"),
                         score.alias("review_score"))
 
-    @property
+    @cached_property
     def order_payments(self) -> DataFrame:
         o = self.table("orders")
         return o.select(
@@ -153,7 +158,7 @@ class Retail:
             (1 + F.col("o_orderkey") % 12).cast("int").alias("payment_installments"),
             F.col("o_totalprice").alias("payment_value"))
 
-    @property
+    @cached_property
     def raw_products(self) -> DataFrame:
         """Dirty product rows for the quality pipeline (FIXTURES.md §4).
 
