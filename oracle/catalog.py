@@ -37,3 +37,12 @@ ORACLE: dict[str, str] = {
 from .insights import INSIGHTS  # noqa: E402
 
 ORACLE.update(INSIGHTS)
+
+ORACLE.update({
+    "q_repeat_by_city_corrected": reports.Q_REPEAT_BY_CITY_CORRECTED,
+    "q_repeat_by_state_corrected": reports.Q_REPEAT_BY_STATE_CORRECTED,
+    "q_aov_overall_corrected": reports.Q_AOV_OVERALL_CORRECTED,
+    "q_repeat_rate_corrected": reports.Q_REPEAT_RATE_CORRECTED,
+    "q_category_revenue_unmapped": reports.Q_CATEGORY_REVENUE_UNMAPPED,
+    "q_delivery_by_city_exact": reports.Q_DELIVERY_BY_CITY_EXACT,
+})

@@ -225,3 +225,24 @@ QUERIES.update({
     "x_price_elasticity": _x(lambda r: SG.price_elasticity(r.order_items, r.products)),
     "x_incremental_load": _x(_incremental),
 })
+
+
+# ------------------------------------------- corrected forms of the reports ----
+def _corrected(fn):
+    return _x(fn)
+
+
+QUERIES.update({
+    "q_repeat_by_city_corrected": _corrected(lambda r: customers.repeat_by_city(
+        r.orders, r.customers, r.geolocation, min_customers=0, faithful=False)),
+    "q_repeat_by_state_corrected": _corrected(lambda r: customers.repeat_by_state(
+        r.orders, r.customers, faithful=False)),
+    "q_aov_overall_corrected": _corrected(lambda r: customers.aov_overall(
+        r.orders, r.order_items, r.customers, faithful=False)),
+    "q_repeat_rate_corrected": _corrected(lambda r: customers.repeat_rate(
+        r.orders, r.customers, faithful=False)),
+    "q_category_revenue_unmapped": _corrected(lambda r: revenue.category_revenue(
+        r.order_items, r.products, r.category_name, keep_unmapped=True)),
+    "q_delivery_by_city_exact": _corrected(lambda r: logistics.delivery_by_city(
+        r.orders, r.customers, exact=True)),
+})

@@ -187,8 +187,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
 
     ``profile`` is ``"message"`` (SQL rules, error_flags text) or ``"flags"``
     (pandas rules, flag columns, cleaned values). On any failure a FAILED
-    audit row is appended (counts -1, first 500 characters of the error) and
-    the error is raised again; the previous batch stays the published one.
+    audit row is appended (counts 0 and the message for the SQL profile,
+    counts -1 and its first 500 characters for the pandas profile) and the
+    error is raised again; the previous batch stays the published one.
 
     ``incremental=True`` appends instead of replacing: clean rows whose key is
     already published in an earlier SUCCESS batch are left out, and readers
@@ -229,9 +230,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         return {"batch_id": batch_id, "rows_loaded": loaded, "rows_rejected": rejected}
     except Exception as exc:
         log.error("%s batch %d failed: %s", spec.table, batch_id, exc)
+        # The SQL procedure records 0/0 and the whole message (4000 chars);
+        # the pandas job records -1/-1 and the first 500 characters.
+        count, limit = (0, 4000) if profile == "message" else (-1, MAX_ERROR_TEXT)
         try:
-            audit_row(spark, batch_id, spec.table, -1, -1, "FAILED",
-                      str(exc)[:MAX_ERROR_TEXT], load_ts) \
+            audit_row(spark, batch_id, spec.table, count, count, "FAILED",
+                      str(exc)[:limit], load_ts) \
                 .write.mode("append").parquet(audit_path(root))
         except Exception as audit_exc:  # keep the original error
             log.error("could not write the failure audit row: %s", audit_exc)

@@ -87,15 +87,20 @@ def test_publish_and_failed_run_keeps_previous_batch(spark, tmp_dir):
     bad = r.raw_products.withColumn(
         "product_weight_g", F.raise_error(F.lit("boom")).cast("int"))
     with pytest.raises(Exception):
-        P.run_pipeline(spark, bad, Q.PRODUCTS, zones, load_ts=TS)
+        P.run_pipeline(spark, bad, Q.PRODUCTS, zones, profile="flags", load_ts=TS)
     audit = P.read_audit(spark, zones).orderBy("run_id").collect()
     assert [(a.run_id, a.status, a.rows_loaded) for a in audit] == \
         [(1, "SUCCESS", 177), (2, "FAILED", -1)]
     assert "boom" in audit[1].error_message and len(audit[1].error_message) <= 500
     assert P.read_published(spark, zones, "clean", "products").count() == 177
+    with pytest.raises(Exception):
+        P.run_pipeline(spark, bad, Q.PRODUCTS, zones, load_ts=TS)
+    last = P.read_audit(spark, zones).orderBy("run_id").collect()[-1]
+    assert (last.run_id, last.status, last.rows_loaded, last.rows_rejected) == \
+        (3, "FAILED", 0, 0)
     out3 = P.run_pipeline(spark, r.raw_products, Q.PRODUCTS, zones, profile="flags",
                           load_ts=TS)
-    assert out3["batch_id"] == 3 and out3["rows_rejected"] == 35
+    assert out3["batch_id"] == 4 and out3["rows_rejected"] == 35
     assert P.read_published(spark, zones, "clean", "products").count() == \
         out3["rows_loaded"]
 
