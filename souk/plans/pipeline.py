@@ -242,6 +242,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         raise
 
 
+def empty_clone(df: DataFrame) -> DataFrame:
+    """Same columns and types as ``df``, no rows (``SELECT * INTO .. WHERE 1=0``);
+    the empty relation is folded away by the optimizer, so nothing is read."""
+    return df.limit(0)
+
+
 def incremental_rows(new: DataFrame, published: DataFrame,
                      key: tuple[str, ...]) -> DataFrame:
     """Rows of ``new`` whose key is not yet published (append-only loads)."""

@@ -43,3 +43,10 @@ def register_views(spark: SparkSession, root: str,
     """Expose the tables as temp views for ``spark.sql``."""
     for name in names:
         read_table(spark, root, name).createOrReplaceTempView(name)
+
+
+def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Tables and views of the session catalog as a sorted one-column frame
+    (the catalog answer to ``INFORMATION_SCHEMA.TABLES``)."""
+    rows = [(t.name,) for t in spark.catalog.listTables(database)]
+    return spark.createDataFrame(sorted(rows), "table_name string")

@@ -121,3 +121,13 @@ def test_incremental_rows(spark):
     old = spark.createDataFrame([("b",)], "product_id string")
     assert sorted(r[0] for r in P.incremental_rows(new, old, ("product_id",)).collect()) \
         == ["a", "c"]
+
+
+def test_empty_clone_and_table_listing(spark):
+    from souk.sources.tables import list_tables, register_views
+    r = Retail(spark, SF0001)
+    e = P.empty_clone(r.raw_products)
+    assert e.schema == r.raw_products.schema and e.count() == 0
+    register_views(spark, SF0001, ("nation", "region"))
+    names = [row.table_name for row in list_tables(spark).collect()]
+    assert {"nation", "region"} <= set(names) and names == sorted(names)
