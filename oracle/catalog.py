@@ -31,6 +31,7 @@ ORACLE: dict[str, str] = {
     "etl_customers": etl.ETL_CUSTOMERS,
     "etl_orders": etl.ETL_ORDERS,
     "etl_end_to_end": etl.ETL_CLEAN_ROWS,
+    "etl_published": etl.ETL_CLEAN_FLAGS_ROWS,
     "profile_head": etl.PROFILE_HEAD,
 }
 

@@ -127,6 +127,17 @@ def _end_to_end(spark, root):
     return pipeline.read_published(spark, zones, "clean", "products")
 
 
+def _published(spark, root):
+    """Two runs into one zone folder (SQL profile, then pandas profile); the
+    reader must see only the newest SUCCESS batch."""
+    zones = f"{ensure_checkpoint_dir(spark).rstrip('/')}/souk-zones/{uuid.uuid4().hex}"
+    r = _r(spark, root)
+    for profile in ("message", "flags"):
+        pipeline.run_pipeline(spark, r.raw_products, quality.PRODUCTS, zones,
+                              profile=profile, load_ts=LOAD_TS)
+    return pipeline.read_published(spark, zones, "clean", "products")
+
+
 def _profile_head(spark, root):
     return _r(spark, root).orders.orderBy("order_id").limit(5)
 
@@ -158,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "etl_customers": _etl(_entity(quality.CUSTOMERS, "customers")),
     "etl_orders": _etl(_entity(quality.ORDERS, "orders")),
     "etl_end_to_end": _end_to_end,
+    "etl_published": _published,
     "profile_head": _profile_head,
 }
 
