@@ -55,21 +55,28 @@ def rfm_scores(orders: DataFrame, order_items: DataFrame, customers: DataFrame,
                   .groupBy(PERSON).agg(F.max("last_d").alias("last_d"),
                                        F.sum("orders").alias("frequency"),
                                        F.sum("cents").alias("cents")))
-    ref = per_person.agg(F.date_add(F.max("last_d"), 1).alias("ref"))
-    base = per_person.crossJoin(F.broadcast(ref)).select(
-        PERSON, F.datediff("ref", "last_d").alias("recency"), "frequency",
-        from_cents("cents").alias("monetary"))
+    # One aggregate gives every edge. Recency is (last day in data + 1) minus
+    # the person's last day; quantiles shift with their values, so comparing
+    # -last_day with the quantiles of -last_day scores recency exactly as
+    # comparing recency with its own quantiles would, without a second pass.
     qs = [0.2, 0.4, 0.6, 0.8]
-    edges = base.agg(*[F.percentile_approx(c, qs, accuracy).alias(f"e_{c}")
-                       for c in ("recency", "frequency", "monetary")])
-
-    def score(c):
-        return 1 + sum(F.when(F.col(c) > F.col(f"e_{c}")[i], 1).otherwise(0)
+    neg_day = -F.unix_date("last_d")
+    monetary = from_cents("cents")
+    stats = per_person.agg(
+        F.date_add(F.max("last_d"), 1).alias("ref"),
+        F.percentile_approx(neg_day, qs, accuracy).alias("e_recency"),
+        F.percentile_approx("frequency", qs, accuracy).alias("e_frequency"),
+        F.percentile_approx(monetary, qs, accuracy).alias("e_monetary"))
+
+    def score(value, edges):
+        return 1 + sum(F.when(value > F.col(edges)[i], 1).otherwise(0)
                        for i in range(len(qs)))
-    return base.crossJoin(F.broadcast(edges)).select(
-        PERSON, "recency", "frequency", "monetary",
-        (6 - score("recency")).alias("r_score"), score("frequency").alias("f_score"),
-        score("monetary").alias("m_score"))
+    return per_person.crossJoin(F.broadcast(stats)).select(
+        PERSON, F.datediff("ref", "last_d").alias("recency"), "frequency",
+        monetary.alias("monetary"),
+        (6 - score(neg_day, "e_recency")).alias("r_score"),
+        score(F.col("frequency"), "e_frequency").alias("f_score"),
+        score(monetary, "e_monetary").alias("m_score"))
 
 
 def rfm_segments(scores: DataFrame) -> DataFrame:
@@ -107,21 +114,30 @@ _PAIRS = ("flatten(transform(cats, (a, i) -> transform(slice(cats, i + 2, size(c
           "b -> named_struct('a', a, 'b', b))))")
 
 
+_SINGLES = "transform(cats, a -> named_struct('a', a, 'b', CAST(NULL AS STRING)))"
+_TOTAL = "array(named_struct('a', CAST(NULL AS STRING), 'b', CAST(NULL AS STRING)))"
+
+
 def basket_pairs(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Category pairs bought in one order: orders, support and lift.
 
     Pairs are expanded from the distinct category sets (weighted by their
-    order count), never per order.
+    order count), never per order. One explode over the sets yields the pair
+    counts (a, b), the single-category counts (a, NULL) and the order total
+    (NULL, NULL) together, so the sets are built once.
     """
     sets = category_sets(order_items, products)
-    total = sets.agg(F.sum("n").alias("all_orders"))
-    single = (sets.select(F.explode("cats").alias("cat"), "n").groupBy("cat")
-              .agg(F.sum("n").alias("n_cat")))
-    pairs = (sets.select(F.explode(F.expr(_PAIRS)).alias("p"), "n")
-             .groupBy(F.col("p.a").alias("category_a"), F.col("p.b").alias("category_b"))
-             .agg(F.sum("n").alias("orders")))
-    sa = single.select(F.col("cat").alias("category_a"), F.col("n_cat").alias("n_a"))
-    sb = single.select(F.col("cat").alias("category_b"), F.col("n_cat").alias("n_b"))
+    counts = (sets.select(F.explode(F.concat(F.expr(_PAIRS), F.expr(_SINGLES),
+                                             F.expr(_TOTAL))).alias("p"), "n")
+              .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
+              .agg(F.sum("n").alias("n")))
+    pairs = counts.filter(F.col("b").isNotNull()).select(
+        F.col("a").alias("category_a"), F.col("b").alias("category_b"),
+        F.col("n").alias("orders"))
+    single = counts.filter(F.col("a").isNotNull() & F.col("b").isNull())
+    total = counts.filter(F.col("a").isNull()).select(F.col("n").alias("all_orders"))
+    sa = single.select(F.col("a").alias("category_a"), F.col("n").alias("n_a"))
+    sb = single.select(F.col("a").alias("category_b"), F.col("n").alias("n_b"))
     return (pairs.join(sa, "category_a").join(sb, "category_b")
             .crossJoin(F.broadcast(total))
             .select("category_a", "category_b", "orders",
