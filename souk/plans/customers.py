@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import from_cents, pct, ratio
@@ -30,31 +30,35 @@ def orders_per_customer(orders: DataFrame) -> DataFrame:
 
 
 def _place_counts(orders: DataFrame, customers: DataFrame, place: str) -> DataFrame:
-    """(person, place, n_orders) from orders joined to their customer row."""
-    return (orders_per_customer(orders)
-            .join(customers.select("customer_id", PERSON, place), "customer_id")
-            .groupBy(PERSON, place).agg(F.sum("n_orders").alias("n_orders")))
+    """(person, place, n_orders) for EVERY customer place, 0 when no order.
 
+    A left join of the customer dimension to the per-customer order counts, so
+    the same pass yields both the reference's ``all_customers`` (all pairs)
+    and its ``repeat_customers`` (pairs with more than one order).
+    """
+    return (customers.select("customer_id", PERSON, place)
+            .join(orders_per_customer(orders), "customer_id", "left")
+            .groupBy(PERSON, place)
+            .agg(F.sum(F.coalesce("n_orders", F.lit(0))).alias("n_orders")))
 
-def _repeat_by_place(all_pairs: DataFrame, repeat_pairs: DataFrame, place: str,
-                     faithful: bool) -> DataFrame:
-    """Totals and repeat buyers per place.
 
-    Faithful: the left join matches on the person only, so a person with k
-    repeat (person, place) groups adds k to both counts of each of their
-    places (and 1 to the total when k = 0). The k·m join rows are never
-    materialised: k is computed once per person and joined 1:1.
-    Corrected: the join uses (person, place).
+def _repeat_by_place(pairs: DataFrame, place: str, min_orders: int,
+                     faithful: bool) -> DataFrame:
+    """Totals and repeat buyers per place from (person, place, n_orders).
+
+    Faithful: the reference left-joins all pairs to the repeat pairs on the
+    person only, so a person with k repeat places adds k to both counts of
+    each of their places (and 1 to the total when k = 0). k is a window count
+    over the person's own places, a group bounded by the number of places,
+    so the k·m join rows are never built.
+    Corrected: a pair counts once, as repeat when its own count qualifies.
     """
+    is_repeat = F.col("n_orders") > min_orders
     if faithful:
-        k = repeat_pairs.groupBy(PERSON).agg(F.count(F.lit(1)).alias("k"))
-        rows = all_pairs.join(k, PERSON, "left").select(
-            place, F.greatest(F.coalesce("k", F.lit(0)), F.lit(1)).alias("t"),
-            F.coalesce("k", F.lit(0)).alias("r"))
+        k = F.count_if(is_repeat).over(Window.partitionBy(PERSON))
+        rows = pairs.select(place, F.greatest(k, F.lit(1)).alias("t"), k.alias("r"))
     else:
-        hit = repeat_pairs.select(PERSON, place, F.lit(1).alias("r"))
-        rows = all_pairs.join(hit, [PERSON, place], "left").select(
-            place, F.lit(1).alias("t"), F.coalesce("r", F.lit(0)).alias("r"))
+        rows = pairs.select(place, F.lit(1).alias("t"), is_repeat.cast("int").alias("r"))
     return (rows.groupBy(place)
             .agg(F.sum("t").cast("long").alias("total_customers"),
                  F.sum("r").cast("long").alias("repeat_customers")))
@@ -78,15 +82,11 @@ def repeat_by_city(orders: DataFrame, customers: DataFrame,
         F.col("geolocation_city").alias(city))
         .agg(F.count(F.lit(1)).alias("n_geo")))
     weight = F.col("n_geo") if faithful else F.lit(1)
-    person_city = (_place_counts(orders, customers, zip_c)
-                   .join(geo, zip_c)
-                   .groupBy(PERSON, city)
-                   .agg(F.sum(F.col("n_orders") * weight).alias("n_orders")))
-    repeat = person_city.filter(F.col("n_orders") > min_orders)
-    all_pairs = (customers.select(PERSON, zip_c).distinct()
-                 .join(geo.select(zip_c, city), zip_c)
-                 .select(PERSON, city).distinct())
-    out = _repeat_by_place(all_pairs, repeat, city, faithful)
+    pairs = (_place_counts(orders, customers, zip_c)
+             .join(geo, zip_c)
+             .groupBy(PERSON, city)
+             .agg(F.sum(F.col("n_orders") * weight).alias("n_orders")))
+    out = _repeat_by_place(pairs, city, min_orders, faithful)
     return (out.filter(F.col("total_customers") > min_customers)
             .select(city, "total_customers", "repeat_customers",
                     pct("repeat_customers", "total_customers", 1)
@@ -101,10 +101,8 @@ def repeat_by_state(orders: DataFrame, customers: DataFrame, *,
     Totals include persons without any order; no threshold on the group.
     """
     state = "customer_state"
-    repeat = (_place_counts(orders, customers, state)
-              .filter(F.col("n_orders") > min_orders))
-    all_pairs = customers.select(PERSON, state).distinct()
-    out = _repeat_by_place(all_pairs, repeat, state, faithful)
+    pairs = _place_counts(orders, customers, state)
+    out = _repeat_by_place(pairs, state, min_orders, faithful)
     return (out.select(state, "total_customers", "repeat_customers",
                        pct("repeat_customers", "total_customers", 1)
                        .alias("repeat_customer_rate"))
