@@ -102,7 +102,7 @@ def _etl(build):
 def _rule_counts(r: Retail):
     spec = quality.PRODUCTS
     flags = pipeline.flag_counts(_flagged(r), spec)
-    msgs = pipeline.message_rule_counts(_validated(r), spec)
+    msgs = pipeline.message_rule_counts(_staged(r), spec)
     return (flags.select(F.lit("flags").alias("profile"), "rule", "n_rows")
             .unionByName(msgs.select(F.lit("message").alias("profile"), "rule",
                                      "n_rows")

@@ -212,11 +212,12 @@ def churn_over_time(orders: DataFrame, customers: DataFrame,
     spark = orders.sparkSession
     cut = spark.createDataFrame([(str(c),) for c in cutoffs], "cutoff string") \
         .select(F.col("cutoff").cast("date").alias("cutoff"))
-    hist = (fl.groupBy(F.col("first_d").alias("d")).agg(F.count(F.lit(1)).alias("e"))
-            .withColumn("kind", F.lit("first"))
-            .unionByName(fl.groupBy(F.col("last_d").alias("d"))
-                         .agg(F.count(F.lit(1)).alias("e"))
-                         .withColumn("kind", F.lit("last"))))
+    # Both day histograms in one pass: each person contributes a "first" and
+    # a "last" row.
+    hist = (fl.select(F.explode(F.array(
+        F.struct(F.lit("first").alias("kind"), F.col("first_d").alias("d")),
+        F.struct(F.lit("last").alias("kind"), F.col("last_d").alias("d")))).alias("h"))
+        .groupBy("h.kind", "h.d").agg(F.count(F.lit(1)).alias("e")))
     per_cut = (hist.join(F.broadcast(cut), F.col("d") < F.col("cutoff"))
                .groupBy("cutoff")
                .agg(F.sum(F.when(F.col("kind") == "last", F.col("e")))

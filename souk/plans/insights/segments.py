@@ -215,29 +215,34 @@ def satisfaction_index(orders: DataFrame, customers: DataFrame,
                        reviews: DataFrame) -> DataFrame:
     """Per customer state: mean score, mean delivery days, share of repeat
     persons, and an index of the three scaled 0-1 across states."""
-    c = customers.select("customer_id", "customer_state", PERSON)
-    rev = (orders.select("order_id", "customer_id")
-           .join(reviews.select("order_id", "review_score"), "order_id")
-           .groupBy("customer_id").agg(F.sum("review_score").alias("s"),
-                                       F.count(F.lit(1)).alias("n")))
-    dlv = (delivered(orders).select(
-        "customer_id", day_diff("order_purchase_timestamp", "order_delivered_customer_date")
-        .alias("days")).groupBy("customer_id")
-        .agg(F.sum("days").alias("days"), F.count(F.lit(1)).alias("nd")))
-    cnt = orders.groupBy("customer_id").agg(F.count("order_id").alias("k"))
-    per_person = (cnt.join(c, "customer_id").groupBy("customer_state", PERSON)
-                  .agg(F.sum("k").alias("k")))
-    rep = per_person.groupBy("customer_state").agg(
-        F.count(F.lit(1)).alias("persons"), F.count_if(F.col("k") > 1).alias("repeat"))
-    per_state = (rev.join(c, "customer_id").groupBy("customer_state")
-                 .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-                 .join(dlv.join(c, "customer_id").groupBy("customer_state")
-                       .agg(F.sum("days").alias("days"), F.sum("nd").alias("nd")),
-                       "customer_state", "full")
-                 .join(rep, "customer_state", "full")
+    # One pass: reviews reduced to one row per order, orders to one row per
+    # customer, then persons, then states; every measure rides along.
+    rv = reviews.groupBy("order_id").agg(F.sum("review_score").alias("s"),
+                                         F.count("review_score").alias("n"))
+    done = ((F.col("order_status") == "delivered")
+            & F.col("order_delivered_customer_date").isNotNull()
+            & F.col("order_purchase_timestamp").isNotNull())
+    days = F.when(done, day_diff("order_purchase_timestamp",
+                                 "order_delivered_customer_date"))
+    per_cust = (orders.select("order_id", "customer_id", days.alias("days"))
+                .join(rv, "order_id", "left")
+                .groupBy("customer_id")
+                .agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
+                     F.sum("days").alias("days"), F.count("days").alias("nd"),
+                     F.count("order_id").alias("k")))
+    per_person = (per_cust.join(customers.select("customer_id", "customer_state", PERSON),
+                                "customer_id")
+                  .groupBy("customer_state", PERSON)
+                  .agg(*[F.sum(c_).alias(c_) for c_ in ("s", "n", "days", "nd", "k")]))
+    per_state = (per_person.groupBy("customer_state")
+                 .agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
+                      F.sum("days").alias("days"), F.sum("nd").alias("nd"),
+                      F.count(F.lit(1)).alias("persons"),
+                      F.count_if(F.col("k") > 1).alias("repeat"))
                  .select("customer_state",
                          F.try_divide(F.col("s").cast("double"), F.col("n")).alias("score"),
-                         F.try_divide(F.col("days").cast("double"), F.col("nd")).alias("days"),
+                         F.try_divide(F.col("days").cast("double"), F.col("nd"))
+                         .alias("days"),
                          F.try_divide(F.col("repeat").cast("double"), F.col("persons"))
                          .alias("rep")))
     mm = per_state.agg(*[f(c_).alias(f"{n}_{c_}") for c_ in ("score", "days", "rep")

@@ -97,9 +97,9 @@ def flag_counts(flagged: DataFrame, spec: TableSpec) -> DataFrame:
     return rule_counts(flagged, spec.flag_rules)
 
 
-def message_rule_counts(validated: DataFrame, spec: TableSpec) -> DataFrame:
-    """(rule, n_rows) of the SQL profile, from the same checks as the text."""
-    staged = validated.drop("error_flags")
+def message_rule_counts(staged: DataFrame, spec: TableSpec) -> DataFrame:
+    """(rule, n_rows) of the SQL profile: the message rules as flags over the
+    staged rows (one duplicate pass), totals and non-zero rules."""
     flagged = validate_flags(staged, spec.message_rules, spec.key,
                              order_by=dup_order(spec, staged.columns))
     return rule_counts(flagged, spec.message_rules)
