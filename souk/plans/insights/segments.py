@@ -149,12 +149,14 @@ def basket_pairs(order_items: DataFrame, products: DataFrame) -> DataFrame:
 def recommend(order_items: DataFrame, products: DataFrame, top: int = 3) -> DataFrame:
     """For each category: the ``top`` categories most often bought with it,
     each with its best-selling product (by item revenue, ties: lowest id)."""
-    pairs = basket_pairs(order_items, products)
-    both = (pairs.select(F.col("category_a").alias("category"),
-                         F.col("category_b").alias("partner_category"), "orders")
-            .unionByName(pairs.select(F.col("category_b").alias("category"),
-                                      F.col("category_a").alias("partner_category"),
-                                      "orders")))
+    # Directed pairs (a, b), a != b, straight from the distinct category sets:
+    # one pass, both directions, still never per order.
+    directed = ("flatten(transform(cats, a -> transform(filter(cats, b -> b != a), "
+                "b -> named_struct('a', a, 'b', b))))")
+    both = (category_sets(order_items, products)
+            .select(F.explode(F.expr(directed)).alias("p"), "n")
+            .groupBy(F.col("p.a").alias("category"), F.col("p.b").alias("partner_category"))
+            .agg(F.sum("n").alias("orders")))
     w = Window.partitionBy("category").orderBy(F.desc("orders"), "partner_category")
     ranked = both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
     per_product = (order_items.select("product_id", "price")
