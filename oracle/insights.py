@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from . import ratio_sql, with_proxies
-from .etl import ETL_CLEAN_ROWS  # noqa: F401  (kept for symmetry)
 from .etl import STAGED, VALIDATED_MESSAGE
 
 

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ...functions import day_diff, from_cents, money_sum, pct
-from .common import MISC, delivered, order_categories, revenue_per_order
+from ...functions import day_diff, from_cents, money_sum
+from .common import MISC, order_categories, revenue_per_order
 
 PERSON = "customer_unique_id"
 
@@ -270,12 +270,8 @@ def price_elasticity(order_items: DataFrame, products: DataFrame) -> DataFrame:
          .select("product_id", F.ln("quantity").alias("lq"),
                  F.ln(F.col("price") / F.col("quantity")).alias("lp")))
     return (i.join(products.select("product_id", "product_category_name"), "product_id")
-            .groupBy(F.coalesce("product_category_name", F.lit("Misc"))
+            .groupBy(F.coalesce("product_category_name", F.lit(MISC))
                      .alias("product_category_name"))
             .agg(F.count(F.lit(1)).alias("items"),
                  F.round(F.regr_slope("lq", "lp"), 6).alias("elasticity")))
 
-
-__all__ = ["cohorts", "rfm_scores", "rfm_segments", "category_sets", "basket_pairs",
-           "recommend", "revenue_forecast", "satisfaction_index", "price_elasticity",
-           "pct"]

@@ -115,13 +115,18 @@ def zone_path(root: str, zone: str, table: str, batch_id: int | None = None) ->
     return base if batch_id is None else f"{base}/batch={batch_id}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system behind it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path(root))
-    except Exception as exc:  # no audit folder yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
+    """The audit table (empty, with its schema, before the first run)."""
+    if not path_exists(spark, audit_path(root)):
         return spark.createDataFrame([], AUDIT_SCHEMA)
+    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path(root))
 
 
 def next_batch_id(audit: DataFrame) -> int:

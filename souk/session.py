@@ -39,9 +39,11 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared folder named by ``spark.checkpoint.dir`` (None if unset)."""
+    """The shared folder named by ``spark.checkpoint.dir`` (or already set on
+    the SparkContext); None if neither is set."""
     value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return value or spark.conf.get("spark.checkpoint.dir", None)
+    return (value or spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir())
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -27,13 +27,12 @@ def _epoch_tag(spec: TableSpec, epoch_id: int) -> str:
 
 def _already_published(spark: SparkSession, root: str, spec: TableSpec,
                        tag: str) -> bool:
-    if not pipeline.has_published(spark, root, spec.table):
-        return False
-    try:
-        audit = pipeline.read_audit(spark, root)
-        stg = spark.read.parquet(pipeline.zone_path(root, "stg", spec.table))
-    except Exception:  # nothing published yet
+    stg_path = pipeline.zone_path(root, "stg", spec.table)
+    if not (pipeline.has_published(spark, root, spec.table)
+            and pipeline.path_exists(spark, stg_path)):
         return False
+    audit = pipeline.read_audit(spark, root)
+    stg = spark.read.parquet(stg_path)
     ok = audit.filter(F.col("status") == "SUCCESS").select(F.col("run_id").alias("b"))
     hit = stg.filter(F.col("source_file") == tag).select(F.col("batch_id").alias("b"))
     return hit.join(ok, "b", "left_semi").limit(1).count() > 0

@@ -15,14 +15,15 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from souk.session import CORE_CONF
+    from souk.session import CORE_CONF, ensure_checkpoint_dir
     builder = (SparkSession.builder.master("local[*]")
-               .config("spark.sql.shuffle.partitions", "8")
-               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="souk-test-ckpt-")))
+               .config("spark.sql.shuffle.partitions", "8"))
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    # the session's spark.checkpoint.dir is used; a private folder only if unset
+    ensure_checkpoint_dir(s)
     yield s
     s.stop()
 
