@@ -23,8 +23,11 @@ from .quality import TableSpec
 
 log = logging.getLogger("souk.pipeline")
 
+# The reference's audit columns plus ``source_file`` (which input a run
+# loaded; lets a replayed streaming micro-batch be recognised cheaply).
 AUDIT_SCHEMA = ("run_id int, table_name string, rows_loaded long, rows_rejected long, "
-                "load_datetime timestamp_ntz, status string, error_message string")
+                "load_datetime timestamp_ntz, status string, error_message string, "
+                "source_file string")
 LINEAGE = ("load_datetime", "source_file", "batch_id")
 MAX_ERROR_TEXT = 500
 
@@ -136,9 +139,10 @@ def next_batch_id(audit: DataFrame) -> int:
 
 def audit_row(spark: SparkSession, run_id: int, table: str, loaded: int,
               rejected: int, status: str, message: str | None,
-              load_ts: dt.datetime) -> DataFrame:
+              load_ts: dt.datetime, source_file: str | None = None) -> DataFrame:
     return spark.createDataFrame(
-        [(run_id, table, loaded, rejected, load_ts, status, message)], AUDIT_SCHEMA)
+        [(run_id, table, loaded, rejected, load_ts, status, message, source_file)],
+        AUDIT_SCHEMA)
 
 
 def audit_summary(validated: DataFrame, table: str) -> DataFrame:
@@ -229,7 +233,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         finally:
             validated.unpersist()
         audit_row(spark, batch_id, spec.table, loaded, rejected, "SUCCESS", None,
-                  load_ts).write.mode("append").parquet(audit_path(root))
+                  load_ts, source_file or spec.source_file) \
+            .write.mode("append").parquet(audit_path(root))
         log.info("%s batch %d: %d loaded, %d rejected", spec.table, batch_id,
                  loaded, rejected)
         return {"batch_id": batch_id, "rows_loaded": loaded, "rows_rejected": rejected}
@@ -240,7 +245,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         count, limit = (0, 4000) if profile == "message" else (-1, MAX_ERROR_TEXT)
         try:
             audit_row(spark, batch_id, spec.table, count, count, "FAILED",
-                      str(exc)[:limit], load_ts) \
+                      str(exc)[:limit], load_ts, source_file or spec.source_file) \
                 .write.mode("append").parquet(audit_path(root))
         except Exception as audit_exc:  # keep the original error
             log.error("could not write the failure audit row: %s", audit_exc)

@@ -27,15 +27,12 @@ def _epoch_tag(spec: TableSpec, epoch_id: int) -> str:
 
 def _already_published(spark: SparkSession, root: str, spec: TableSpec,
                        tag: str) -> bool:
-    stg_path = pipeline.zone_path(root, "stg", spec.table)
-    if not (pipeline.has_published(spark, root, spec.table)
-            and pipeline.path_exists(spark, stg_path)):
-        return False
+    """Whether the audit table holds a SUCCESS row for this micro-batch (a
+    lookup in the small audit table, not in the loaded data)."""
     audit = pipeline.read_audit(spark, root)
-    stg = spark.read.parquet(stg_path)
-    ok = audit.filter(F.col("status") == "SUCCESS").select(F.col("run_id").alias("b"))
-    hit = stg.filter(F.col("source_file") == tag).select(F.col("batch_id").alias("b"))
-    return hit.join(ok, "b", "left_semi").limit(1).count() > 0
+    return audit.filter((F.col("table_name") == spec.table)
+                        & (F.col("status") == "SUCCESS")
+                        & (F.col("source_file") == tag)).limit(1).count() > 0
 
 
 def load_micro_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, *,
