@@ -29,11 +29,27 @@ LOAD_TS = dt.datetime(2024, 1, 1)  # fixed load time so results are repeatable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# One Retail per (application, data folder): its proxies are analysed logical
+# plans (no data is cached), so later queries skip re-reading footers and
+# re-analysing the same projections. clear_cache() after files change on disk.
+_RETAIL: dict[tuple[str, int, str], Retail] = {}
+
+
+def retail(spark: SparkSession, root: str) -> Retail:
+    key = (spark.sparkContext.applicationId, id(spark), root)
+    if key not in _RETAIL:
+        _RETAIL[key] = Retail(spark, root)
+    return _RETAIL[key]
+
+
+def clear_cache() -> None:
+    _RETAIL.clear()
+
 
 def _on(build: Callable[[Retail], DataFrame]) -> Query:
     """Turn ``build(retail) -> DataFrame`` into ``query(spark, data_dir)``."""
     def run(spark: SparkSession, root: str) -> DataFrame:
-        return build(Retail(spark, root))
+        return build(retail(spark, root))
     return run
 
 
@@ -75,7 +91,7 @@ def _zones(spark: SparkSession) -> str:
 def _end_to_end(spark: SparkSession, root: str) -> DataFrame:
     """Run the whole pipeline and read the published clean batch back."""
     zones = _zones(spark)
-    pipeline.run_pipeline(spark, Retail(spark, root).raw_products, quality.PRODUCTS,
+    pipeline.run_pipeline(spark, retail(spark, root).raw_products, quality.PRODUCTS,
                           zones, load_ts=LOAD_TS)
     return pipeline.read_published(spark, zones, "clean", "products")
 
@@ -83,7 +99,7 @@ def _end_to_end(spark: SparkSession, root: str) -> DataFrame:
 def _published(spark: SparkSession, root: str) -> DataFrame:
     """Two runs into one zone folder (SQL profile, then pandas profile); the
     reader must see only the newest SUCCESS batch."""
-    zones, r = _zones(spark), Retail(spark, root)
+    zones, r = _zones(spark), retail(spark, root)
     for profile in ("message", "flags"):
         pipeline.run_pipeline(spark, r.raw_products, quality.PRODUCTS, zones,
                               profile=profile, load_ts=LOAD_TS)
