@@ -1,7 +1,8 @@
 """Time the registered queries; print ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (timed runs per query, default 3; the median is reported).
+BENCH_REPEAT (timed runs per query, default 3; the median is reported),
+BENCH_SHUFFLE_PARTITIONS (default: BENCH_CPUS), BENCH_ONLY (comma-separated keys).
 Each query runs to completion through Spark's ``noop`` sink, so the whole plan
 executes (every row produced) without shipping rows to the driver.
 """
@@ -23,11 +24,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [k for k in os.environ.get("BENCH_ONLY", "").split(",") if k]
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "0")) or None
 
     from souk.catalog import QUERIES
     from souk.session import local_session
 
-    spark = local_session(cpus=cpus)
+    spark = local_session(cpus=cpus, shuffle_partitions=parts)
     keys = only or list(QUERIES)
     times: dict[str, float] = {}
     for key in keys:
