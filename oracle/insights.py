@@ -239,6 +239,7 @@ FROM per""", _PAY, ("per", """
 Q["x_payment_vs_value"] = with_proxies(f"""
 SELECT payment_type, count(*) AS payments,
        {rnd('CAST(sum(cents) AS DOUBLE) / count(*) / 100.0', 2)} AS avg_value,
+       quantile_disc(payment_value, 0.5) AS median_value,
        max(payment_value) AS max_value,
        {avg_('sum(payment_installments)', 'count(*)', 4)} AS avg_installments
 FROM pay GROUP BY payment_type""", _PAY)
