@@ -71,27 +71,26 @@ def category_revenue(order_items: DataFrame, products: DataFrame,
                .groupBy("_known", "product_category_name")
                .agg(money_sum("price").alias("cents"),
                     F.count_distinct("order_id").alias("order_count")))
-    # The grand total is a window over the aggregated groups (one row per
-    # category, a bounded domain), so the items are scanned once; a separate
-    # global aggregate would be planned as a second scan of the items.
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cats = (per_cat.withColumn("all_cents", F.sum("cents").over(everything))
-            .filter(F.col("_known"))
-            .select(F.coalesce("product_category_name", F.lit(misc_label))
-                    .alias("category"), "cents", "order_count", "all_cents"))
     names = category_name.select(
         F.col("product_category_name").alias("category"),
         F.col("product_category_name_english").alias("english"))
-    how = "left" if keep_unmapped else "inner"
-    # The translation table is small by nature (one row per category); callers
-    # hint it (see bounded_broadcast) or the planner sizes it.
-    named = cats.join(names, "category", how).select(
-        F.coalesce("english", "category").alias("product_category_name"),
-        "cents", "order_count", "all_cents")
-    return (named.groupBy("product_category_name")
-            .agg(F.sum("cents").alias("cents"),
-                 F.sum("order_count").alias("number_of_orders"),
-                 F.max("all_cents").alias("all_cents"))
+    category = F.coalesce("product_category_name", F.lit(misc_label))
+    # Groups that the reference drops (unknown product; Misc or untranslated
+    # unless keep_unmapped) get a NULL label: they still count in the grand
+    # total, then leave the result.
+    english = F.coalesce("english", "category") if keep_unmapped else F.col("english")
+    label = F.when(F.col("_known"), english)
+    labelled = (per_cat.select("_known", category.alias("category"), "cents", "order_count")
+                .join(names, "category", "left")
+                .groupBy(label.alias("product_category_name"))
+                .agg(F.sum("cents").alias("cents"),
+                     F.sum("order_count").alias("number_of_orders")))
+    # The grand total is a window over the labelled groups (one row per
+    # category, a bounded domain): the items are scanned once, and the final
+    # sort needs no extra shuffle since the window leaves one partition.
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (labelled.withColumn("all_cents", F.sum("cents").over(everything))
+            .filter(F.col("product_category_name").isNotNull())
             .select("product_category_name",
                     F.round(from_cents("cents"), 2).alias("total_revenue"),
                     pct("cents", "all_cents", 2).alias("revenue_percentage"),
