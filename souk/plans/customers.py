@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import from_cents, pct, ratio
+from ..operators.joins import bounded_broadcast
 from .revenue import revenue_per_order
 
 PERSON = "customer_unique_id"
@@ -224,6 +225,8 @@ def churn_over_time(orders: DataFrame, customers: DataFrame,
                     .alias("churned"),
                     F.sum(F.when(F.col("kind") == "first", F.col("e")))
                     .alias("eligible")))
+    # per_cut has at most one row per cutoff: a proven bound for broadcasting
+    per_cut = bounded_broadcast(per_cut, known_rows=len(cutoffs))
     return (cut.join(per_cut, "cutoff", "left").select(
         "cutoff",
         F.coalesce("churned", F.lit(0)).cast("long").alias("Churned_Customers"),

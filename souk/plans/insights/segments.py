@@ -131,19 +131,22 @@ def basket_pairs(order_items: DataFrame, products: DataFrame) -> DataFrame:
                                              F.expr(_TOTAL))).alias("p"), "n")
               .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
               .agg(F.sum("n").alias("n")))
-    pairs = counts.filter(F.col("b").isNotNull()).select(
-        F.col("a").alias("category_a"), F.col("b").alias("category_b"),
-        F.col("n").alias("orders"))
-    single = counts.filter(F.col("a").isNotNull() & F.col("b").isNull())
-    total = counts.filter(F.col("a").isNull()).select(F.col("n").alias("all_orders"))
-    sa = single.select(F.col("a").alias("category_a"), F.col("n").alias("n_a"))
-    sb = single.select(F.col("a").alias("category_b"), F.col("n").alias("n_b"))
-    return (pairs.join(sa, "category_a").join(sb, "category_b")
-            .crossJoin(F.broadcast(total))
-            .select("category_a", "category_b", "orders",
-                    F.round(F.col("orders") / F.col("all_orders"), 6).alias("support"),
-                    F.round(F.col("orders") * F.col("all_orders")
-                            / (F.col("n_a") * F.col("n_b")), 6).alias("lift")))
+    # Single-category counts and the order total in one 1-row aggregate: a map
+    # with one entry per category (a bounded domain), looked up per pair
+    # instead of joining the counts back twice.
+    single = F.when(F.col("a").isNotNull(), F.struct("a", "n"))
+    stats = (counts.filter(F.col("b").isNull())
+             .agg(F.map_from_entries(F.collect_list(single)).alias("n_cat"),
+                  F.max(F.when(F.col("a").isNull(), F.col("n"))).alias("all_orders")))
+    n_a = F.element_at("n_cat", F.col("a"))
+    n_b = F.element_at("n_cat", F.col("b"))
+    return (counts.filter(F.col("b").isNotNull())
+            .crossJoin(F.broadcast(stats))
+            .select(F.col("a").alias("category_a"), F.col("b").alias("category_b"),
+                    F.col("n").alias("orders"),
+                    F.round(F.col("n") / F.col("all_orders"), 6).alias("support"),
+                    F.round(F.col("n") * F.col("all_orders") / (n_a * n_b), 6)
+                    .alias("lift")))
 
 
 def recommend(order_items: DataFrame, products: DataFrame, top: int = 3) -> DataFrame:
