@@ -23,8 +23,10 @@ def cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
     active = (orders.select("customer_id", _month_index(ts).alias("m"))
               .join(customers.select("customer_id", PERSON), "customer_id")
               .select(PERSON, "m").distinct())
-    first = active.groupBy(PERSON).agg(F.min("m").alias("first_m"))
-    return (active.join(first, PERSON)
+    # first month per person as a window over the person's own active months
+    # (bounded by the months in the data), instead of an aggregate joined back
+    first = F.min("m").over(Window.partitionBy(PERSON))
+    return (active.withColumn("first_m", first)
             .groupBy("first_m", (F.col("m") - F.col("first_m")).alias("months_since"))
             .agg(F.count(F.lit(1)).alias("active_customers"))
             .select(F.format_string("%04d-%02d", (F.col("first_m") / 12).cast("int"),
