@@ -218,6 +218,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
             validated = validate_staged(staged, spec).persist()
             err, clean = error_rows(validated, spec), clean_rows(validated, spec)
         elif profile == "flags":
+            # the pandas profile checks the rows as they came (source column
+            # names, no lineage); its transform step repairs the names
             source = staged.drop(*LINEAGE).withColumnsRenamed(
                 {v: k for k, v in spec.renames.items()})
             validated = validate_raw(source, spec).persist()
