@@ -1,8 +1,9 @@
 """Run a registered query in Spark and its oracle in DuckDB; compare results.
 
-Usage: python tests/compare.py [sf_dir] [key ...]
+Usage: python tests/compare.py [--exact] [sf_dir] [key ...]
 Mirrors the driver's check: row count, column names/types, and an
-order-insensitive comparison of values (columns sorted by name).
+order-insensitive comparison of values (columns sorted by name). Doubles are
+compared at 6 decimals, or bit for bit with ``--exact``.
 """
 
 from __future__ import annotations
@@ -30,11 +31,14 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return repr(v) if EXACT else round(v, 6)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
@@ -102,6 +106,10 @@ def compare(spark, con, key, fn, sql, sf_dir):
 
 
 def main(argv):
+    global EXACT
+    if "--exact" in argv:
+        EXACT = True
+        argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     import __spark_entry__ as E
