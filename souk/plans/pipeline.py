@@ -38,7 +38,8 @@ def stage(raw: DataFrame, spec: TableSpec, batch_id: int,
           source_file: str | None = None) -> DataFrame:
     """Raw rows -> staging layout: repaired names, spec columns, lineage."""
     renamed = raw.withColumnsRenamed(spec.renames) if spec.renames else raw
-    ts = (F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None
+    # from the ISO text, so no time-zone conversion can shift a naive time
+    ts = (F.lit(load_ts.isoformat(sep=" ")).cast("timestamp_ntz") if load_ts is not None
           else F.localtimestamp())
     return renamed.select(*spec.columns,
                           ts.alias("load_datetime"),
