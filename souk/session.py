@@ -16,6 +16,9 @@ from pyspark.sql import SparkSession
 CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce to the advisory partition size, not to one task per core: fewer,
+    # fuller tasks on a busy cluster (the setting Spark recommends there)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
