@@ -33,6 +33,10 @@ ORACLE: dict[str, str] = {
     "etl_end_to_end": etl.ETL_CLEAN_ROWS,
     "etl_published": etl.ETL_CLEAN_FLAGS_ROWS,
     "profile_head": etl.PROFILE_HEAD,
+    "src_csv_translation": """
+SELECT DISTINCT p_type AS product_category_name,
+       lower(p_type) || '_en' AS product_category_name_english
+FROM part""",
 }
 
 from .insights import INSIGHTS  # noqa: E402

@@ -18,6 +18,7 @@ from .plans.insights import experience as X
 from .plans.insights import operations as OP
 from .plans.insights import segments as SG
 from .session import ensure_checkpoint_dir
+from .sources.files import read_raw
 from .sources.proxies import Retail
 
 # Parameter values of the registered queries. The reference's own thresholds
@@ -106,6 +107,20 @@ def _published(spark: SparkSession, root: str) -> DataFrame:
     return pipeline.read_published(spark, zones, "clean", "products")
 
 
+def _csv_translation(spark: SparkSession, root: str) -> DataFrame:
+    """The category translation written as a header CSV (derived from the
+    part table) and read back through the declared-schema CSV reader."""
+    folder = f"{_zones(spark)}/raw/product_category_name_translation"
+    name = F.col("p_type")
+    (retail(spark, root).table("part").select(name.alias("product_category_name"))
+     .distinct()
+     .select("product_category_name",
+             F.concat(F.lower("product_category_name"), F.lit("_en"))
+             .alias("product_category_name_english"))
+     .write.option("header", True).mode("overwrite").csv(folder))
+    return read_raw(spark, folder, "product_category_name_translation")
+
+
 def _incremental(r: Retail) -> DataFrame:
     """A second load of the same source appends only keys not yet clean."""
     published = pipeline.clean_rows(_validated(r), quality.PRODUCTS)
@@ -165,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "etl_end_to_end": _end_to_end,
     "etl_published": _published,
     "profile_head": _on(lambda r: r.orders.orderBy("order_id").limit(5)),
+    "src_csv_translation": _csv_translation,
     # ---- questions the reference states without code ----
     "x_revenue_per_seller": _on(lambda r: OP.revenue_per_seller(r.order_items)),
     "x_cancellation_impact": _on(lambda r: OP.cancellation_impact(r.orders, r.order_items)),
