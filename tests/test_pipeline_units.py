@@ -131,3 +131,14 @@ def test_empty_clone_and_table_listing(spark):
     register_views(spark, SF0001, ("nation", "region"))
     names = [row.table_name for row in list_tables(spark).collect()]
     assert {"nation", "region"} <= set(names) and names == sorted(names)
+
+
+def test_cluster_conf_scales_with_input():
+    from souk.session import cluster_conf
+    big = cluster_conf(100 * 1024 ** 4, cores=8000)      # 100 TB, 1000 x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    mid = cluster_conf(20 * 1024 ** 4, cores=8000)       # 20 TB
+    assert int(mid["spark.sql.shuffle.partitions"]) == 20 * 1024
+    small = cluster_conf(10 * 1024 ** 2, cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.enabled"] == "true"
