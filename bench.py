@@ -32,6 +32,7 @@ def main() -> None:
     spark = local_session(cpus=cpus, shuffle_partitions=parts)
     keys = only or list(QUERIES)
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for key in keys:
         fn = QUERIES[key]
 
@@ -40,13 +41,17 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        run()  # warm-up: JIT, file listing and metadata caches
-        times[key] = round(statistics.median(run() for _ in range(repeat)), 4)
+        try:
+            run()  # warm-up: JIT, file listing and metadata caches
+            times[key] = round(statistics.median(run() for _ in range(repeat)), 4)
+        except Exception as exc:  # report the key, keep timing the others
+            errors[key] = str(exc).splitlines()[0][:300]
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "total_query_seconds",
-                      "value": round(sum(times.values()), 4), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus,
-                      "repeat": repeat}))
+    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 4),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
