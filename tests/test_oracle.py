@@ -38,3 +38,10 @@ def test_entry_smoke(spark):
 def test_matches_oracle_sf001(spark, key):
     ok, msg, _, _ = compare(spark, duck(SF001), key, QUERIES[key], ORACLE[key], SF001)
     assert ok, msg
+
+
+def test_outputs_have_clean_unique_columns(spark):
+    for key, fn in QUERIES.items():
+        cols = fn(spark, SF0001).columns
+        assert len(set(cols)) == len(cols), key
+        assert not any(c.startswith("_") for c in cols), (key, cols)
