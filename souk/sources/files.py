@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Column layouts of the raw files as the reference names them (the product
-# file keeps its source typos ``..._lenght``).
+# Column layouts of the raw files as the reference names them
+# (the product file keeps its source typos ``..._lenght``).
 RAW_SCHEMAS = {
     "product_category_name_translation":
         "product_category_name string, product_category_name_english string",

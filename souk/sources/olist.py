@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import bounded_broadcast
 from .files import read_csv
 
-# File names of the data set and the table each one holds.
+# File names of the public data set and the table each holds.
 FILES = {
     "customers": "customers.csv",
     "geolocation": "geolocation.csv",
@@ -32,6 +32,8 @@ FILES = {
     "category_name": "product_category_name_translation.csv",
 }
 
+# Column layouts of those files (the products file keeps its
+# source typos ``..._lenght``).
 SCHEMAS = {
     "customers": "customer_id string, customer_unique_id string, "
                  "customer_zip_code_prefix string, customer_city string, "
