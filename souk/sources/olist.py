@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import bounded_broadcast
-from .files import read_csv
+from .files import RAW_SCHEMAS, read_csv
 
-# File names of the public data set and the table each holds.
+# File names of the public data set, by table.
 FILES = {
     "customers": "customers.csv",
     "geolocation": "geolocation.csv",
@@ -29,39 +29,7 @@ FILES = {
     "orders": "orders.csv",
     "products": "products.csv",
     "sellers": "sellers.csv",
-    "category_name": "product_category_name_translation.csv",
-}
-
-# Column layouts of those files (the products file keeps its
-# source typos ``..._lenght``).
-SCHEMAS = {
-    "customers": "customer_id string, customer_unique_id string, "
-                 "customer_zip_code_prefix string, customer_city string, "
-                 "customer_state string",
-    "geolocation": "geolocation_zip_code_prefix string, geolocation_lat double, "
-                   "geolocation_lng double, geolocation_city string, "
-                   "geolocation_state string",
-    "order_items": "order_id string, order_item_id int, product_id string, "
-                   "seller_id string, shipping_limit_date timestamp_ntz, price double, "
-                   "freight_value double",
-    "order_payments": "order_id string, payment_sequential int, payment_type string, "
-                      "payment_installments int, payment_value double",
-    "order_reviews": "review_id string, order_id string, review_score int, "
-                     "review_comment_title string, review_comment_message string, "
-                     "review_creation_date timestamp_ntz, "
-                     "review_answer_timestamp timestamp_ntz",
-    "orders": "order_id string, customer_id string, order_status string, "
-              "order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "
-              "order_delivered_carrier_date timestamp_ntz, "
-              "order_delivered_customer_date timestamp_ntz, "
-              "order_estimated_delivery_date timestamp_ntz",
-    "products": "product_id string, product_category_name string, "
-                "product_name_lenght int, product_description_lenght int, "
-                "product_photos_qty int, product_weight_g int, product_length_cm int, "
-                "product_height_cm int, product_width_cm int",
-    "sellers": "seller_id string, seller_zip_code_prefix string, seller_city string, "
-               "seller_state string",
-    "category_name": "product_category_name string, product_category_name_english string",
+    "product_category_name_translation": "product_category_name_translation.csv",
 }
 
 # The country's five regions and the state codes in each.
@@ -85,7 +53,7 @@ class RetailFiles:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             path = f"{self.folder.rstrip('/')}/{FILES[name]}"
-            self._tables[name] = read_csv(self.spark, path, SCHEMAS[name])
+            self._tables[name] = read_csv(self.spark, path, RAW_SCHEMAS[name])
         return self._tables[name]
 
     @cached_property
@@ -117,7 +85,7 @@ class RetailFiles:
     @cached_property
     def category_name(self) -> DataFrame:
         # one row per category: small by nature, checked before broadcasting
-        return bounded_broadcast(self.table("category_name"), 100_000)
+        return bounded_broadcast(self.table("product_category_name_translation"), 100_000)
 
     @cached_property
     def order_reviews(self) -> DataFrame:
