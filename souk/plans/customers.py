@@ -76,6 +76,11 @@ def repeat_by_city(orders: DataFrame, customers: DataFrame,
     fan-out, geolocation is reduced to (zip, city, rows) and orders to
     (person, zip, orders); the product of the two gives the same count.
     Corrected (``faithful=False``): an order counts once per city.
+
+    As in the reference, totals include persons without any order, a repeat
+    buyer has more than ``min_orders`` orders (the code's rule, not the "more
+    than two" of its comment), and only cities with more than
+    ``min_customers`` persons are reported.
     """
     zip_c, city = "customer_zip_code_prefix", "customer_city"
     geo = (geolocation.groupBy(
