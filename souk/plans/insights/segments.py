@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions import day_diff, from_cents, money_sum
+from ...operators.topk import top_k_per_group
 from .common import MISC, order_categories, revenue_per_order
 
 PERSON = "customer_unique_id"
@@ -162,8 +163,8 @@ def recommend(order_items: DataFrame, products: DataFrame, top: int = 3) -> Data
             .select(F.explode(F.expr(directed)).alias("p"), "n")
             .groupBy(F.col("p.a").alias("category"), F.col("p.b").alias("partner_category"))
             .agg(F.sum("n").alias("orders")))
-    w = Window.partitionBy("category").orderBy(F.desc("orders"), "partner_category")
-    ranked = both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    ranked = top_k_per_group(both, ["category"],
+                             [F.desc("orders"), F.col("partner_category")], top)
     per_product = (order_items.select("product_id", "price")
                    .join(products.select("product_id", "product_category_name"), "product_id")
                    .groupBy("product_category_name", "product_id")
