@@ -98,3 +98,19 @@ def test_hot_null_key_is_split_by_aqe(spark, tmp_dir):
     assert got == {(True, False): 1, (True, True): 499_999,
                    (False, False): 250_000, (False, True): 750_000}
     assert "SortMergeJoin(skew=true)" in final
+
+
+def test_bounded_broadcast_hints_only_under_the_bound(spark):
+    from souk.operators.joins import bounded_broadcast
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # no automatic broadcast
+    try:
+        under = plan_of(big.join(bounded_broadcast(small, max_rows=20), "k"))
+        over = plan_of(big.join(bounded_broadcast(small, max_rows=5), "k"))
+        known = plan_of(big.join(bounded_broadcast(small, 5, known_rows=3), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in under and "BroadcastHashJoin" in known
+    assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
