@@ -16,11 +16,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 ROW_ID = "_souk_rid"
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], flag: str = "is_duplicate",
-                    order_by: Sequence[str] | None = None) -> DataFrame:
+                    order_by: Sequence[str] | None = None,
+                    stable: bool = False) -> DataFrame:
     """Add boolean ``flag``: True for every row but the first of its key.
 
     Keys compare NULL-safe, so all rows with a NULL key form one group (as in
@@ -30,11 +33,17 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], flag: str = "is_duplicat
     rows wins does not change the result.
 
     The row id comes from the input's partition layout, so ``df`` must be a
-    deterministic scan (a Parquet table or a union of them), not the output of
-    a shuffle; the pipeline stages its input as a table before validating.
+    deterministic scan (a Parquet table or a union of them); the pipeline
+    stages its input as a table before validating. For any other input (e.g.
+    the output of a shuffle) pass ``stable=True``: the tagged rows are then
+    written once with a reliable ``checkpoint()`` to the session's
+    ``spark.checkpoint.dir``, which fixes the ids and cuts the lineage.
     """
     order_by = list(order_by or df.columns)
     tagged = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    if stable:
+        ensure_checkpoint_dir(df.sparkSession)
+        tagged = tagged.checkpoint(eager=True)
     first = (tagged.groupBy(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)])
              .agg(F.min(F.struct(*order_by, ROW_ID))[ROW_ID].alias("_first")))
     cond = None

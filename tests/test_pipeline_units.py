@@ -142,3 +142,11 @@ def test_cluster_conf_scales_with_input():
     small = cluster_conf(10 * 1024 ** 2, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_flag_duplicates_on_shuffled_input_with_checkpoint(spark, tmp_dir):
+    rows = [("k", "A", 1, 1, 1, 1, 1, 1, 1)] * 5 + [(None, "B", 1, 1, 1, 1, 1, 1, 1)] * 3
+    shuffled = raw(spark, rows, tmp_dir).repartition(4, "product_category_name")
+    df = flag_duplicates(shuffled, ["product_id"], "dup", stable=True)
+    got = sorted((r.product_id or "", r.dup) for r in df.collect())
+    assert got == [("", False)] + [("", True)] * 2 + [("k", False)] + [("k", True)] * 4
