@@ -50,4 +50,5 @@ ORACLE.update({
     "q_repeat_rate_corrected": reports.Q_REPEAT_RATE_CORRECTED,
     "q_category_revenue_unmapped": reports.Q_CATEGORY_REVENUE_UNMAPPED,
     "q_delivery_by_city_exact": reports.Q_DELIVERY_BY_CITY_EXACT,
+    "q_delivery_by_city_corrected": reports.Q_DELIVERY_BY_CITY_CORRECTED,
 })

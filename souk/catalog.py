@@ -161,6 +161,9 @@ QUERIES: dict[str, Query] = {
         r.order_items, r.products, r.category_name, keep_unmapped=True)),
     "q_delivery_by_city_exact": _on(lambda r: logistics.delivery_by_city(
         r.orders, r.customers, exact=True)),
+    "q_delivery_by_city_corrected": _on(lambda r: logistics.delivery_by_city(
+        r.orders, r.customers, exact=True, start="order_purchase_timestamp",
+        by_state=True)),
     "q_churn_over_time": _on(lambda r: customers.churn_over_time(
         r.orders, r.customers, list(CHURN_CUTOFFS))),
     # ---- load pipeline ----
