@@ -1,7 +1,7 @@
 """Inputs: Parquet tables, raw CSV files, and the retail frames built on them
 (``Retail`` over the test data set, ``RetailFiles`` over the raw CSV files)."""
 
-from .olist import RetailFiles
+from .retail_files import RetailFiles
 from .proxies import Retail
 
 __all__ = ["Retail", "RetailFiles"]

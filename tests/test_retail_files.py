@@ -6,7 +6,7 @@ import pytest
 
 from souk.plans import customers, pipeline, quality, revenue
 from souk.plans.insights import operations as OP
-from souk.sources.olist import RetailFiles
+from souk.sources.retail_files import RetailFiles
 
 CSV = {
     "customers.csv": """customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state
@@ -57,7 +57,7 @@ informatica_acessorios,computers_accessories
 
 @pytest.fixture(scope="module")
 def files(spark, tmp_path_factory):
-    folder = tmp_path_factory.mktemp("olist")
+    folder = tmp_path_factory.mktemp("rawfiles")
     for name, text in CSV.items():
         with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
             f.write(text)
