@@ -130,6 +130,10 @@ def _incremental(r: Retail) -> DataFrame:
 
 P = quality.PRODUCTS
 
+# Keys that write files while being built (zone folders under the session's
+# checkpoint folder); plan-only tools skip them.
+WRITING_KEYS = frozenset({"etl_end_to_end", "etl_published", "src_csv_translation"})
+
 QUERIES: dict[str, Query] = {
     # ---- the nine reference reports (faithful) ----
     "q_monthly_revenue_trend": _on(lambda r: revenue.monthly_revenue_trend(

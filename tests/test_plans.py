@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from tests.conftest import SF001
 
 QUERIES = E.queries()
-WRITERS = {"etl_end_to_end", "etl_published", "src_csv_translation"}  # write on build
+from souk.catalog import WRITING_KEYS as WRITERS
 
 
 def plan_of(df) -> str:

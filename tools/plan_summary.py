@@ -30,13 +30,13 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     data = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    from souk.catalog import QUERIES
+    from souk.catalog import QUERIES, WRITING_KEYS
     from souk.session import local_session
     spark = local_session()
     print("| key | hash shuffles | range | single | BHJ | SMJ | BNLJ | top-k | group limit | shuffle keys |")
     print("|---|---|---|---|---|---|---|---|---|---|")
     for key, fn in QUERIES.items():
-        if key in ("etl_end_to_end", "etl_published", "src_csv_translation"):
+        if key in WRITING_KEYS:
             continue
         plan = fn(spark, data)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
