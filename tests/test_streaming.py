@@ -52,3 +52,20 @@ def test_replayed_epoch_is_not_published_twice(spark, tmp_dir):
     again = load_micro_batch(spark, batch, 7, spec=Q.PRODUCTS, root=zones)
     assert first["rows_loaded"] == 1 and again is None
     assert P.read_audit(spark, zones).count() == 1
+
+
+def test_one_run_two_micro_batches(spark, tmp_dir):
+    src, zones = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "zones")
+    os.makedirs(src)
+    _write(os.path.join(src, "a.csv"), [("p1", "A", 1, 1, 1, 5, 1, 1, 1)])
+    _write(os.path.join(src, "b.csv"), [("p1", "A", 1, 1, 1, 5, 1, 1, 1),
+                                        ("p2", "B", 1, 1, 1, 5, 1, 1, 1)])
+    q = start_incremental_load(spark, src, zones, os.path.join(tmp_dir, "ckpt"),
+                               max_files_per_trigger=1)
+    q.awaitTermination(120)
+    audit = P.read_audit(spark, zones).filter(F.col("status") == "SUCCESS") \
+        .orderBy("run_id").collect()
+    assert [a.run_id for a in audit] == [1, 2]                 # one batch per file
+    assert len({a.source_file for a in audit}) == 2            # distinct epoch tags
+    clean = P.read_published(spark, zones, "clean", "products", all_batches=True)
+    assert sorted(r.product_id for r in clean.collect()) == ["p1", "p2"]
