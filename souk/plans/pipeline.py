@@ -24,10 +24,11 @@ from .quality import TableSpec
 log = logging.getLogger("souk.pipeline")
 
 # The reference's audit columns plus ``source_file`` (which input a run
-# loaded; lets a replayed streaming micro-batch be recognised cheaply).
+# loaded; lets a replayed streaming micro-batch be recognised cheaply) and
+# ``profile`` (which rule profile produced the batch).
 AUDIT_SCHEMA = ("run_id int, table_name string, rows_loaded long, rows_rejected long, "
                 "load_datetime timestamp_ntz, status string, error_message string, "
-                "source_file string")
+                "source_file string, profile string")
 LINEAGE = ("load_datetime", "source_file", "batch_id")
 MAX_ERROR_TEXT = 500
 
@@ -140,10 +141,11 @@ def next_batch_id(audit: DataFrame) -> int:
 
 def audit_row(spark: SparkSession, run_id: int, table: str, loaded: int,
               rejected: int, status: str, message: str | None,
-              load_ts: dt.datetime, source_file: str | None = None) -> DataFrame:
+              load_ts: dt.datetime, source_file: str | None = None,
+              profile: str | None = None) -> DataFrame:
     return spark.createDataFrame(
-        [(run_id, table, loaded, rejected, load_ts, status, message, source_file)],
-        AUDIT_SCHEMA)
+        [(run_id, table, loaded, rejected, load_ts, status, message, source_file,
+          profile)], AUDIT_SCHEMA)
 
 
 def audit_summary(validated: DataFrame, table: str) -> DataFrame:
@@ -228,6 +230,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         else:
             raise ValueError(f"unknown profile {profile!r}")
         if incremental and has_published(spark, root, spec.table):
+            _check_profile(spark, root, spec.table, profile)
             old = read_published(spark, root, "clean", spec.table, all_batches=True)
             clean = incremental_rows(clean, old, spec.key)
         try:
@@ -236,7 +239,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         finally:
             validated.unpersist()
         audit_row(spark, batch_id, spec.table, loaded, rejected, "SUCCESS", None,
-                  load_ts, source_file or spec.source_file) \
+                  load_ts, source_file or spec.source_file, profile) \
             .write.mode("append").parquet(audit_path(root))
         log.info("%s batch %d: %d loaded, %d rejected", spec.table, batch_id,
                  loaded, rejected)
@@ -248,13 +251,25 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         count, limit = (0, 4000) if profile == "message" else (-1, MAX_ERROR_TEXT)
         try:
             audit_row(spark, batch_id, spec.table, count, count, "FAILED",
-                      str(exc)[:limit], load_ts, source_file or spec.source_file) \
+                      str(exc)[:limit], load_ts, source_file or spec.source_file,
+                      profile) \
                 .write.mode("append").parquet(audit_path(root))
         except Exception as audit_exc:  # keep the original error
             log.error("could not write the failure audit row: %s", audit_exc)
         raise
 
 
+def _check_profile(spark: SparkSession, root: str, table: str, profile: str) -> None:
+    """Appended batches must share one clean layout, i.e. one rule profile."""
+    others = (read_audit(spark, root)
+              .filter((F.col("table_name") == table) & (F.col("status") == "SUCCESS")
+                      & F.col("profile").isNotNull() & (F.col("profile") != profile))
+              .limit(1).count())
+    if others:
+        raise ValueError(f"{table} was loaded with another rule profile; appending "
+                         f"{profile!r} batches would mix two clean layouts")
+
+
 def empty_clone(df: DataFrame) -> DataFrame:
     """Same columns and types as ``df``, no rows (``SELECT * INTO .. WHERE 1=0``);
     the empty relation is folded away by the optimizer, so nothing is read."""

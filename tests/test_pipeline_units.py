@@ -150,3 +150,15 @@ def test_flag_duplicates_on_shuffled_input_with_checkpoint(spark, tmp_dir):
     df = flag_duplicates(shuffled, ["product_id"], "dup", stable=True)
     got = sorted((r.product_id or "", r.dup) for r in df.collect())
     assert got == [("", False)] + [("", True)] * 2 + [("k", False)] + [("k", True)] * 4
+
+
+def test_append_refuses_a_second_profile(spark, tmp_dir):
+    r = Retail(spark, SF0001)
+    zones = os.path.join(tmp_dir, "zones")
+    P.run_pipeline(spark, r.raw_products, Q.PRODUCTS, zones, load_ts=TS, incremental=True)
+    with pytest.raises(ValueError, match="another rule profile"):
+        P.run_pipeline(spark, r.raw_products, Q.PRODUCTS, zones, profile="flags",
+                       load_ts=TS, incremental=True)
+    audit = P.read_audit(spark, zones).orderBy("run_id").collect()
+    assert [(a.status, a.profile) for a in audit] == [("SUCCESS", "message"),
+                                                      ("FAILED", "flags")]
