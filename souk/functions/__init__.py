@@ -52,11 +52,6 @@ def day_diff(start: str | Column, end: str | Column) -> Column:
     return F.datediff(col_(end).cast("date"), col_(start).cast("date"))
 
 
-def int_avg(c: str | Column) -> Column:
-    """AVG over an integer with an integer result, truncated toward zero."""
-    return F.avg(col_(c)).cast("int")
-
-
 def month_label(ts: str | Column) -> Column:
     return F.date_format(col_(ts), "yyyy-MM")
 
