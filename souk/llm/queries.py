@@ -7,8 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
-from .common import read_table, text_of
+from . import bpe, langid, simhash
+from .common import id_remainder, read_table, text_of
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    got = simhash.near_duplicates(read_table(spark, sf_dir, "documents"),
+                                  shingle=4, max_bits=4)
+    return got.select(F.col("id").alias("doc_id"),
+                      F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      "component_id")
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    part = id_remainder(4)
+    model = langid.fit(docs, F.coalesce(part != 2, F.lit(False)))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +44,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_simhash": op6_simhash,
+    "op8_langid": op8_langid,
     "op9_bpe": op9_bpe,
 }
 ORACLE: dict[str, str] = {}
