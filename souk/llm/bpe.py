@@ -37,10 +37,11 @@ from pyspark.sql import types as T
 
 from .common import map_columns, text_of
 
-ARC_LIMIT = 300_000    # arcs kept per worker before the tables start afresh
+ARC_LIMIT = 120_000    # arcs kept per worker before the tables start afresh
+PAIR_LIMIT = 300_000   # neighbour checks remembered per worker
 NEVER = 1 << 60
 FEW = 6              # entries below a trie node that are tried one by one
-PIECE_LIMIT = 300_000  # finished pieces in each of two generations per worker
+PIECE_LIMIT = 150_000  # finished pieces in each of two generations per worker
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -109,7 +110,7 @@ class Transducer:
         key = (node, last)
         got = self.open.get(key)
         if got is None:
-            if len(self.open) > 1_000_000:
+            if len(self.open) > PAIR_LIMIT:
                 self.open.clear()
             below = self.tokens_below(node)
             got = self.open[key] = below is None or any(
@@ -176,7 +177,7 @@ class Transducer:
         ok = self.fits.get((left, right))
         if ok is not None:
             return ok
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > PAIR_LIMIT:
             self.fits.clear()
         a, b = self.spine(left, 1), self.spine(right, 0)
         ok, i, j, get = True, 0, 0, self.ranks.get
@@ -253,7 +254,7 @@ class Transducer:
             state = step[0]
             if step[1]:
                 out.extend(step[1])
-            if self.n_arcs > 2 * ARC_LIMIT:  # a very long piece
+            if self.n_arcs > ARC_LIMIT + 20_000:  # a very long piece
                 self.reset()
                 state = self.state(state[0])
         out.extend(state[2])

@@ -7,10 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, simhash
+from . import bpe, decontam, langid, secrets, simhash
 from .common import id_remainder, read_table, text_of
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base kinds and Markov finds."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = secrets.scan(docs, secrets.fit(docs))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda x: x["k"] == kind)).cast("long")
+
+    return got.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"),
+                      count(2).alias("n_hex"),
+                      F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+                      secrets.spelled(F.col("spans")).alias("spans"))
+
+
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with distance and place."""
+    return decontam.find(read_table(spark, sf_dir, "documents"),
+                         read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     got = simhash.near_duplicates(read_table(spark, sf_dir, "documents"),
@@ -44,6 +64,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op5_decontam": op5_decontam,
     "op6_simhash": op6_simhash,
     "op8_langid": op8_langid,
     "op9_bpe": op9_bpe,
