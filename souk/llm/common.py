@@ -28,6 +28,12 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once: an expression used inside a lambda
+    would be evaluated again for every element."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def id_remainder(divisor: int, id_col: str = "doc_id") -> Column:
     """crc32 of the id written as text, modulo ``divisor``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, secrets, simhash
+from . import bpe, decontam, langid, rules, secrets, sharding, simhash
 from .common import id_remainder, read_table, text_of
 
 
@@ -25,6 +25,25 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       secrets.spelled(F.col("spans")).alias("spans"))
 
 
+def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rule and learned verdict of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = rules.learn(docs, read_table(spark, sf_dir, "labels"))
+    return rules.apply(docs, learned).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A uniform shuffle of all documents into 16 shards of equal row counts."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text_of()).cast("long") + 1).alias("size"),
+        F.crc32(text_of().cast("binary")).alias("text_crc32"))
+    return sharding.shuffle(docs, shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with distance and place."""
     return decontam.find(read_table(spark, sf_dir, "documents"),
@@ -65,6 +84,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op3_rules": op3_rules,
+    "op4_sharding": op4_sharding,
     "op5_decontam": op5_decontam,
     "op6_simhash": op6_simhash,
     "op8_langid": op8_langid,

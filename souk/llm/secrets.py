@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sample_fraction, text_of
+from .common import let, sample_fraction, text_of
 
 # The three base patterns.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -153,10 +153,15 @@ def scan(docs: DataFrame, ratios: list[float], text_col: str = "text",
     run = f"{RUN}{{{least},}}"
     words = F.regexp_extract_all(text, F.lit(run), F.lit(0))
     random = F.transform(words, lambda w: log_ratio(w, ratios) > log_odds)
-    clear = F.filter(_located(text, run, 3, random), lambda m: ~F.exists(
-        F.col(base_out), lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"])))
+    more = _located(text, run, 3, random)
+
+    def joined(base: Column) -> Column:
+        clear = F.filter(more, lambda m: ~F.exists(
+            base, lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"])))
+        return F.sort_array(F.concat(base, clear))
+
     return docs.withColumn(base_out, base_spans(text)) \
-        .withColumn(all_out, F.sort_array(F.concat(F.col(base_out), clear)))
+        .withColumn(all_out, let(F.col(base_out), joined))
 
 
 def spelled(spans: Column) -> Column:
@@ -180,8 +185,8 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
     merged = F.aggregate(spans, F.array().cast(pair), step)
     cuts = F.concat(F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"))), merged)
-    parts = F.transform(cuts, lambda x, i: text.substr(
-        x["e"] + 1, F.coalesce(F.get(cuts, i + 1)["s"], F.length(text)) - x["e"]))
+    parts = let(cuts, lambda cs: F.transform(cs, lambda x, i: text.substr(
+        x["e"] + 1, F.coalesce(F.get(cs, i + 1)["s"], F.length(text)) - x["e"])))
     return F.when(F.size(spans) > 0, F.array_join(parts, mark)).otherwise(text)
 
 

@@ -196,7 +196,7 @@ def near_links(points: np.ndarray, queries: np.ndarray, max_bits: int,
 
 # ------------------------------------------------------------------- search ----
 def links(fps: DataFrame, max_bits: int = 4, shard_rows: int = 1 << 17,
-          block_rows: int = 1 << 16, all_pairs: bool = False) -> DataFrame:
+          block_rows: int = 1 << 18, all_pairs: bool = False) -> DataFrame:
     """Links (a, b), signed fingerprints, between the rows of ``fps`` (fp: long,
     distinct): all pairs, or per block a spanning forest of them."""
     spark = fps.sparkSession
