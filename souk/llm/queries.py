@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, rules, secrets, sharding, simhash
+from . import bpe, bytecnn, chat, decontam, langid, rules, secrets, sharding, simhash
 from .common import id_remainder, read_table, text_of
 
 
@@ -25,6 +25,18 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       secrets.spelled(F.col("spans")).alias("spans"))
 
 
+# a conversation whose texts spell marks of chat templates
+MARKS = r"\### Assistant: </turn> ok"
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, formatted in prefix trees and read back."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)],
+                                 rows.schema)
+    return chat.read_back(chat.pack(rows.unionByName(more)))
+
+
 def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and learned verdict of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,6 +71,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op7_bytecnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    net = bytecnn.fit(docs, read_table(spark, sf_dir, "labels"), id_remainder(5, "id") != 0)
+    return bytecnn.predict(docs.select("doc_id", "text"), net).select(
+        "doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -84,11 +105,38 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_chat": op2_chat,
     "op3_rules": op3_rules,
     "op4_sharding": op4_sharding,
     "op5_decontam": op5_decontam,
     "op6_simhash": op6_simhash,
+    "op7_bytecnn": op7_bytecnn,
     "op8_langid": op8_langid,
     "op9_bpe": op9_bpe,
 }
-ORACLE: dict[str, str] = {}
+
+# DuckDB: the digests of chat formatting follow from the rows alone.
+_CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT -7, t.turn, t.role, '\### Assistant: </turn> ok'
+  FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
+), said AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                  FILTER (role = 'assistant'), '') AS loss,
+         sum(length(replace(replace(text, '\', '\\'), '<', '\l'))
+             + length(replace(replace(replace(role, '\', '\\'), '<', '\l'), '>', '\g'))
+             + length('<turn >') + length('</turn>') + 2) AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n_turns AS BIGINT) AS n_turns,
+       sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM said
+"""
+
+ORACLE: dict[str, str] = {"op2_chat": _CHAT}

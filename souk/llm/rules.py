@@ -53,16 +53,20 @@ def _without(text: Column, chars: str) -> Column:
 def _repeat_words(hashes: Column) -> Column:
     """Words in windows of WINDOW words that stand twice or more in a text.
 
-    ``hashes`` has a 64-bit hash per word. Windows are compared by a hash of
-    their word hashes. The positions of repeated ones, in order, cover WINDOW
+    ``hashes`` has a 64-bit hash per word. Windows are compared by a hash built
+    up from pairs, pairs of pairs and so on (WINDOW is a power of two). The positions of repeated ones, in order, cover WINDOW
     words each, less what the one before covers already.
     """
     none = F.lit(0).cast("long")
 
+    def pairs(h: Column, step: int) -> Column:
+        """Hashes of stretches twice as long: each with the one ``step`` on."""
+        return F.zip_with(F.slice(h, 1, F.size(h) - step), F.slice(h, step + 1, F.size(h)),
+                          lambda a, b: F.xxhash64(a, b))
+
     def windows(h: Column) -> Column:
-        return F.when(F.size(h) > WINDOW, F.transform(
-            F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(h, i, WINDOW)))).otherwise(F.array(none))
+        return F.when(F.size(h) > WINDOW, let(let(pairs(h, 1), lambda x: pairs(x, 2)),
+                                              lambda x: pairs(x, 4))).otherwise(F.array(none))
 
     def covered(ordered: Column) -> Column:
         twice = F.filter(ordered, lambda x, k: F.coalesce(
