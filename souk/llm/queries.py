@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, bytecnn, chat, decontam, langid, rules, secrets, sharding, simhash
+from . import bpe, bytecnn, chat, decontam, langid, rules, secrets, sharding, simhash, suffixdedup
 from .common import id_remainder, read_table, text_of
 
 
@@ -103,6 +103,16 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a smaller document has in 50-byte strings."""
+    got = suffixdedup.dedup(read_table(spark, sf_dir, "documents"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"),
+                          lambda n, s: n + s["end"] - s["start"])
+    return got.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_chat": op2_chat,
@@ -113,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bytecnn": op7_bytecnn,
     "op8_langid": op8_langid,
     "op9_bpe": op9_bpe,
+    "op10_suffixdedup": op10_suffixdedup,
 }
 
 # DuckDB: the digests of chat formatting follow from the rows alone.
