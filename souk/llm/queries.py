@@ -113,6 +113,12 @@ def op10_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_chat": op2_chat,
@@ -124,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_bpe": op9_bpe,
     "op10_suffixdedup": op10_suffixdedup,
+    "pipeline": pipeline,
 }
 
 # DuckDB: the digests of chat formatting follow from the rows alone.

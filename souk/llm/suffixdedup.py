@@ -277,7 +277,7 @@ def covered(segments: list[bytes], owners: np.ndarray, length: int) -> list[list
 
 
 # ------------------------------------------------------------------ the passes ----
-def _pack(batches):
+def _pack(batches, block_bytes: int):
     """Blocks of (block, ids, lens, data) from the documents of a partition."""
     from pyspark import TaskContext
     part, n = TaskContext.get().partitionId() << 32, 0
@@ -298,7 +298,7 @@ def _pack(batches):
             texts.append(t.as_py().encode("utf-8", "replace"))
             ids.append(NO_ID if i is None else i)
             size += len(texts[-1])
-            if size >= BLOCK:
+            if size >= block_bytes:
                 yield block()
                 ids, texts, size, n = [], [], 0, n + 1
     if texts:
@@ -321,15 +321,17 @@ def _frame(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
 
 
 def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", block_bytes: int = BLOCK,
+          bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """One row per document: id, n_bytes, spans (the removed runs, byte offsets)
     and kept (the remaining bytes)."""
     spark = docs.sparkSession
     short_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t"))
     total = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
-    buckets, parts = blocks_for(total, BUCKET_BYTES), blocks_for(total, 4 * BLOCK)
-    blocks = rows.mapInArrow(_pack, "block long, data binary").repartition(parts, "block")
+    buckets, parts = blocks_for(total, bucket_bytes), blocks_for(total, 4 * block_bytes)
+    blocks = rows.mapInArrow(lambda batches: _pack(batches, block_bytes),
+                             "block long, data binary").repartition(parts, "block")
 
     def send_anchors(batches):
         for b in batches:
@@ -356,7 +358,7 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
         runs = np.bincount(where, np.concatenate([g[1] for g in got]), len(u))
         many = np.bincount(where, np.concatenate([g[2] for g in got]), len(u)) > 0
         ok = (blocks_of > 1) | many
-        flag = u | (runs > HOT).astype(np.uint64)
+        flag = u | (runs > hot).astype(np.uint64)
         out, at = [], 0
         for block, mine in zip(table.column("block").to_pylist(), values, strict=True):
             k = where[at:at + len(mine)]
