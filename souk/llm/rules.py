@@ -196,7 +196,7 @@ def learn_list(rows: list[dict], precision: float = 0.9, most: int = 12) -> list
         while len(rule) > 1 and _worth(rule[:-1], prune, "bad") >= _worth(rule, prune, "bad"):
             rule = rule[:-1]
         worth, covered = _worth(rule, prune, "bad")
-        if worth < precision or covered < 3:
+        if covered < 3 or worth * (covered + 1) < precision * covered:
             break
         rules.append(rule)
         grow = [r for r in grow if not covers(rule, r)]
