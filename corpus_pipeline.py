@@ -50,12 +50,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts; ``n_chars`` follows where a text changes."""
     found = secrets.scan(docs, secrets.fit(docs), base_out="__base__", all_out="__spans__")
-    text = secrets.redacted(F.col("text"), F.col("__spans__"))
-    columns = {"text": text}
+    clean = found.withColumn("__clean__", secrets.redacted(F.col("text"), F.col("__spans__")))
+    changed = F.size("__spans__") > 0
+    columns = {c: F.col(c) for c in docs.columns} | {"text": F.col("__clean__").alias("text")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.size("__spans__") > 0, F.length(text).cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.withColumns(columns).select(*docs.columns)
+        columns["n_chars"] = F.when(changed, F.length("__clean__").cast(
+            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars")
+    return clean.select(*columns.values())
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
