@@ -7,6 +7,8 @@ written here in SQL. Money is summed as exact integer cents on both sides.
 
 from __future__ import annotations
 
+import re
+
 PROXIES = {
     "r_customers": """
   SELECT c.c_custkey AS customer_id, c.c_custkey // 2 AS customer_unique_id,
@@ -81,11 +83,37 @@ PROXIES = {
 }
 
 
+# The same tables with the faults of real data, over all rows: orders without a
+# date, customers without a person, products listed twice.
+PROXIES |= {
+    "d_orders": """
+  SELECT * REPLACE (CASE WHEN order_id % 97 <> 5 THEN order_purchase_timestamp END
+                    AS order_purchase_timestamp) FROM r_orders""",
+    "d_customers": """
+  SELECT * REPLACE (CASE WHEN customer_id % 11 <> 3 THEN customer_unique_id END
+                    AS customer_unique_id) FROM r_customers""",
+    "d_products": """
+  SELECT * FROM r_products UNION ALL SELECT * FROM r_products WHERE product_id % 13 = 4""",
+}
+
+
+def dirty_proxies(sql: str) -> str:
+    for name in ("orders", "customers", "products"):
+        sql = re.sub(rf"\br_{name}\b", f"d_{name}", sql)
+    return sql
+
+
 def with_proxies(body: str, *extra: tuple[str, str]) -> str:
-    """Prefix ``body`` with the proxy CTEs it mentions plus ``extra`` CTEs."""
-    ctes = [(name, sql) for name, sql in PROXIES.items() if name in body
-            or any(name in e for _, e in extra)]
-    ctes += list(extra)
+    """Prefix ``body`` with the proxy CTEs it needs plus ``extra`` CTEs."""
+    text = "\n".join([body, *(e for _, e in extra)])
+    need: set[str] = set()
+    todo = [n for n in PROXIES if n in text]
+    while todo:
+        name = todo.pop()
+        if name not in need:
+            need.add(name)
+            todo += [n for n in PROXIES if n in PROXIES[name]]
+    ctes = [(n, PROXIES[n]) for n in PROXIES if n in need] + list(extra)
     head = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in ctes)
     return f"WITH {head}\n{body}" if ctes else body
 

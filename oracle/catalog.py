@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from souk.catalog import CHURN_CUTOFF
+from souk.catalog import CHURN_CUTOFF, REPEAT_ORDERS, REPEAT_ORDERS_CITY
 
 from . import etl, reports
 
 ORACLE: dict[str, str] = {
-    "q_monthly_revenue_trend": reports.Q_MONTHLY_REVENUE_TREND,
-    "q_category_revenue": reports.Q_CATEGORY_REVENUE,
-    "q_repeat_by_city": reports.q_repeat_by_city(500),
-    "q_repeat_by_city_all": reports.q_repeat_by_city(0),
-    "q_repeat_by_state": reports.Q_REPEAT_BY_STATE,
-    "q_aov_overall": reports.Q_AOV_OVERALL,
-    "q_aov_by_state": reports.Q_AOV_BY_STATE,
-    "q_repeat_rate": reports.Q_REPEAT_RATE,
-    "q_churn": reports.q_churn(CHURN_CUTOFF),
-    "q_delivery_by_city": reports.Q_DELIVERY_BY_CITY,
+    "q_monthly_revenue_trend": reports.monthly_revenue_trend(),
+    "q_category_revenue": reports.category_revenue(),
+    "q_repeat_by_city": reports.repeat_by("customer_city", min_customers=500),
+    "q_repeat_by_city_all": reports.repeat_by("customer_city", min_customers=0),
+    "q_repeat_by_state": reports.repeat_by("customer_state"),
+    "q_aov_overall": reports.aov_overall(),
+    "q_aov_by_state": reports.aov_by_state(),
+    "q_repeat_rate": reports.repeat_rate(),
+    "q_churn": reports.churn(CHURN_CUTOFF),
+    "q_delivery_by_city": reports.delivery_by_city(),
     "etl_stage": etl.ETL_STAGE,
     "etl_validate_message": etl.ETL_VALIDATE_MESSAGE,
     "etl_validate_flags": etl.ETL_VALIDATE_FLAGS,
@@ -44,11 +44,24 @@ from .insights import INSIGHTS  # noqa: E402
 ORACLE.update(INSIGHTS)
 
 ORACLE.update({
-    "q_repeat_by_city_corrected": reports.Q_REPEAT_BY_CITY_CORRECTED,
-    "q_repeat_by_state_corrected": reports.Q_REPEAT_BY_STATE_CORRECTED,
-    "q_aov_overall_corrected": reports.Q_AOV_OVERALL_CORRECTED,
-    "q_repeat_rate_corrected": reports.Q_REPEAT_RATE_CORRECTED,
-    "q_category_revenue_unmapped": reports.Q_CATEGORY_REVENUE_UNMAPPED,
-    "q_delivery_by_city_exact": reports.Q_DELIVERY_BY_CITY_EXACT,
-    "q_delivery_by_city_corrected": reports.Q_DELIVERY_BY_CITY_CORRECTED,
+    "q_repeat_by_city_corrected": reports.repeat_by_corrected("customer_city"),
+    "q_repeat_by_state_corrected": reports.repeat_by_corrected("customer_state"),
+    "q_aov_overall_corrected": reports.aov_overall(corrected=True),
+    "q_repeat_rate_corrected": reports.repeat_rate(corrected=True),
+    "q_category_revenue_unmapped": reports.category_revenue(unmapped=True),
+    # thresholds near the means of the data, so that they decide something
+    "q_repeat_by_city_large": reports.repeat_by("customer_city", REPEAT_ORDERS_CITY, 250),
+    "q_repeat_by_state_often": reports.repeat_by("customer_state", REPEAT_ORDERS),
+    "q_repeat_rate_often": reports.repeat_rate(REPEAT_ORDERS),
+    # tables with missing dates and persons and repeated products
+    "q_monthly_revenue_trend_dirty": reports.monthly_revenue_trend(dirty=True),
+    "q_category_revenue_dirty": reports.category_revenue(dirty=True),
+    "q_repeat_by_state_dirty": reports.repeat_by("customer_state", REPEAT_ORDERS, dirty=True),
+    "q_repeat_by_city_dirty": reports.repeat_by("customer_city", REPEAT_ORDERS_CITY, 0,
+                                                dirty=True),
+    "q_repeat_rate_dirty": reports.repeat_rate(REPEAT_ORDERS, dirty=True),
+    "q_churn_dirty": reports.churn(CHURN_CUTOFF, dirty=True),
+    "q_delivery_by_city_exact": reports.delivery_by_city(exact=True),
+    "q_delivery_by_city_corrected": reports.delivery_by_city(
+        "order_purchase_timestamp", True, "customer_state, customer_city"),
 })

@@ -19,13 +19,17 @@ from .plans.insights import operations as OP
 from .plans.insights import segments as SG
 from .session import ensure_checkpoint_dir
 from .sources.files import read_raw
-from .sources.proxies import Retail
+from .sources.proxies import DirtyRetail, Retail
 
 # Parameter values of the registered queries. The reference's own thresholds
 # are the library defaults; where the test data's date range makes a default
 # meaningless, the registered value is stated here.
 CHURN_CUTOFF = "2001-01-01"      # test data spans 1995-2001 (reference: 2017-07-01)
 CHURN_CUTOFFS = ("1997-01-01", "1999-01-01", "2001-01-01")
+# near the mean orders of a person, and of a person and city (an order counts
+# once per geolocation row of its zip prefix there): the repeat test separates
+REPEAT_ORDERS = 20
+REPEAT_ORDERS_CITY = 40
 LOAD_TS = dt.datetime(2024, 1, 1)  # fixed load time so results are repeatable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,13 +37,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 # One Retail per (application, data folder): its proxies are analysed logical
 # plans (no data is cached), so later queries skip re-reading footers and
 # re-analysing the same projections. clear_cache() after files change on disk.
-_RETAIL: dict[tuple[str, int, str], Retail] = {}
+_RETAIL: dict[tuple, Retail] = {}
 
 
-def retail(spark: SparkSession, root: str) -> Retail:
-    key = (spark.sparkContext.applicationId, id(spark), root)
+def retail(spark: SparkSession, root: str, kind: type[Retail] = Retail) -> Retail:
+    key = (spark.sparkContext.applicationId, id(spark), root, kind)
     if key not in _RETAIL:
-        _RETAIL[key] = Retail(spark, root)
+        _RETAIL[key] = kind(spark, root)
     return _RETAIL[key]
 
 
@@ -47,10 +51,10 @@ def clear_cache() -> None:
     _RETAIL.clear()
 
 
-def _on(build: Callable[[Retail], DataFrame]) -> Query:
+def _on(build: Callable[[Retail], DataFrame], kind: type[Retail] = Retail) -> Query:
     """Turn ``build(retail) -> DataFrame`` into ``query(spark, data_dir)``."""
     def run(spark: SparkSession, root: str) -> DataFrame:
-        return build(retail(spark, root))
+        return build(retail(spark, root, kind))
     return run
 
 
@@ -170,6 +174,28 @@ QUERIES: dict[str, Query] = {
         by_state=True)),
     "q_churn_over_time": _on(lambda r: customers.churn_over_time(
         r.orders, r.customers, list(CHURN_CUTOFFS))),
+    # ---- thresholds that decide something on the test data ----
+    "q_repeat_by_city_large": _on(lambda r: customers.repeat_by_city(
+        r.orders, r.customers, r.geolocation, min_orders=REPEAT_ORDERS_CITY,
+        min_customers=250)),
+    "q_repeat_by_state_often": _on(lambda r: customers.repeat_by_state(
+        r.orders, r.customers, min_orders=REPEAT_ORDERS)),
+    "q_repeat_rate_often": _on(lambda r: customers.repeat_rate(
+        r.orders, r.customers, min_orders=REPEAT_ORDERS)),
+    # ---- reports on tables with missing dates and persons, repeated products ----
+    "q_monthly_revenue_trend_dirty": _on(lambda r: revenue.monthly_revenue_trend(
+        r.orders, r.order_items), DirtyRetail),
+    "q_category_revenue_dirty": _on(lambda r: revenue.category_revenue(
+        r.order_items, r.products, r.category_name), DirtyRetail),
+    "q_repeat_by_state_dirty": _on(lambda r: customers.repeat_by_state(
+        r.orders, r.customers, min_orders=REPEAT_ORDERS), DirtyRetail),
+    "q_repeat_by_city_dirty": _on(lambda r: customers.repeat_by_city(
+        r.orders, r.customers, r.geolocation, min_orders=REPEAT_ORDERS_CITY,
+        min_customers=0), DirtyRetail),
+    "q_repeat_rate_dirty": _on(lambda r: customers.repeat_rate(
+        r.orders, r.customers, min_orders=REPEAT_ORDERS), DirtyRetail),
+    "q_churn_dirty": _on(lambda r: customers.churn(
+        r.orders, r.customers, cutoff=CHURN_CUTOFF), DirtyRetail),
     # ---- load pipeline ----
     "etl_stage": _on(_staged),
     "etl_validate_message": _on(_validated),

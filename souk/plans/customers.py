@@ -53,13 +53,18 @@ def _repeat_by_place(pairs: DataFrame, place: str, min_orders: int,
     over the person's own places, a group bounded by the number of places,
     so the k·m join rows are never built.
     Corrected: a pair counts once, as repeat when its own count qualifies.
+    A missing person is nobody: it counts in neither number, but keeps its
+    place in the report (with a total of 0 and no rate if alone there).
     """
     is_repeat = F.col("n_orders") > min_orders
+    known = F.col(PERSON).isNotNull()
     if faithful:
         k = F.count_if(is_repeat).over(Window.partitionBy(PERSON))
-        rows = pairs.select(place, F.greatest(k, F.lit(1)).alias("t"), k.alias("r"))
+        t, r = F.greatest(k, F.lit(1)), k
     else:
-        rows = pairs.select(place, F.lit(1).alias("t"), is_repeat.cast("int").alias("r"))
+        t, r = F.lit(1), is_repeat.cast("int")
+    rows = pairs.select(place, F.when(known, t).otherwise(0).alias("t"),
+                        F.when(known, r).otherwise(0).alias("r"))
     return (rows.groupBy(place)
             .agg(F.sum("t").cast("long").alias("total_customers"),
                  F.sum("r").cast("long").alias("repeat_customers")))
@@ -164,14 +169,18 @@ def repeat_rate(orders: DataFrame, customers: DataFrame, *, min_orders: int = 1,
                 faithful: bool = True) -> DataFrame:
     """Repeat persons over all persons, one row.
 
-    Faithful: the denominator counts order rows (joined to a customer), as the
-    reference does. Corrected: it counts persons with at least one order.
+    Faithful: the denominator counts order rows of known persons, as the
+    reference does, and a group of orders without a person can count as a
+    repeat buyer. Corrected: both count known persons with an order.
     """
+    known = F.col(PERSON).isNotNull()
     per_person = (orders_per_customer(orders)
                   .join(customers.select("customer_id", PERSON), "customer_id")
                   .groupBy(PERSON).agg(F.sum("n_orders").alias("n")))
-    total = F.sum("n") if faithful else F.count_if(F.col("n") > 0)
-    return (per_person.agg(F.count_if(F.col("n") > min_orders)
+    repeat = F.col("n") > min_orders
+    total = F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)) if faithful \
+        else F.count_if(known & (F.col("n") > 0))
+    return (per_person.agg(F.count_if(repeat if faithful else repeat & known)
                            .alias("repeat_customers"),
                            total.cast("long").alias("total_customers"))
             .select("repeat_customers", "total_customers",
@@ -195,11 +204,14 @@ def churn(orders: DataFrame, customers: DataFrame, *,
 
     Eligible: first purchase before the cutoff. Churned: last purchase before
     the cutoff (which implies eligible). Rate is NULL when nobody is eligible.
+    As in the reference, orders without a person form one group that can be
+    churned but is never eligible.
     """
     c = F.lit(str(cutoff)).cast("date")
     return (_first_last(orders, customers)
             .agg(F.count_if(F.col("last_d") < c).alias("Churned_Customers"),
-                 F.count_if(F.col("first_d") < c).alias("Eligible_Customers"))
+                 F.count_if((F.col("first_d") < c) & F.col(PERSON).isNotNull())
+                 .alias("Eligible_Customers"))
             .select("Churned_Customers", "Eligible_Customers",
                     pct("Churned_Customers", "Eligible_Customers", 2)
                     .alias("Churn_Rate")))
@@ -216,12 +228,14 @@ def churn_over_time(orders: DataFrame, customers: DataFrame,
     """
     fl = _first_last(orders, customers)
     spark = orders.sparkSession
-    cut = spark.createDataFrame([(str(c),) for c in cutoffs], "cutoff string") \
+    cutoffs = sorted({str(c) for c in cutoffs})  # one given twice counts once
+    cut = spark.createDataFrame([(c,) for c in cutoffs], "cutoff string") \
         .select(F.col("cutoff").cast("date").alias("cutoff"))
     # Both day histograms in one pass: each person contributes a "first" and
     # a "last" row.
     hist = (fl.select(F.explode(F.array(
-        F.struct(F.lit("first").alias("kind"), F.col("first_d").alias("d")),
+        F.struct(F.lit("first").alias("kind"),
+                 F.when(F.col(PERSON).isNotNull(), F.col("first_d")).alias("d")),
         F.struct(F.lit("last").alias("kind"), F.col("last_d").alias("d")))).alias("h"))
         .groupBy("h.kind", "h.d").agg(F.count(F.lit(1)).alias("e")))
     per_cut = (hist.join(F.broadcast(cut), F.col("d") < F.col("cutoff"))

@@ -171,7 +171,7 @@ def recommend(order_items: DataFrame, products: DataFrame, top: int = 3) -> Data
                    .agg(money_sum("price").alias("cents")))
     best = (per_product.groupBy(F.coalesce("product_category_name", F.lit(MISC))
                                 .alias("partner_category"))
-            .agg(F.max_by("product_id", F.struct("cents", -F.col("product_id")))
+            .agg(F.min_by("product_id", F.struct(-F.col("cents"), F.col("product_id")))
                  .alias("top_product_id")))
     return (ranked.join(best, "partner_category", "left")
             .select("category", "rank", "partner_category",
@@ -188,7 +188,8 @@ def revenue_forecast(orders: DataFrame, order_items: DataFrame,
     floating point.
     """
     ts = F.col("order_purchase_timestamp")
-    monthly = (orders.select("order_id", _month_index(ts).alias("m"))
+    # an order without a date belongs to no month
+    monthly = (orders.filter(ts.isNotNull()).select("order_id", _month_index(ts).alias("m"))
                .join(revenue_per_order(order_items), "order_id")
                .groupBy("m").agg(F.sum("rev_cents").alias("y")))
     first = monthly.agg(F.min("m").alias("m0"), F.max("m").alias("m1"))

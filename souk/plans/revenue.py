@@ -40,15 +40,11 @@ def monthly_revenue_trend(orders: DataFrame, order_items: DataFrame) -> DataFram
                         F.month(ts).alias("order_month"),
                         month_label(ts).alias("month_label"))
                .agg(F.sum("rev_cents").alias("rev_cents")))
-    # Running total within the year = total so far over all months minus the
-    # total of the earlier years (exact: integer cents). Both windows run over
-    # the monthly rows (12 per year, a bounded set) in one partition, which
-    # also serves the final sort: no shuffle by year and no range sort.
-    so_far = Window.orderBy("order_year", "order_month").rowsBetween(
+    # At most twelve rows a year (orders without a date are a year of their
+    # own), so a window by year sees a bounded group.
+    so_far = Window.partitionBy("order_year").orderBy("order_month").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    earlier_years = Window.orderBy("order_year").rangeBetween(Window.unboundedPreceding, -1)
-    running = (F.sum("rev_cents").over(so_far)
-               - F.coalesce(F.sum("rev_cents").over(earlier_years), F.lit(0)))
+    running = F.sum("rev_cents").over(so_far)
     return (monthly.select(
         "order_year", "order_month", "month_label",
         F.round(from_cents("rev_cents"), 2).alias("total_revenue"),
@@ -67,36 +63,28 @@ def category_revenue(order_items: DataFrame, products: DataFrame,
     order with items of two categories counts in both. ``keep_unmapped=True``
     keeps those groups under their source name instead.
 
-    One scan of ``order_items``: the grand total is taken from the per-category
-    aggregate, including items whose product is unknown (a left join marks
-    them).
+    The grand total is the plain sum over the items (a one-row aggregate of one
+    column), taken before the join: a product listed twice counts its items
+    twice in its category, as in the reference, but not in the total.
     """
-    p = products.select("product_id", "product_category_name",
-                        F.lit(True).alias("_known"))
     per_cat = (order_items.select("order_id", "product_id", "price")
-               .join(p, "product_id", "left")
-               .groupBy("_known", "product_category_name")
+               .join(products.select("product_id", "product_category_name"), "product_id")
+               .groupBy("product_category_name")
                .agg(money_sum("price").alias("cents"),
                     F.count_distinct("order_id").alias("order_count")))
+    total = order_items.agg(money_sum("price").alias("all_cents"))
     names = category_name.select(
         F.col("product_category_name").alias("category"),
         F.col("product_category_name_english").alias("english"))
     category = F.coalesce("product_category_name", F.lit(misc_label))
-    # Groups that the reference drops (unknown product; Misc or untranslated
-    # unless keep_unmapped) get a NULL label: they still count in the grand
-    # total, then leave the result.
-    english = F.coalesce("english", "category") if keep_unmapped else F.col("english")
-    label = F.when(F.col("_known"), english)
-    labelled = (per_cat.select("_known", category.alias("category"), "cents", "order_count")
+    # Misc and untranslated groups have no label unless keep_unmapped
+    label = F.coalesce("english", "category") if keep_unmapped else F.col("english")
+    labelled = (per_cat.select(category.alias("category"), "cents", "order_count")
                 .join(names, "category", "left")
                 .groupBy(label.alias("product_category_name"))
                 .agg(F.sum("cents").alias("cents"),
                      F.sum("order_count").alias("number_of_orders")))
-    # The grand total is a window over the labelled groups (one row per
-    # category, a bounded domain): the items are scanned once, and the final
-    # sort needs no extra shuffle since the window leaves one partition.
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (labelled.withColumn("all_cents", F.sum("cents").over(everything))
+    return (labelled.crossJoin(F.broadcast(total))
             .filter(F.col("product_category_name").isNotNull())
             .select("product_category_name",
                     F.round(from_cents("cents"), 2).alias("total_revenue"),

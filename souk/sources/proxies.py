@@ -186,3 +186,25 @@ class Retail:
             .alias("product_height_cm"),
             F.when(k % 71 == 7, F.lit(-1)).otherwise(size + 2)
             .alias("product_width_cm"))
+
+
+class DirtyRetail(Retail):
+    """The same tables with the faults of real data, over all their rows:
+    orders without a date, customers without a person, products listed twice."""
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return Retail.orders.func(self).withColumn(
+            "order_purchase_timestamp",
+            F.when(F.col("order_id") % 97 != 5, F.col("order_purchase_timestamp")))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return Retail.customers.func(self).withColumn(
+            "customer_unique_id",
+            F.when(F.col("customer_id") % 11 != 3, F.col("customer_unique_id")))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        p = Retail.products.func(self)
+        return p.unionByName(p.filter(F.col("product_id") % 13 == 4))
