@@ -2,7 +2,7 @@
 
 Each statement reads the pre-registered views (``orders``, ``lineitem``, ...)
 through the same retail proxies as ``souk.sources.proxies`` (FIXTURES.md §3),
-written here in SQL. Money is summed as exact integer cents on both sides.
+written here in SQL. Money is summed as exact decimals on both sides.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ PROXIES = {
   SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
          l_suppkey AS seller_id, l_extendedprice AS price, l_quantity AS quantity,
          l_extendedprice * l_tax AS freight_value,
-         CAST(round(l_extendedprice * 100) AS BIGINT) AS price_cents
+         CAST(l_extendedprice AS DECIMAL(18, 6)) * 100 AS price_cents
   FROM lineitem""",
     "r_products": """
   SELECT p_partkey AS product_id,

@@ -50,7 +50,9 @@ ORACLE.update({
     "q_repeat_rate_corrected": reports.repeat_rate(corrected=True),
     "q_category_revenue_unmapped": reports.category_revenue(unmapped=True),
     # thresholds near the means of the data, so that they decide something
-    "q_repeat_by_city_large": reports.repeat_by("customer_city", REPEAT_ORDERS_CITY, 250),
+    "q_repeat_by_city_large": reports.repeat_by("customer_city", min_customers=250),
+    "q_repeat_by_city_often": reports.repeat_by("customer_city", REPEAT_ORDERS_CITY, 60),
+    "q_churn_by_inactivity": reports.churn_by_inactivity(6),
     "q_repeat_by_state_often": reports.repeat_by("customer_state", REPEAT_ORDERS),
     "q_repeat_rate_often": reports.repeat_rate(REPEAT_ORDERS),
     # tables with missing dates and persons and repeated products
@@ -61,6 +63,7 @@ ORACLE.update({
                                                 dirty=True),
     "q_repeat_rate_dirty": reports.repeat_rate(REPEAT_ORDERS, dirty=True),
     "q_churn_dirty": reports.churn(CHURN_CUTOFF, dirty=True),
+    "q_category_revenue_clean_zone": reports.category_revenue_clean_zone(),
     "q_delivery_by_city_exact": reports.delivery_by_city(exact=True),
     "q_delivery_by_city_corrected": reports.delivery_by_city(
         "order_purchase_timestamp", True, "customer_state, customer_city"),

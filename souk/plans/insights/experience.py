@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import cents, day_diff, from_cents, pct
 from ...operators.joins import bounded_broadcast
+from ...operators.quantiles import exact_quantiles
 from .common import delivered, order_categories, order_sellers
 
 # National public holidays with a fixed calendar date
 # (month, day) in the reference's market.
 FIXED_HOLIDAYS = ((1, 1), (4, 21), (5, 1), (9, 7), (10, 12), (11, 2), (11, 15), (12, 25))
 
+# Days from Easter Sunday of the movable ones (Carnival Monday and
+# Tuesday, Good Friday, Corpus Christi).
+MOVABLE_HOLIDAYS = (-48, -47, -2, 60)
+
 SCORES = (1, 2, 3, 4, 5)
 
 
@@ -40,24 +47,37 @@ def delay_vs_review(orders: DataFrame, reviews: DataFrame) -> DataFrame:
             .crossJoin(F.broadcast(corr)))
 
 
-def holidays(spark) -> DataFrame:
-    rows = [(m, d) for m, d in FIXED_HOLIDAYS]
-    return bounded_broadcast(spark.createDataFrame(rows, "h_month int, h_day int"),
-                             known_rows=len(rows))
+def easter(year: int) -> dt.date:
+    """Easter Sunday of the Gregorian calendar (the usual computus)."""
+    century, gold = year // 100, year % 19
+    epact = (century - century // 4 - (8 * century + 13) // 25 + 19 * gold + 15) % 30
+    epact -= epact // 28 * (1 - epact // 28 * (29 // (epact + 1)) * ((21 - gold) // 11))
+    weekday = (year + year // 4 + epact + 2 - century + century // 4) % 7
+    day = epact - weekday
+    month = 3 + (day + 40) // 44
+    return dt.date(year, month, day + 28 - 31 * (month // 4))
+
+
+def holidays(spark, years: range = range(1900, 2101)) -> DataFrame:
+    """(holiday): dates of the fixed and the movable holidays of ``years``."""
+    days = {dt.date(y, m, d) for y in years for m, d in FIXED_HOLIDAYS}
+    days |= {easter(y) + dt.timedelta(n) for y in years for n in MOVABLE_HOLIDAYS}
+    rows = [(d,) for d in sorted(days)]
+    return bounded_broadcast(spark.createDataFrame(rows, "holiday date"), known_rows=len(rows))
 
 
 def weekend_holiday_delay(orders: DataFrame) -> DataFrame:
     """Delivery of orders placed on a holiday, a weekend or a weekday."""
     ts = F.col("order_purchase_timestamp")
     d = (delivered(orders).filter(F.col("order_estimated_delivery_date").isNotNull())
-         .select(ts, F.month(ts).alias("m"), F.dayofmonth(ts).alias("dd"),
+         .select(ts, F.to_date(ts).alias("day"),
                  day_diff("order_purchase_timestamp", "order_delivered_customer_date")
                  .alias("days"),
                  day_diff("order_estimated_delivery_date", "order_delivered_customer_date")
                  .alias("delay")))
     h = holidays(orders.sparkSession)
-    tagged = d.join(h, (d.m == h.h_month) & (d.dd == h.h_day), "left").select(
-        F.when(F.col("h_month").isNotNull(), F.lit("holiday"))
+    tagged = d.join(h, d.day == h.holiday, "left").select(
+        F.when(F.col("holiday").isNotNull(), F.lit("holiday"))
         .when(F.dayofweek(ts).isin(1, 7), F.lit("weekend"))
         .otherwise(F.lit("weekday")).alias("day_type"), "days", "delay")
     return (tagged.groupBy("day_type")
@@ -99,13 +119,14 @@ def _seller_reviews(order_items, reviews):
 
 
 def seller_rating(order_items: DataFrame, reviews: DataFrame, *,
-                  min_reviews: int = 5, top: int = 10) -> DataFrame:
-    """Highest-rated sellers with at least ``min_reviews`` reviewed orders."""
+                  min_reviews: int = 5, top: int | None = 10) -> DataFrame:
+    """Highest-rated sellers with at least ``min_reviews`` reviewed orders;
+    ``top=None`` rates each of them."""
     per = (_seller_reviews(order_items, reviews).groupBy("seller_id")
            .agg(F.count(F.lit(1)).alias("reviews"), F.sum("review_score").alias("s"))
            .filter(F.col("reviews") >= min_reviews)
            .withColumn("avg", F.col("s") / F.col("reviews")))
-    best = per.orderBy(F.desc("avg"), "seller_id").limit(top)
+    best = per if top is None else per.orderBy(F.desc("avg"), "seller_id").limit(top)
     return best.select("seller_id", "reviews", F.round("avg", 4).alias("avg_review_score"))
 
 
@@ -160,18 +181,20 @@ def payment_mix(payments: DataFrame) -> DataFrame:
         F.round(from_cents("cents"), 2).alias("total_value"))
 
 
-def payment_vs_value(payments: DataFrame, accuracy: int = 100_000) -> DataFrame:
+def payment_vs_value(payments: DataFrame) -> DataFrame:
     """Per payment type: mean, median and largest value, mean instalments.
 
-    The median comes from ``percentile_approx``, a mergeable sketch of bounded
-    size (exact while a group has fewer values than ``accuracy``), so a payment
+    The median is exact at any size (``operators/quantiles``), and a payment
     type holding a third of all rows never gathers its values in one task.
     """
-    return payments.groupBy("payment_type").agg(
+    median = exact_quantiles(payments, "payment_type", "payment_value", [0.5]) \
+        .select(F.col("payment_type").alias("_type"), F.get("quantiles", F.lit(0))
+                .alias("median_value"))
+    per = payments.groupBy("payment_type").agg(
         F.count(F.lit(1)).alias("payments"), F.sum(cents("payment_value")).alias("c"),
-        F.percentile_approx("payment_value", 0.5, accuracy).alias("median_value"),
         F.max("payment_value").alias("max_value"),
-        F.sum("payment_installments").alias("inst")).select(
+        F.sum("payment_installments").alias("inst"))
+    return per.join(median, per.payment_type.eqNullSafe(F.col("_type")), "left").select(
         "payment_type", "payments",
         F.round(F.col("c") / F.col("payments") / 100.0, 2).alias("avg_value"),
         "median_value", "max_value",
@@ -191,15 +214,15 @@ def installments_by_category(order_items: DataFrame, products: DataFrame,
 
 
 def installments_by_value(payments: DataFrame, bands: int = 4) -> DataFrame:
-    """Instalment use per payment-value band (equal-width bands between the
-    smallest and largest value; two tiny global aggregates set the edges)."""
-    edges = payments.agg(F.min("payment_value").alias("lo"),
-                         F.max("payment_value").alias("hi"))
+    """Instalment use per payment-value band: equal shares of the payments,
+    cut at the exact quantiles of the value (quartiles by default)."""
+    cuts = [i / bands for i in range(1, bands)]
+    one = exact_quantiles(payments.withColumn("_all", F.lit(0)), "_all", "payment_value", cuts)
     v = F.col("payment_value")
-    pos = F.floor(F.try_divide(v - F.col("lo"), F.col("hi") - F.col("lo")) * bands)
-    band = F.least(F.lit(bands), F.coalesce(pos, F.lit(0)) + 1).cast("int")
-    tagged = payments.crossJoin(F.broadcast(edges)).select(
-        band.alias("value_band"), v, "payment_installments")
+    band = (F.lit(1) + F.size(F.filter("quantiles", lambda q: v > q))).cast("int")
+    # one row of edges
+    tagged = payments.filter(v.isNotNull()).crossJoin(F.broadcast(one.select("quantiles"))) \
+        .select(band.alias("value_band"), v, "payment_installments")
     return (tagged.groupBy("value_band")
             .agg(F.count(F.lit(1)).alias("payments"),
                  F.min("payment_value").alias("min_value"),

@@ -106,6 +106,21 @@ def slowest_sellers(orders: DataFrame, order_items: DataFrame, sellers: DataFram
                     F.round("avg_ship_days", 2).alias("avg_ship_days")))
 
 
+def slowest_places(orders: DataFrame, order_items: DataFrame, sellers: DataFrame,
+                   place: str = "seller_region") -> DataFrame:
+    """Mean delivery days by the sellers' state or region, slowest first; a
+    seller without a place forms a row of its own."""
+    d = delivered(orders).select(
+        "order_id", day_diff("order_purchase_timestamp", "order_delivered_customer_date")
+        .alias("days"))
+    per = (order_sellers(order_items).join(d, "order_id").groupBy("seller_id")
+           .agg(F.count(F.lit(1)).alias("orders"), F.sum("days").alias("days")))
+    return (per.join(sellers.select("seller_id", place), "seller_id", "left").groupBy(place)
+            .agg(F.sum("orders").alias("orders"), F.sum("days").alias("days"))
+            .select(place, "orders", _avg("days", "orders", 2).alias("avg_ship_days"))
+            .orderBy(F.desc("avg_ship_days"), place))
+
+
 def ship_lag(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Per seller: mean days from approval to hand-over to the carrier."""
     o = orders.filter(F.col("order_approved_at").isNotNull()

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions import day_diff, from_cents, money_sum
+from ...operators.quantiles import exact_quantiles
 from ...operators.topk import top_k_per_group
+from ...session import ensure_checkpoint_dir
 from .common import MISC, order_categories, revenue_per_order
 
 PERSON = "customer_unique_id"
@@ -38,15 +40,15 @@ def cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- RFM ----
-def rfm_scores(orders: DataFrame, order_items: DataFrame, customers: DataFrame,
-               accuracy: int = 100_000) -> DataFrame:
+def rfm_scores(orders: DataFrame, order_items: DataFrame,
+               customers: DataFrame) -> DataFrame:
     """Per person: recency (days before the day after the last purchase in
     the data), frequency (orders), monetary (item revenue), each scored 1-5
     against the quintiles of all persons.
 
-    Quintile edges come from ``percentile_approx`` (a mergeable sketch of
-    bounded size, so no global sort or single-partition window); with at most
-    ``accuracy`` persons the edges are exact.
+    Quintile edges are exact at any size (``operators/quantiles``: no global
+    sort or single-partition window). The per-person rows are pinned once, for
+    the edges and the scores alike.
     """
     day = F.col("order_purchase_timestamp").cast("date")
     per_order = (orders.select("order_id", "customer_id", day.alias("d"))
@@ -58,18 +60,21 @@ def rfm_scores(orders: DataFrame, order_items: DataFrame, customers: DataFrame,
                   .groupBy(PERSON).agg(F.max("last_d").alias("last_d"),
                                        F.sum("orders").alias("frequency"),
                                        F.sum("cents").alias("cents")))
-    # One aggregate gives every edge. Recency is (last day in data + 1) minus
-    # the person's last day; quantiles shift with their values, so comparing
-    # -last_day with the quantiles of -last_day scores recency exactly as
-    # comparing recency with its own quantiles would, without a second pass.
+    ensure_checkpoint_dir(per_person.sparkSession)
+    per_person = per_person.checkpoint()
+    # recency is (last day in the data + 1) minus the person's last day:
+    # quantiles shift with their values, so -last_day scores it
     qs = [0.2, 0.4, 0.6, 0.8]
     neg_day = -F.unix_date("last_d")
     monetary = from_cents("cents")
-    stats = per_person.agg(
-        F.date_add(F.max("last_d"), 1).alias("ref"),
-        F.percentile_approx(neg_day, qs, accuracy).alias("e_recency"),
-        F.percentile_approx("frequency", qs, accuracy).alias("e_frequency"),
-        F.percentile_approx(monetary, qs, accuracy).alias("e_monetary"))
+    values = {"e_recency": neg_day, "e_frequency": F.col("frequency"), "e_monetary": monetary}
+    long = per_person.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("edge"), v.cast("double").alias("v"))
+        for k, v in values.items()])).alias("x")).select("x.edge", "x.v")
+    edges = exact_quantiles(long, "edge", "v", qs).agg(*[
+        F.max(F.when(F.col("edge") == k, F.col("quantiles"))).alias(k) for k in values])
+    stats = per_person.agg(F.date_add(F.max("last_d"), 1).alias("ref")) \
+        .crossJoin(F.broadcast(edges))
 
     def score(value, edges):
         return 1 + sum(F.when(value > F.col(edges)[i], 1).otherwise(0)
@@ -105,8 +110,8 @@ def category_sets(order_items: DataFrame, products: DataFrame) -> DataFrame:
 
     ``collect_set`` per order is bounded by the number of categories and
     merges on the map side, so even an order with a third of all items is
-    cheap; the result has one row per distinct set, which depends on the
-    category domain, not on the data size.
+    cheap; the result has one row per distinct set. There can be many (at most
+    one per order), but each set is as short as the category domain.
     """
     oc = order_categories(order_items, products)
     return (oc.groupBy("order_id").agg(F.sort_array(F.collect_set("category")).alias("cats"))
@@ -270,15 +275,21 @@ def satisfaction_index(orders: DataFrame, customers: DataFrame,
 
 
 # ----------------------------------------------------------- elasticity ----
-def price_elasticity(order_items: DataFrame, products: DataFrame) -> DataFrame:
-    """Per category: slope of log quantity on log unit price (items with a
-    positive quantity and price)."""
-    i = (order_items.filter((F.col("quantity") > 0) & (F.col("price") > 0))
-         .select("product_id", F.ln("quantity").alias("lq"),
-                 F.ln(F.col("price") / F.col("quantity")).alias("lp")))
-    return (i.join(products.select("product_id", "product_category_name"), "product_id")
+def price_elasticity(order_items: DataFrame, products: DataFrame,
+                     orders: DataFrame) -> DataFrame:
+    """Per category: slope of log units on log mean price, one point for each
+    product and month (items with a positive quantity and price, dated orders).
+    ``items`` counts the item rows behind the points."""
+    ts = F.col("order_purchase_timestamp")
+    sold = (order_items.filter((F.col("quantity") > 0) & (F.col("price") > 0))
+            .join(orders.filter(ts.isNotNull()).select("order_id", _month_index(ts).alias("m")),
+                  "order_id")
+            .groupBy("product_id", "m")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("quantity").alias("units"),
+                 money_sum("price").alias("cents")))
+    lp = F.ln(from_cents("cents") / F.col("units"))
+    return (sold.join(products.select("product_id", "product_category_name"), "product_id")
             .groupBy(F.coalesce("product_category_name", F.lit(MISC))
                      .alias("product_category_name"))
-            .agg(F.count(F.lit(1)).alias("items"),
-                 F.round(F.regr_slope("lq", "lp"), 6).alias("elasticity")))
-
+            .agg(F.sum("rows").alias("items"),
+                 F.round(F.regr_slope(F.ln("units"), lp), 6).alias("elasticity")))

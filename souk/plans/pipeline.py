@@ -16,9 +16,11 @@ import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import strip_ws
 from ..operators.rules import rule_counts, validate_flags, validate_message
+from ..sources.files import CORRUPT
 from .quality import TableSpec
 
 log = logging.getLogger("souk.pipeline")
@@ -28,7 +30,7 @@ log = logging.getLogger("souk.pipeline")
 # ``profile`` (which rule profile produced the batch).
 AUDIT_SCHEMA = ("run_id int, table_name string, rows_loaded long, rows_rejected long, "
                 "load_datetime timestamp_ntz, status string, error_message string, "
-                "source_file string, profile string")
+                "source_file string, profile string, rows_skipped long")
 LINEAGE = ("load_datetime", "source_file", "batch_id")
 MAX_ERROR_TEXT = 500
 
@@ -57,13 +59,13 @@ def dup_order(spec: TableSpec, columns: list[str]) -> list[str]:
 def validate_staged(staged: DataFrame, spec: TableSpec) -> DataFrame:
     """SQL profile: staged rows + ``error_flags`` (NULL when valid)."""
     return validate_message(staged, spec.message_rules, spec.key,
-                            order_by=dup_order(spec, staged.columns))
+                            order_by=dup_order(spec, staged.columns), stable=spec.stable)
 
 
 def validate_raw(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """pandas profile: raw rows + one flag per rule + ``is_valid``."""
     return validate_flags(raw, spec.flag_rules, spec.key,
-                          order_by=dup_order(spec, raw.columns))
+                          order_by=dup_order(spec, raw.columns), stable=spec.stable)
 
 
 def error_rows(validated: DataFrame, spec: TableSpec) -> DataFrame:
@@ -127,6 +129,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
     """The audit table (empty, with its schema, before the first run)."""
     if not path_exists(spark, audit_path(root)):
@@ -142,10 +149,19 @@ def next_batch_id(audit: DataFrame) -> int:
 def audit_row(spark: SparkSession, run_id: int, table: str, loaded: int,
               rejected: int, status: str, message: str | None,
               load_ts: dt.datetime, source_file: str | None = None,
-              profile: str | None = None) -> DataFrame:
+              profile: str | None = None, skipped: int = 0) -> DataFrame:
     return spark.createDataFrame(
         [(run_id, table, loaded, rejected, load_ts, status, message, source_file,
-          profile)], AUDIT_SCHEMA)
+          profile, skipped)], AUDIT_SCHEMA)
+
+
+def record_skip(spark: SparkSession, root: str, spec: TableSpec, source_file: str,
+                profile: str, load_ts: dt.datetime | None = None) -> None:
+    """Note that an input came again after it was published."""
+    now = load_ts or dt.datetime.now().replace(microsecond=0)
+    audit_row(spark, next_batch_id(read_audit(spark, root)), spec.table, 0, 0, "SKIPPED",
+              "already published", now, source_file, profile) \
+        .write.mode("append").parquet(audit_path(root))
 
 
 def audit_summary(validated: DataFrame, table: str) -> DataFrame:
@@ -159,27 +175,57 @@ def audit_summary(validated: DataFrame, table: str) -> DataFrame:
              F.lit(None).cast("string").alias("error_message"))
 
 
-def published_batches(spark: SparkSession, root: str, table: str) -> list[int]:
-    """Batch ids with a SUCCESS audit row, oldest first (a tiny driver read)."""
-    rows = (read_audit(spark, root)
+def _published(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """(run_id) of the batches with a SUCCESS audit row."""
+    return (read_audit(spark, root)
             .filter((F.col("table_name") == table) & (F.col("status") == "SUCCESS"))
-            .select("run_id").distinct().collect())
-    return sorted(r.run_id for r in rows)
+            .select("run_id"))
+
+
+def newest_batch(spark: SparkSession, root: str, table: str) -> int | None:
+    return _published(spark, root, table).agg(F.max("run_id").alias("n")).first()["n"]
 
 
 def has_published(spark: SparkSession, root: str, table: str) -> bool:
-    return bool(published_batches(spark, root, table))
+    return newest_batch(spark, root, table) is not None
 
 
 def read_published(spark: SparkSession, root: str, zone: str, table: str,
                    all_batches: bool = False) -> DataFrame:
     """Rows of the newest batch whose audit row says SUCCESS (or of every
-    such batch, for incrementally loaded tables)."""
-    batches = published_batches(spark, root, table)
-    if not batches:
+    such batch, for incrementally loaded tables: one scan of the table's folder,
+    joined with the audit rows, so no list of batches passes the driver)."""
+    newest = newest_batch(spark, root, table)
+    if newest is None:
         raise FileNotFoundError(f"no published batch of {table} under {root}")
-    chosen = batches if all_batches else batches[-1:]
-    return spark.read.parquet(*[zone_path(root, zone, table, b) for b in chosen])
+    one = spark.read.parquet(zone_path(root, zone, table, newest))
+    if not all_batches:
+        return one
+    every = spark.read.schema(T.StructType([*one.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(zone_path(root, zone, table))
+    done = _published(spark, root, table)
+    return every.join(done, every.batch == done.run_id, "left_semi").select(*one.columns)
+
+
+def keep_newest(spark: SparkSession, root: str, table: str, keep: int = 1,
+                zones: tuple[str, ...] = ("stg", "error", "clean", "malformed")) -> int:
+    """Retention for fully refreshed tables: delete the folders of all batches
+    but the ``keep`` newest published ones (and of failed runs before them).
+    Appended tables need every batch: do not call this for them. Returns the
+    number of folders deleted; the audit table keeps all its rows."""
+    kept = _published(spark, root, table).orderBy(F.desc("run_id")).limit(keep) \
+        .agg(F.min("run_id").alias("n")).first()["n"]
+    if kept is None:
+        return 0
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = 0
+    for zone in zones:
+        folder = jvm.org.apache.hadoop.fs.Path(zone_path(root, zone, table))
+        fs = folder.getFileSystem(conf)
+        for status in fs.listStatus(folder) if fs.exists(folder) else []:
+            name = status.getPath().getName()
+            if name.startswith("batch=") and int(name[len("batch="):]) < kept:
+                deleted += bool(fs.delete(status.getPath(), True))
+    return deleted
 
 
 # -------------------------------------------------------------- publish ----
@@ -190,6 +236,19 @@ def _write_counted(df: DataFrame, path: str) -> int:
     return int(obs.get["rows"])
 
 
+def _write_new(clean: DataFrame, old: DataFrame, key: tuple[str, ...],
+               path: str) -> tuple[int, int]:
+    """Write the rows of ``clean`` whose key ``old`` does not have; returns the
+    numbers of rows written and left out."""
+    obs, seen = Observation(), "_published_before"
+    marked = clean.join(old.select(*key).distinct().withColumn(seen, F.lit(True)),
+                        list(key), "left")
+    known = F.coalesce(F.col(seen), F.lit(False))
+    (marked.observe(obs, F.count_if(~known).alias("new"), F.count_if(known).alias("known"))
+     .filter(~known).select(*clean.columns).write.mode("overwrite").parquet(path))
+    return int(obs.get["new"]), int(obs.get["known"])
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str,
                  profile: str = "message",
                  load_ts: dt.datetime | None = None,
@@ -204,46 +263,61 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
     error is raised again; the previous batch stays the published one.
 
     ``incremental=True`` appends instead of replacing: clean rows whose key is
-    already published in an earlier SUCCESS batch are left out, and readers
-    use ``read_published(..., all_batches=True)``.
+    already published in an earlier SUCCESS batch are left out and counted as
+    skipped, and readers use ``read_published(..., all_batches=True)``.
+
+    If ``raw`` has the reader's column of malformed rows, those go to the zone
+    ``malformed`` with their raw text and count as rejected. So loaded,
+    rejected and skipped rows add up to the rows staged, in every run.
     """
     load_ts = load_ts or dt.datetime.now().replace(microsecond=0)
     batch_id = next_batch_id(read_audit(spark, root))
     try:
-        # Staging is written once and read back: later steps (two writes,
-        # duplicate detection) then re-read a stable table instead of
-        # recomputing the raw lineage.
-        stg_path = zone_path(root, "stg", spec.table, batch_id)
-        stage(raw, spec, batch_id, load_ts, source_file).write.mode("overwrite") \
-            .parquet(stg_path)
-        staged = spark.read.parquet(stg_path)
+        # Staging is written once and read back: later steps then re-read a
+        # stable table instead of recomputing the raw lineage.
+        def written(df: DataFrame, zone: str) -> DataFrame:
+            path = zone_path(root, zone, spec.table, batch_id)
+            df.write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+        broken = 0
+        if CORRUPT in raw.columns:
+            # as read, in one pass over the files; split by the raw text below
+            arrived = written(raw, "arrived")
+            bad = arrived.filter(F.col(CORRUPT).isNotNull()) \
+                .select(CORRUPT, F.lit(source_file or spec.source_file).alias("source_file"))
+            broken = _write_counted(bad, zone_path(root, "malformed", spec.table, batch_id))
+            raw = arrived.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        staged = written(stage(raw, spec, batch_id, load_ts, source_file), "stg")
         if profile == "message":
-            validated = validate_staged(staged, spec).persist()
+            validated = written(validate_staged(staged, spec), "checked")
             err, clean = error_rows(validated, spec), clean_rows(validated, spec)
         elif profile == "flags":
             # the pandas profile checks the rows as they came (source column
             # names, no lineage); its transform step repairs the names
             source = staged.drop(*LINEAGE).withColumnsRenamed(
                 {v: k for k, v in spec.renames.items()})
-            validated = validate_raw(source, spec).persist()
+            validated = written(validate_raw(source, spec), "checked")
             err, clean = error_flag_rows(validated, spec), transform(validated, spec)
         else:
             raise ValueError(f"unknown profile {profile!r}")
+        clean_path, skipped = zone_path(root, "clean", spec.table, batch_id), 0
+        rejected = broken + _write_counted(err, zone_path(root, "error", spec.table, batch_id))
         if incremental and has_published(spark, root, spec.table):
             _check_profile(spark, root, spec.table, profile)
             old = read_published(spark, root, "clean", spec.table, all_batches=True)
-            clean = incremental_rows(clean, old, spec.key)
-        try:
-            rejected = _write_counted(err, zone_path(root, "error", spec.table, batch_id))
-            loaded = _write_counted(clean, zone_path(root, "clean", spec.table, batch_id))
-        finally:
-            validated.unpersist()
+            loaded, skipped = _write_new(clean, old, spec.key, clean_path)
+        else:
+            loaded = _write_counted(clean, clean_path)
         audit_row(spark, batch_id, spec.table, loaded, rejected, "SUCCESS", None,
-                  load_ts, source_file or spec.source_file, profile) \
+                  load_ts, source_file or spec.source_file, profile, skipped) \
             .write.mode("append").parquet(audit_path(root))
+        for zone in ("arrived", "checked"):
+            _drop_folder(spark, zone_path(root, zone, spec.table, batch_id))
         log.info("%s batch %d: %d loaded, %d rejected", spec.table, batch_id,
                  loaded, rejected)
-        return {"batch_id": batch_id, "rows_loaded": loaded, "rows_rejected": rejected}
+        return {"batch_id": batch_id, "rows_loaded": loaded, "rows_rejected": rejected,
+                "rows_skipped": skipped}
     except Exception as exc:
         log.error("%s batch %d failed: %s", spec.table, batch_id, exc)
         # The SQL procedure records 0/0 and the whole message (4000 chars);

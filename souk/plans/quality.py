@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.rules import (Rule, duplicate, is_null, negative, not_positive,
                                validate_message)
 
+# Columns of the product tables.
 PRODUCT_COLUMNS = (
     "product_id", "product_category_name", "product_name_length",
     "product_description_length", "product_photos_qty", "product_weight_g",
@@ -78,6 +79,8 @@ class TableSpec:
     flag_rules: tuple[Rule, ...] = ()
     renames: dict = field(default_factory=dict)
     clean_casts: dict = field(default_factory=dict)
+    # the input is no plain table scan: pin its rows before telling copies apart
+    stable: bool = False
 
 
 PRODUCTS = TableSpec(
@@ -97,7 +100,7 @@ CUSTOMERS = TableSpec(
         Rule("unique_id_null", "Customer unique id is null; ",
              is_null("customer_unique_id")),
         Rule("duplicate", "Duplicate customer; ", duplicate(), needs_duplicates=True),
-    ))
+    ), stable=True)
 
 ORDERS = TableSpec(
     table="orders", source_file="orders.csv", key=("order_id",),

@@ -42,12 +42,33 @@ RAW_SCHEMAS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Header CSV (UTF-8, a leading byte-order mark is tolerated)."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path))
+# Quoted text may hold line breaks and doubled quotes; the header must name the
+# columns of the schema, in its order.
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "multiLine": "true", "quote": '"',
+               "escape": '"', "enforceSchema": "false"}
 
+# Column that holds the raw text of a row that does not parse, where such rows
+# are kept for the error zone instead of failing the job.
+CORRUPT = "_malformed_row"
+QUARANTINE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
-def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
+
+def read_csv(spark: SparkSession, path: str, schema: str,
+             quarantine: bool = False) -> DataFrame:
+    """Header CSV (UTF-8, a leading byte-order mark is tolerated).
+
+    A row that does not parse fails the job, or, with ``quarantine``, comes
+    with its raw text in the column ``CORRUPT``; the load pipeline sends such
+    rows to the error zone. Files are read whole (text may span lines), so one
+    file is one task: split very large exports into several files.
+    """
+    if quarantine:
+        return spark.read.schema(f"{schema}, {CORRUPT} string") \
+            .options(**CSV_OPTIONS, **QUARANTINE).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, mode="FAILFAST").csv(path)
+
+
+def read_raw(spark: SparkSession, path: str, table: str,
+             quarantine: bool = False) -> DataFrame:
     """One of the raw retail files by its table name (see ``RAW_SCHEMAS``)."""
-    return read_csv(spark, path, RAW_SCHEMAS[table])
+    return read_csv(spark, path, RAW_SCHEMAS[table], quarantine)

@@ -80,7 +80,9 @@ class RetailFiles:
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        return self.table("products")
+        # rows that do not parse go to the error zone of the load pipeline
+        return read_csv(self.spark, f"{self.folder.rstrip('/')}/{FILES['products']}",
+                        RAW_SCHEMAS["products"], quarantine=True)
 
     @cached_property
     def category_name(self) -> DataFrame:

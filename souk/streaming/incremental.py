@@ -11,6 +11,7 @@ skipped instead of published twice.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import pipeline
 from ..plans.quality import PRODUCTS, TableSpec
-from ..sources.files import RAW_SCHEMAS
+from ..sources.files import CORRUPT, CSV_OPTIONS, QUARANTINE, RAW_SCHEMAS
 
 
-def _epoch_tag(spec: TableSpec, epoch_id: int) -> str:
-    return f"{spec.source_file}#epoch={epoch_id}"
+def _epoch_tag(spec: TableSpec, epoch_id: int, stream_id: str) -> str:
+    """Names one micro-batch of one stream: epochs count from 0 in each."""
+    return f"{spec.source_file}#stream={stream_id}#epoch={epoch_id}"
+
+
+def stream_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint folder: it stays
+    through restarts, and a new checkpoint gets another."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+    return json.loads(line["value"])["id"]
 
 
 def _already_published(spark: SparkSession, root: str, spec: TableSpec,
@@ -36,11 +45,13 @@ def _already_published(spark: SparkSession, root: str, spec: TableSpec,
 
 
 def load_micro_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, *,
-                     spec: TableSpec, root: str, profile: str = "message",
+                     spec: TableSpec, root: str, stream_id: str, profile: str = "message",
                      load_ts: dt.datetime | None = None) -> dict | None:
-    """Publish one micro-batch (idempotent per epoch)."""
-    tag = _epoch_tag(spec, epoch_id)
+    """Publish one micro-batch (idempotent per stream and epoch); a repeated
+    one leaves a SKIPPED row in the audit table."""
+    tag = _epoch_tag(spec, epoch_id, stream_id)
     if _already_published(spark, root, spec, tag):
+        pipeline.record_skip(spark, root, spec, tag, profile, load_ts)
         return None
     return pipeline.run_pipeline(spark, batch, spec, root, profile=profile,
                                  load_ts=load_ts, source_file=tag, incremental=True)
@@ -58,16 +69,20 @@ def start_incremental_load(spark: SparkSession, source_dir: str, root: str,
     ``checkpoint`` must be a shared, durable folder (e.g. under the session's
     ``spark.checkpoint.dir``) so a restarted driver resumes where it stopped.
     """
-    reader = spark.readStream.schema(RAW_SCHEMAS[raw_table])
+    schema = RAW_SCHEMAS[raw_table]
+    if fmt == "csv":
+        schema = f"{schema}, {CORRUPT} string"
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        stream = reader.option("header", True).csv(source_dir)
+        stream = reader.options(**CSV_OPTIONS, **QUARANTINE).csv(source_dir)
     else:
         stream = reader.format(fmt).load(source_dir)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        load_micro_batch(spark, batch, epoch_id, spec=spec, root=root, profile=profile)
+        load_micro_batch(spark, batch, epoch_id, spec=spec, root=root, profile=profile,
+                         stream_id=stream_id_of(spark, checkpoint))
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -48,10 +48,52 @@ def test_replayed_epoch_is_not_published_twice(spark, tmp_dir):
     _write(path, [("x1", "A", 1, 1, 1, 5, 1, 1, 1)])
     from souk.sources.files import read_raw
     batch = read_raw(spark, path, "products")
-    first = load_micro_batch(spark, batch, 7, spec=Q.PRODUCTS, root=zones)
-    again = load_micro_batch(spark, batch, 7, spec=Q.PRODUCTS, root=zones)
+    first = load_micro_batch(spark, batch, 7, spec=Q.PRODUCTS, root=zones, stream_id="s")
+    again = load_micro_batch(spark, batch, 7, spec=Q.PRODUCTS, root=zones, stream_id="s")
     assert first["rows_loaded"] == 1 and again is None
-    assert P.read_audit(spark, zones).count() == 1
+    audit = {r.status: r.rows_loaded for r in P.read_audit(spark, zones).collect()}
+    assert audit == {"SUCCESS": 1, "SKIPPED": 0}
+    # the same epoch of another stream is another micro-batch
+    _write(path, [("x2", "A", 1, 1, 1, 5, 1, 1, 1)])
+    other = load_micro_batch(spark, read_raw(spark, path, "products"), 7, spec=Q.PRODUCTS,
+                             root=zones, stream_id="t")
+    assert (other["rows_loaded"], other["rows_rejected"], other["rows_skipped"]) == (1, 0, 0)
+
+
+def test_second_source_with_a_new_checkpoint_loads(spark, tmp_dir):
+    zones = os.path.join(tmp_dir, "zones")
+    for name, rows in (("one", [("p1", "A", 1, 1, 1, 5, 1, 1, 1)]),
+                       ("two", [("p9", "A", 1, 1, 1, 5, 1, 1, 1),
+                                ("p1", "A", 1, 1, 1, 5, 1, 1, 1),
+                                ("p8", None, 1, 1, 1, 5, 1, 1, 1)])):
+        src = os.path.join(tmp_dir, name)
+        os.makedirs(src)
+        _write(os.path.join(src, "a.csv"), rows)
+        start_incremental_load(spark, src, zones, os.path.join(tmp_dir, f"ckpt-{name}")) \
+            .awaitTermination(120)
+    clean = P.read_published(spark, zones, "clean", "products", all_batches=True)
+    assert sorted(r.product_id for r in clean.collect()) == ["p1", "p9"]
+    last = P.read_audit(spark, zones).orderBy(F.desc("run_id")).first()
+    assert (last.rows_loaded, last.rows_rejected, last.rows_skipped) == (1, 1, 1)
+
+
+def test_malformed_cells_go_to_the_error_zone(spark, tmp_dir):
+    rows = [("p1", "A", 1, 1, 1, 5, 1, 1, 1), ("p2", "B", 1, 1, 1, "abc", 1, 1, 1)]
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    _write(os.path.join(src, "a.csv"), rows)
+    zones = os.path.join(tmp_dir, "stream")
+    start_incremental_load(spark, src, zones, os.path.join(tmp_dir, "ckpt")).awaitTermination(120)
+    from souk.sources.files import CORRUPT, read_raw
+    batch_zones = os.path.join(tmp_dir, "batch")
+    out = P.run_pipeline(spark, read_raw(spark, os.path.join(src, "a.csv"), "products", True),
+                         Q.PRODUCTS, batch_zones)
+    assert (out["rows_loaded"], out["rows_rejected"], out["rows_skipped"]) == (1, 1, 0)
+    for z in (zones, batch_zones):
+        bad = P.read_published(spark, z, "malformed", "products").collect()
+        assert [r[CORRUPT] for r in bad] == ["p2,B,1,1,1,abc,1,1,1"]
+        clean = P.read_published(spark, z, "clean", "products").collect()
+        assert [r.product_id for r in clean] == ["p1"]
 
 
 def test_one_run_two_micro_batches(spark, tmp_dir):
