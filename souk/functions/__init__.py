@@ -44,6 +44,11 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col_(num).cast("double"), col_(den).cast("double"))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation; NULL where a side does not vary (``corr`` fails)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def day_diff(start: str | Column, end: str | Column) -> Column:
     """Calendar-day boundaries crossed from ``start`` to ``end``.
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions import cents, day_diff, from_cents, pct
+from ...functions import cents, correlation, day_diff, from_cents, pct
 from ...operators.joins import bounded_broadcast
 from ...operators.quantiles import exact_quantiles
 from .common import delivered, order_categories, order_sellers
@@ -38,8 +38,8 @@ def _delay(orders: DataFrame) -> DataFrame:
 def delay_vs_review(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """Mean review score of late vs on-time orders, and delay/score correlation."""
     d = _delay(orders).join(reviews.select("order_id", "review_score"), "order_id")
-    corr = d.agg(F.round(F.corr(F.col("delay").cast("double"),
-                                F.col("review_score").cast("double")), 6)
+    corr = d.agg(F.round(correlation(F.col("delay").cast("double"),
+                                       F.col("review_score").cast("double")), 6)
                  .alias("delay_score_corr"))
     return (d.groupBy((F.col("delay") > 0).alias("is_delayed"))
             .agg(F.count(F.lit(1)).alias("orders"), F.sum("review_score").alias("s"))
@@ -166,7 +166,7 @@ def price_vs_score(order_items: DataFrame, reviews: DataFrame) -> DataFrame:
         reviews.select("order_id", F.col("review_score").cast("double").alias("s")),
         "order_id")
     return d.agg(F.count(F.lit(1)).alias("items"),
-                 F.round(F.corr("price", "s"), 6).alias("price_score_corr"),
+                 F.round(correlation(F.col("price"), F.col("s")), 6).alias("price_score_corr"),
                  F.round(F.regr_slope("s", F.col("price") / 1000.0), 6)
                  .alias("score_per_1000"))
 

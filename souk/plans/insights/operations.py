@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions import day_diff, from_cents, money_sum, pct
+from ...functions import correlation, day_diff, from_cents, money_sum, pct
 from ...operators.topk import top_k_per_group
 from .common import delivered, order_categories, order_sellers, revenue_per_order
 
@@ -54,7 +54,7 @@ def state_revenue_corr(orders: DataFrame, order_items: DataFrame,
                       F.count_distinct("customer_unique_id").alias("persons")))
     return per_state.agg(
         F.count(F.lit(1)).alias("states"),
-        F.round(F.corr(from_cents("cents"), F.col("persons").cast("double")), 6)
+        F.round(correlation(from_cents("cents"), F.col("persons").cast("double")), 6)
         .alias("revenue_customers_corr"))
 
 

@@ -69,19 +69,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cluster_conf(input_bytes: int, cores: int,
-                 input_per_partition: int = 1024 ** 3,
-                 max_partitions: int = 50_000) -> dict[str, str]:
+                 input_per_partition: int = 1024 ** 3) -> dict[str, str]:
     """Settings sized for a job reading ``input_bytes`` on ``cores`` cores.
 
     Shuffle partitions: one per ``input_per_partition`` of input (a shuffle
     carries only the columns a query uses, so this lands at a few hundred MB
-    of shuffle data per partition), at least two waves of tasks, and at most
-    ``max_partitions`` so map-output metadata (map tasks x partitions) stays
-    small. AQE coalesces the smaller shuffles to the advisory size and splits
-    skewed partitions. Scan splits of 256 MB keep task counts manageable.
+    of shuffle data per partition) and at least two waves of tasks; no cap, so
+    partitions keep their size however large the input is. AQE coalesces the
+    smaller shuffles to the advisory size and splits skewed partitions. Scan
+    splits of 256 MB keep task counts manageable.
     """
     wanted = -(-input_bytes // input_per_partition)
-    parts = min(max_partitions, max(2 * cores, wanted))
+    parts = max(2 * cores, wanted)
     return {
         **CORE_CONF,
         "spark.sql.shuffle.partitions": str(parts),

@@ -3,11 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from oracle.catalog import ORACLE
+from souk.catalog import QUERIES
 from tests.compare import compare, duck
 from tests.conftest import SF0001, SF001
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+
+def test_the_entry_has_them_all():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")

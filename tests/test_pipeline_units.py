@@ -83,7 +83,7 @@ def test_publish_and_failed_run_keeps_previous_batch(spark, tmp_dir):
     r = Retail(spark, SF0001)
     zones = os.path.join(tmp_dir, "zones")
     out = P.run_pipeline(spark, r.raw_products, Q.PRODUCTS, zones, load_ts=TS)
-    assert out == {"batch_id": 1, "rows_loaded": 177, "rows_rejected": 27}
+    assert out == {"batch_id": 1, "rows_loaded": 177, "rows_rejected": 27, "rows_skipped": 0}
     bad = r.raw_products.withColumn(
         "product_weight_g", F.raise_error(F.lit("boom")).cast("int"))
     with pytest.raises(Exception):
@@ -136,7 +136,7 @@ def test_empty_clone_and_table_listing(spark):
 def test_cluster_conf_scales_with_input():
     from souk.session import cluster_conf
     big = cluster_conf(100 * 1024 ** 4, cores=8000)      # 100 TB, 1000 x 8 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 102_400
     mid = cluster_conf(20 * 1024 ** 4, cores=8000)       # 20 TB
     assert int(mid["spark.sql.shuffle.partitions"]) == 20 * 1024
     small = cluster_conf(10 * 1024 ** 2, cores=8)

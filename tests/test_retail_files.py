@@ -39,7 +39,7 @@ o3,1,credit_card,3,55.00
 r1,o1,4,,,2017-10-11 00:00:00,2017-10-12 03:43:48
 r2,o2,5,,"ok, fast",2017-11-10 00:00:00,2017-11-11 00:00:00
 r3,o3,1,"a ""bad"" one","two
-lines, ""quoted""",2017-11-12 00:00:00,2017-11-13 00:00:00
+lines, ""quoted"" too",2017-11-12 00:00:00,2017-11-13 00:00:00
 """,
     "products.csv": """product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,product_weight_g,product_length_cm,product_height_cm,product_width_cm
 4244733e06e7ecb4970a6e2683c13e61,perfumaria,40,287,1,225,16,10,14
@@ -98,7 +98,7 @@ def test_text_over_lines_and_doubled_quotes(files):
     rows = {r.review_id: r for r in files.table("order_reviews").collect()}
     assert len(rows) == 3 and rows["r3"].review_score == 1
     assert rows["r3"].review_comment_title == 'a "bad" one'
-    assert rows["r3"].review_comment_message == 'two\nlines, "quoted"'
+    assert rows["r3"].review_comment_message == 'two\nlines, "quoted" too'
     assert files.order_reviews.count() == 3
 
 
