@@ -46,7 +46,7 @@ from pyspark.sql import types as T
 from .common import blocks_for, short_batches, text_of
 
 BLOCK = 4 << 20          # bytes of text in a block
-BUCKET_BYTES = 24 << 20  # bytes of text whose anchors share a bucket
+BUCKET_BYTES = 12 << 20  # bytes of text whose anchors share a bucket
 GRAM = 16
 HOT = 20_000             # runs of an anchor beyond which it is dealt by window
 SLICE = 1 << 20          # window starts whose anchors are found at a time
@@ -170,19 +170,30 @@ class Block:
 
 
 # ------------------------------------------------------- enhanced suffix array ----
-def suffix_array(buf: np.ndarray, starts: np.ndarray, longest: int) -> np.ndarray:
-    """Order of the suffixes at ``starts``, by prefix doubling from 8-byte words.
-    Stretches are parted by eight bytes 0xFF, which UTF-8 never has."""
-    n = len(buf) - 8
-    words = np.ndarray((n,), ">u8", buffer=buf.data, strides=(1,)).astype(np.uint64)
-    rank = np.unique(words, return_inverse=True)[1].astype(np.int64)
-    depth = 8
-    while depth < longest and int(rank.max(initial=0)) + 1 < n:
-        later = np.zeros(n, np.int64)
-        later[:max(n - depth, 0)] = rank[depth:] + 1
-        rank = np.unique(rank * (n + 2) + later, return_inverse=True)[1].astype(np.int64)
-        depth *= 2
-    return starts[np.argsort(rank[starts], kind="stable")]
+def suffix_array(buf: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Order of the suffixes at ``starts``, each ``left`` bytes long (numbers of
+    ``starts``). Eight bytes are compared a round, and only suffixes that still
+    tie with another go into the next. Stretches are parted by eight bytes
+    0xFF, which UTF-8 never has, so an ended suffix ties with its equals only.
+    """
+    words = np.ndarray((len(buf) - 8,), ">u8", buffer=buf.data, strides=(1,))
+    order = np.arange(len(starts))
+    slots, group, depth = order.copy(), np.zeros(len(starts), np.int64), 0
+    while len(slots):
+        of = order[slots]
+        word = words[starts[of] + depth].astype(np.uint64)
+        by = np.lexsort((word, group))
+        of, word = of[by], word[by]
+        order[slots] = of
+        new = np.ones(len(slots), bool)
+        new[1:] = (group[1:] != group[:-1]) | (word[1:] != word[:-1])
+        at = np.nonzero(new)[0]
+        size = np.diff(np.append(at, len(slots)))
+        number = np.repeat(np.arange(len(at)), size)
+        depth += 8
+        go = (size[number] > 1) & (left[of] > depth)
+        slots, group = slots[go], number[go]
+    return order
 
 
 def common_prefixes(buf: np.ndarray, order: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -252,9 +263,10 @@ def covered(segments: list[bytes], owners: np.ndarray, length: int) -> list[list
     seg = np.repeat(np.arange(len(segments)), windows)
     starts = np.repeat(begin, windows) + np.arange(len(seg)) \
         - np.repeat(np.cumsum(windows) - windows, windows)
-    order = suffix_array(buf, starts, int(sizes.max(initial=0)))
-    of = np.searchsorted(begin, order, side="right") - 1
-    lcp = common_prefixes(buf, order, begin[of] + sizes[of] - order)
+    left = begin[seg] + sizes[seg] - starts
+    rank = suffix_array(buf, starts, left)
+    order, of = starts[rank], seg[rank]
+    lcp = common_prefixes(buf, order, left[rank])
     own = owners[of]
     reach = np.zeros(len(order), np.int64)
     for size, a, b in repeat_groups(lcp, buf[order - 1], length):

@@ -63,9 +63,9 @@ def test_repeat_groups_against_brute_force():
         buf = np.frombuffer(gap + gap.join(words) + gap * 2, np.uint8)
         begin = np.cumsum([8] + [len(w) + 8 for w in words[:-1]])
         starts = np.concatenate([np.arange(b, b + len(w)) for b, w in zip(begin, words)])
-        order = suffixdedup.suffix_array(buf, starts, 16)
-        of = np.searchsorted(begin, order, side="right") - 1
-        left = begin[of] + np.array([len(w) for w in words])[of] - order
+        left = np.concatenate([np.arange(len(w), 0, -1) for w in words])
+        rank = suffixdedup.suffix_array(buf, starts, left)
+        order, left = starts[rank], left[rank]
         lcp = suffixdedup.common_prefixes(buf, order, left)
         got = {(n, frozenset(order[a:b + 1].tolist()))
                for n, a, b in suffixdedup.repeat_groups(lcp, buf[order - 1], 4)}
