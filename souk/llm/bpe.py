@@ -9,7 +9,8 @@ bytes and keeps the prefixes from which a vocabulary entry may still be
 growing (at most the longest entry's length back: the bounded lookahead).
 Tokens that all of them share are settled and emitted at once. A state is the
 set of (trie node, unsettled tokens) of the live prefixes; states and arcs are
-made when first met and kept in a bounded table.
+made when first met and kept in a bounded table; beyond the first DEEP bytes of
+a piece, where hardly two pieces share a state, they are not kept.
 
 Decoding. Token bytes run through an incremental UTF-8 state machine whose
 state is the unfinished sequence (three bytes at most), some tokens at a time.
@@ -27,6 +28,7 @@ from __future__ import annotations
 import base64
 import codecs
 import gc
+import struct
 from collections.abc import Sequence
 
 import numpy as np
@@ -37,11 +39,12 @@ from pyspark.sql import types as T
 
 from .common import map_columns, text_of
 
-ARC_LIMIT = 120_000    # arcs kept per worker before the tables start afresh
-PAIR_LIMIT = 300_000   # neighbour checks remembered per worker
+ARC_LIMIT = 60_000     # arcs kept per worker before the tables start afresh
+PAIR_LIMIT = 200_000   # neighbour checks remembered per worker
 NEVER = 1 << 60
-FEW = 6              # entries below a trie node that are tried one by one
-PIECE_LIMIT = 150_000  # finished pieces in each of two generations per worker
+DEEP = 6              # bytes of a piece whose states are kept; few share longer ones
+FEW = 2              # entries below a trie node that are tried one by one
+PIECE_LIMIT = 100_000  # finished pieces in each of two generations per worker
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -71,9 +74,9 @@ class Transducer:
             self.token[node] = rank
         self.split: dict[int, tuple[int, int] | None] = {}
         self.spines: dict[tuple[int, int], list] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.below: dict[int, tuple[int, ...] | None] = {}
-        self.open: dict[tuple[int, int], bool] = {}
+        self.open: dict[int, bool] = {}
         self.ordered = True
         # entries that no merges lead to never end a prefix
         self.entry = [t if t >= 0 and self.halves(t) is not None else -1
@@ -86,10 +89,10 @@ class Transducer:
         self.start = self.state(((0, ()),))  # the empty prefix, nothing unsettled
 
     def state(self, live: tuple) -> tuple:
-        """(live prefixes, arcs by byte, ids to emit if the piece ends here)"""
+        """(live prefixes, arcs by byte)"""
         got = self.number.get(live)
         if got is None:
-            got = self.number[live] = (live, {}, live[-1][1])
+            got = self.number[live] = (live, {})
         return got
 
     def tokens_below(self, node: int) -> tuple[int, ...] | None:
@@ -107,7 +110,7 @@ class Transducer:
 
     def may_close(self, node: int, last: int) -> bool:
         """Whether some entry growing at ``node`` may still follow ``last``."""
-        key = (node, last)
+        key = node << 20 | last
         got = self.open.get(key)
         if got is None:
             if len(self.open) > PAIR_LIMIT:
@@ -174,7 +177,8 @@ class Transducer:
         boundary in that order and look for a merge across it that comes first
         (on equal ranks the left one does).
         """
-        ok = self.fits.get((left, right))
+        key = left << 20 | right
+        ok = self.fits.get(key)
         if ok is not None:
             return ok
         if len(self.fits) > PAIR_LIMIT:
@@ -196,49 +200,55 @@ class Transducer:
         if not self.ordered:
             ok = [self.ranks[p] for p in self.merged(self.bytes_of[left] + self.bytes_of[right])] \
                 == [left, right]
-        self.fits[left, right] = ok
+        self.fits[key] = ok
         return ok
 
-    def arc(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
-        """Make the arc of ``state`` under ``byte``.
+    def step(self, live: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """Live prefixes after one more byte, and the ids settled by it.
 
         A live prefix is (trie node of the bytes read since its end, tokens not
         settled yet); the tokens are led by the last settled one, since the
         next neighbour must fit it. The newest prefix comes last.
         """
-        grown, closed = [], None
+        grown, closed, shared = [], None, 99
         nexts, entry, opens, fits = self.next, self.entry, self.open, self.fits
-        for node, path in state[0]:
+        for one in live:
+            node, path = one
             child = nexts[node].get(byte)
             if child is None:
                 continue
             last = path[-1] if path else -1
             if closed is None and (tok := entry[child]) >= 0:
-                ok = last < 0 or fits.get((last, tok))
+                ok = last < 0 or fits.get(last << 20 | tok)
                 if ok is None:
                     ok = self.fit(last, tok)
                 if ok:
                     closed = path + (tok,)
             if nexts[child]:
-                ok = last < 0 or opens.get((child, last))
+                ok = last < 0 or opens.get(child << 20 | last)
                 if ok is None:
                     ok = self.may_close(child, last)
                 if ok:
                     grown.append((child, path))
+                    if len(path) < shared:
+                        shared = len(path)
         if closed is None:
             raise ValueError(f"no token for byte {byte}")
         # what all histories share, but for the last shared token, is settled
-        shared = len(closed) - 1
-        for _, p in grown:
-            shared = min(shared, len(p) - 1)
-            while shared > 0 and p[:shared + 1] != closed[:shared + 1]:
-                shared -= 1
-        grown.append((0, closed))
-        out = ()
+        shared = min(shared, len(closed)) - 1
         if shared > 0:
-            out = closed[:shared]
-            grown = [(n, p[shared:]) for n, p in grown]
-        made = state[1][byte] = (self.state(tuple(grown)), out)
+            for _, p in grown:
+                while shared > 0 and p[:shared + 1] != closed[:shared + 1]:
+                    shared -= 1
+        grown.append((0, closed))
+        if shared <= 0:
+            return tuple(grown), ()
+        return tuple([(n, p[shared:]) for n, p in grown]), closed[:shared]
+
+    def arc(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """Make the arc of ``state`` under ``byte``."""
+        live, out = self.step(state[0], byte)
+        made = state[1][byte] = (self.state(live), out)
         self.n_arcs += 1
         return made
 
@@ -249,15 +259,17 @@ class Transducer:
         if self.n_arcs > ARC_LIMIT:
             self.reset()
         state, out = self.start, []
-        for byte in piece:
-            step = state[1].get(byte) or self.arc(state, byte)
-            state = step[0]
-            if step[1]:
-                out.extend(step[1])
-            if self.n_arcs > ARC_LIMIT + 20_000:  # a very long piece
-                self.reset()
-                state = self.state(state[0])
-        out.extend(state[2])
+        for byte in piece[:DEEP]:
+            made = state[1].get(byte) or self.arc(state, byte)
+            state = made[0]
+            if made[1]:
+                out.extend(made[1])
+        live, step = state[0], self.step
+        for byte in piece[DEEP:]:
+            live, done = step(live, byte)
+            if done:
+                out.extend(done)
+        out.extend(live[-1][1])
         return tuple(out)
 
 
@@ -267,7 +279,7 @@ class Memory:
     def __init__(self, limit: int):
         self.limit, self.new, self.old = limit, {}, {}
 
-    def put(self, key: str, ids: tuple[int, ...]) -> None:
+    def put(self, key: str, ids: bytes) -> None:
         if len(self.new) >= self.limit:  # what was not met again goes first
             self.old, self.new = self.new, {}
         if len(key) <= 64:
@@ -289,26 +301,28 @@ class Encoder:
         self.pieces, self.stretches = Memory(PIECE_LIMIT), Memory(PIECE_LIMIT)
         self.cut = cut
 
-    def plain(self, text: str) -> list[int]:
-        out: list[int] = []
+    def plain(self, text: str) -> bytes:
+        out: list[bytes] = []
         for piece in self.split(text):
             ids = self.pieces.new.get(piece)
             if ids is None:
                 ids = self.pieces.old.get(piece)
                 if ids is None:
-                    ids = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+                    got = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+                    ids = struct.pack(f"<{len(got)}i", *got)
                 self.pieces.put(piece, ids)
-            out += ids
-        return out
+            out.append(ids)
+        return b"".join(out)
 
-    def encode(self, text: str) -> list[int]:
+    def ids(self, text: str) -> bytes:
+        """The token ids as little-endian 32-bit numbers."""
         if not self.cut:
             return self.plain(text)
         parts = text.split(" ")
-        out, memory = self.plain(parts[0]), self.stretches
-        if parts[0][-1:].isspace() or not parts[0]:
+        if not parts[0] or parts[0][-1].isspace():
             return self.plain(text)
-        get = memory.new.get
+        out, memory = [self.plain(parts[0])], self.stretches
+        get, add = memory.new.get, out.append
         for part in parts[1:]:
             ids = get(part)
             if ids is None:
@@ -316,11 +330,14 @@ class Encoder:
                 if ids is None:
                     if not part or part[-1].isspace():  # a run of white space
                         return self.plain(text)
-                    ids = tuple(self.plain(" " + part))
+                    ids = self.plain(" " + part)
                 memory.put(part, ids)
                 get = memory.new.get
-            out += ids
-        return out
+            add(ids)
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.ids(text), "<i4").tolist()
 
 
 class StreamDecoder:
@@ -379,7 +396,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
         def fn(texts):
             ends, parts = [0], []
             for t in texts:
-                ids = np.array(enc.encode(t.as_py() or ""), np.int32)
+                ids = np.frombuffer(enc.ids(t.as_py() or ""), "<i4")
                 parts.append(ids)
                 ends.append(ends[-1] + len(ids))
             flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
