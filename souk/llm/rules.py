@@ -216,7 +216,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 5000,
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     got = statistics(texts.join(F.broadcast(picked), "id")).filter(~base_failed()) \
         .select((F.col("q") == 0).alias("bad"), F.xxhash64("id").alias("mix"),
-                *[F.expr(e).cast("double").alias(f) for f, e in FEATURES.items()]).collect()
+                *[F.expr(e).cast("double").alias(f) for f, e in FEATURES.items()]) \
+        .limit(4 * sample_rows).collect()  # an id may stand on many rows
     return learn_list([r.asDict() for r in got])
 
 
