@@ -174,7 +174,9 @@ def suffix_array(buf: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.nd
     """Order of the suffixes at ``starts``, each ``left`` bytes long (numbers of
     ``starts``). Eight bytes are compared a round, and only suffixes that still
     tie with another go into the next. Stretches are parted by eight bytes
-    0xFF, which UTF-8 never has, so an ended suffix ties with its equals only.
+    0xFF, which UTF-8 never has, so a suffix that ends within a word ties with
+    its equals only. One that ends with the word ties with longer ones too: it
+    goes before them, so that they stay together.
     """
     words = np.ndarray((len(buf) - 8,), ">u8", buffer=buf.data, strides=(1,))
     order = np.arange(len(starts))
@@ -182,7 +184,8 @@ def suffix_array(buf: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.nd
     while len(slots):
         of = order[slots]
         word = words[starts[of] + depth].astype(np.uint64)
-        by = np.lexsort((word, group))
+        ended = left[of] == depth + 8
+        by = np.lexsort((~ended, word, group) if ended.any() else (word, group))
         of, word = of[by], word[by]
         order[slots] = of
         new = np.ones(len(slots), bool)

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 
@@ -82,6 +83,30 @@ def test_repeat_groups_against_brute_force():
         assert got == want
 
 
+def checked_covered(segments, owners, length):
+    got = suffixdedup.covered(segments, np.array(owners, np.int64), length)
+    rows = [(o, s.decode()) for o, s in zip(owners, segments, strict=True)]
+    assert [[tuple(c) for c in cuts] for cuts in got] == [r[2] for r in slow(rows, length)]
+
+
+@pytest.mark.parametrize("size", [56, 57, 64, 72, 80])
+def test_segment_that_ends_where_longer_ones_go_on(size):
+    """X and Y share more than E, which ends between them, in all orders."""
+    p = ("".join(chr(97 + k * k % 23) for k in range(size))).encode()
+    three = [(p + b"aaaax", 1), (p, 2), (p + b"aaaay", 3)]
+    for order in itertools.permutations(three):
+        checked_covered([s for s, _ in order], [o for _, o in order], 50)
+
+
+def test_covered_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(300):
+        base = [bytes(rng.choice(b"ab") for _ in range(rng.choice([8, 9, 16, 24])))
+                for _ in range(3)]
+        words = list({b"".join(rng.choices(base, k=rng.randint(1, 4))) for _ in range(8)})
+        checked_covered(words, rng.sample(range(20), len(words)), 8)
+
+
 def test_odd_input(odd):
     src = [(r.doc_id, r.text) for r in odd.collect()]
     got = sorted(map(shape, suffixdedup.dedup(odd).collect()), key=repr)
