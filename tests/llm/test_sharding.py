@@ -2,6 +2,7 @@ import collections
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from souk.llm import sharding
 from tests.conftest import SF0001
@@ -27,6 +28,45 @@ def test_query(spark, queries, texts):
     assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
 
 
+def test_query_sends_the_whole_text_through_the_operator(spark, queries, texts, monkeypatch):
+    seen, shuffle = [], sharding.shuffle
+
+    def watched(df, **args):
+        seen.append({r.doc_id: r.text for r in df.collect()})
+        out = shuffle(df, **args)
+        return out.withColumn("text", F.concat("text", F.lit("!")))
+
+    monkeypatch.setattr(sharding, "shuffle", watched)
+    rows = queries["op4_sharding"](spark, SF0001).collect()
+    assert seen == [texts]
+    for r in rows:  # taken from what the operator returns
+        assert r.text_crc32 == zlib.crc32((texts[r.doc_id] + "!").encode()
+                                          if texts[r.doc_id] is not None else b"")
+
+
+def test_ranges_are_bounded_by_bytes(spark):
+    assert sharding.ranges_for(100, 0, 4, 10, 1000) == 3
+    assert sharding.ranges_for(100, 400_000, 4, 1 << 20, 1000) == 100
+    assert sharding.ranges_for(0, 0, 4, 10, 1000) == 1
+    src = {i: chr(97 + i % 26) * (200_000 if i % 50 == 0 else 30) for i in range(300)}
+    df = spark.createDataFrame(list(src.items()), "id int, text string").repartition(5)
+    rows = sharding.shuffle(df, 3, range_bytes=50_000).collect()
+    assert {r.id: r.text for r in rows} == src and len(rows) == 300
+    assert all(sorted(v) == list(range(100)) for v in places(rows).values())
+    again = sharding.shuffle(spark.createDataFrame([], df.schema), 3, range_bytes=50_000)
+    assert again.count() == 0
+
+
+def test_labels_do_not_depend_on_batches():
+    places_ = np.array([9_000, 11_000, 5_003], np.int64)
+    whole = sharding.Deal(places_, 20, 3).take(25_003)
+    deal = sharding.Deal(places_, 20, 3)
+    parts = [deal.take(k) for k in (1, 511, 9_488, 3, 0, 15_000)]
+    assert (np.concatenate([p[0] for p in parts]) == whole[0]).all()
+    assert (np.concatenate([p[1] for p in parts]) == whole[1]).all()
+    assert np.bincount(whole[0]).tolist() == places_.tolist()
+
+
 def test_small_ranges_and_many_partitions(spark):
     df = spark.range(5000).repartition(13)
     rows = sharding.shuffle(df, 7, range_rows=50).collect()
