@@ -6,7 +6,8 @@ kept and returns a DataFrame; all but the last return the columns they got.
 
 Odd input: rows with null ids or texts, repeated rows and extra columns pass
 through like others where no stage says otherwise; the first stage rejects
-texts without a letter (null and empty ones too), the second keeps one row of
+texts without a letter (null and empty ones too) and those that are mostly not
+in a learned language (symbols, other scripts), the second keeps one row of
 each group of near copies (the smallest id; a null id only if the group has no
 other). An empty table stays empty.
 """
@@ -19,15 +20,17 @@ from pyspark.sql import functions as F
 from souk.llm import bpe, decontam, langid, secrets, simhash
 from souk.llm.common import id_remainder, pinned, read_table
 
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LIKENESS = 0.25
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a language or with a doubtful one."""
-    model = langid.fit(docs, F.coalesce(id_remainder(4) != 2, F.lit(False)))
-    named = langid.predict(docs, model, lang_out="__lang__", score_out="__score__")
+    """Reject documents without a language or with a doubtful one: with less
+    than a quarter of the known letters that learned texts of the language have."""
+    model = langid.fit(docs, F.coalesce(id_remainder(4) != 2, F.lit(False)), known=True)
+    named = langid.predict(docs, model, lang_out="__lang__", score_out="__score__",
+                           likeness_out="__likeness__")
     return named.filter((F.col("__lang__") != "und")
-                        & (F.col("__score__") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+                        & (F.col("__likeness__") >= MIN_LIKENESS)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,13 @@ three bytes of the lower-cased text, hashed), scaled to length one. Linear
 support vector machines, one for each pair of families, choose the family;
 one for each pair of its languages then choose among closely related ones.
 Each pairwise machine votes for a side; the sum of margins breaks ties, then
-the alphabet. The score is the logistic of the winner's smallest margin.
+the alphabet. The score is the logistic of the winner's smallest margin, so it
+is never below 0.5: it ranks learned languages, and says nothing of a text in
+none of them. For that, ``fit(known=True)`` also learns which pairs of letter
+bytes each language has, and ``likeness`` is the share of a text's bytes (but
+blanks) that are letters starting a pair of the chosen language, divided by the
+share that all but one in a hundred learned texts of it reach when judged by the
+pairs of the others; at most 1.
 
 Training reads a bounded sample: about ``per_language`` distinct texts of each
 learned language, picked by a hash of the text. Feature vectors are made on
@@ -20,7 +26,7 @@ from). Repeated rows get the same answer; other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
@@ -29,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_columns, sample_fraction, text_of
+from .common import BLANKS, map_columns, sample_fraction, text_of
 
 DIM = 4096
 SLICE = 1 << 20  # bytes of a text that are counted at a time
@@ -77,6 +83,25 @@ def features(text: str) -> np.ndarray | None:
     return (out / norm if norm else out).astype(np.float32)
 
 
+def letter_pairs(text: str) -> tuple[np.ndarray, int]:
+    """Numbers of the byte pairs that start with a letter's byte, and how many
+    bytes the text has without blanks."""
+    data = text.lower().encode("utf-8", "replace")
+    b = np.frombuffer((data + b" ").translate(_KEEP), np.uint8)
+    at = np.nonzero(b[:-1] != 32)[0]
+    return b[at].astype(np.uint16) << 8 | b[at + 1], len(data.translate(None, BLANKS.encode()))
+
+
+def learn_pairs(texts: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, float]:
+    """From (distinct pairs, their counts, bytes) of each text of a language:
+    the pairs it has, and the share nearly all texts reach by the others' pairs."""
+    times = np.zeros(1 << 16, np.int32)
+    for pairs, _, _ in texts:
+        times[pairs] += 1
+    shares = [counts[times[pairs] > 1].sum() / max(n, 1) for pairs, counts, n in texts]
+    return times > 0, float(np.quantile(shares, 0.01, method="lower"))
+
+
 def fit_svm(x: np.ndarray, y: np.ndarray, reg: float = 1e-4, steps: int = 300) -> np.ndarray:
     """Weights and bias of a linear machine with squared hinge loss, both
     classes counting alike; plain accelerated gradient descent."""
@@ -99,6 +124,16 @@ class Model:
     groups: dict[str, list[str]]
     pairs: list[tuple[str, str, str]]
     w: np.ndarray
+    known: dict[str, tuple[np.ndarray, float]] = field(default_factory=dict)
+
+    def likeness(self, lang: str, text: str) -> float:
+        """How well a text's letters are of the language, 0 to 1."""
+        if lang not in self.known:
+            return 0.0 if lang == "und" else 1.0
+        table, usual = self.known[lang]
+        pairs, n = letter_pairs(text)
+        share = float(table[pairs].sum()) / max(n, 1)
+        return min(1.0, share / usual) if usual else 1.0
 
     def choose(self, group: str, names: Sequence[str], margins) -> tuple[str, float]:
         if len(names) == 1:
@@ -126,7 +161,7 @@ class Model:
 
 
 def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang",
-        per_language: int = 400) -> Model:
+        per_language: int = 400, known: bool = False) -> Model:
     """Learn from the rows where ``learn`` holds and the language is known."""
     rows = docs.select(text_of(text_col).alias("text"), F.col(lang_col).alias("lang"),
                        learn.alias("learn")).filter("learn and lang is not null")
@@ -142,14 +177,28 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     def start():
         def fn(texts):
             got = [features(t.as_py()) for t in texts]
-            return [pa.array([None if g is None else g.astype(np.float16).tobytes()
-                              for g in got], pa.binary())]
+            out = [pa.array([None if g is None else g.astype(np.float16).tobytes()
+                             for g in got], pa.binary())]
+            if known:
+                pairs = [letter_pairs(t.as_py()) for t in texts]
+                sets = [np.unique(p, return_counts=True) for p, _ in pairs]
+                out += [pa.array([s.tobytes() for s, _ in sets], pa.binary()),
+                        pa.array([c.astype(np.int64).tobytes() for _, c in sets], pa.binary()),
+                        pa.array([n for _, n in pairs], pa.int64())]
+            return out
         return fn
 
-    made = map_columns(picked, [F.col("text")], start,
-                       [T.StructField("x", T.BinaryType(), True)])
-    rows = sorted((r["lang"], bytes(r["x"])) for r in
-                  made.select("lang", "x").filter("x is not null").collect())
+    fields = [T.StructField("x", T.BinaryType(), True)]
+    if known:
+        fields += [T.StructField("pairs", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+                   T.StructField("n", T.LongType())]
+    got = map_columns(picked, [F.col("text")], start, fields) \
+        .select("lang", *[f.name for f in fields]).filter("x is not null").collect()
+    rows = sorted((r["lang"], bytes(r["x"])) for r in got)
+    seen: dict[str, list] = {}
+    for r in got if known else []:
+        seen.setdefault(r["lang"], []).append(
+            (np.frombuffer(r["pairs"], np.uint16), np.frombuffer(r["counts"], np.int64), r["n"]))
     x = np.stack([np.frombuffer(b, np.float16) for _, b in rows]).astype(np.float32) \
         if rows else np.zeros((0, DIM), np.float32)
     lang = np.array([k for k, _ in rows])
@@ -165,18 +214,26 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
             pairs.append((group, a, b))
             ws.append(fit_svm(x[at], np.where(of[at] == a, 1.0, -1.0)))
     w = np.stack(ws, axis=1) if ws else np.zeros((DIM + 1, 0))
-    return Model(groups, pairs, w)
+    return Model(groups, pairs, w, {k: learn_pairs(v) for k, v in seen.items()})
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text",
-            lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """Append the predicted language and its score to every row."""
+            lang_out: str = "lang_pred", score_out: str = "score",
+            likeness_out: str | None = None) -> DataFrame:
+    """Append the predicted language and its score to every row, and the
+    likeness if a name for it is given."""
     def start():
         def fn(texts):
             got = [model.predict(t.as_py()) for t in texts]
-            return [[g[0] for g in got], [g[1] for g in got]]
+            out = [[g[0] for g in got], [g[1] for g in got]]
+            if likeness_out:
+                out.append([model.likeness(g[0], t.as_py())
+                            for g, t in zip(got, texts, strict=True)])
+            return out
         return fn
 
-    return map_columns(docs, [text_of(text_col)], start,
-                       [T.StructField(lang_out, T.StringType(), False),
-                        T.StructField(score_out, T.DoubleType(), False)])
+    fields = [T.StructField(lang_out, T.StringType(), False),
+              T.StructField(score_out, T.DoubleType(), False)]
+    if likeness_out:
+        fields.append(T.StructField(likeness_out, T.DoubleType(), False))
+    return map_columns(docs, [text_of(text_col)], start, fields)

@@ -52,6 +52,19 @@ def test_each_stage_against_brute_force(spark, docs):
         assert r.n_tokens == len(r.token_ids)
 
 
+def test_first_stage_rejects_doubtful_languages(spark, docs):
+    rejected = ["12345 67890 !!! a 999 ### 0000", "Съешь же ещё этих мягких французских булок",
+                "日本語の文章はここにあります", "=== 1 == 22 === x1 {{{ }}} 345 ;;; 90210"]
+    clean = [r.text for r in docs.orderBy("doc_id").limit(20).collect()
+             if any(map(str.isalpha, r.text or ""))]
+    rows = [(-1 - k, t) for k, t in enumerate(rejected)] + \
+        [(-100 - k, t) for k, t in enumerate(clean)]
+    extra = spark.createDataFrame(rows, "doc_id long, text string")
+    out = stage(0)(spark, docs.unionByName(extra, allowMissingColumns=True), SF0001)
+    assert sorted(r.doc_id for r in out.filter("doc_id < 0").collect()) == \
+        sorted(-100 - k for k in range(len(clean)))
+
+
 def test_run_equals_the_stages(spark, queries):
     a = queries["pipeline"](spark, SF0001).select("doc_id", "n_tokens").collect()
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
