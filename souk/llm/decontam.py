@@ -9,11 +9,11 @@ item are verified as one, so a text costs at most its length per item hit.
 
 Letters A-Z compare in lower case and each ASCII blank as a space, which keeps
 offsets (code points). Items are taken in blocks of bounded size, each sent to
-the executors whole; every text meets every block.
+the executors whole; every text meets every block. An item with fewer than
+``min_chars`` characters is found as it is only, between word boundaries.
 
 Results for odd input: null and empty texts hold nothing; items without text
-or with fewer than ``min_chars`` characters are not searched, as so short a
-string is no evidence. Equal items each get their own row, repeated document
+and short ones of blanks only are not searched. Equal items each get their own row, repeated document
 rows theirs. A null doc_id or item_id stays null. An empty table on either side
 gives no row. Only the id and text columns are read, so other names don't clash.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_type, blocks_for, map_columns, short_batches, text_of
+from .common import WORD, arrow_type, blocks_for, map_columns, short_batches, text_of
 
 BLOCK_CHARS = 2_000_000  # characters of items that are searched in one pass
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
@@ -68,6 +68,12 @@ def myers(masks: dict[str, int], m: int, text: str, free_start: bool = True) ->
     return best, at
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on across either end of a stretch."""
+    return not any(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+                   for at in (start, end))
+
+
 def masks_of(pattern: str) -> dict[str, int]:
     out: dict[str, int] = {}
     for i, c in enumerate(pattern):
@@ -78,10 +84,12 @@ def masks_of(pattern: str) -> dict[str, int]:
 class Searcher:
     """Automaton and patterns of one block of items [(id, text)]."""
 
-    def __init__(self, items: list[tuple], rate: float):
+    def __init__(self, items: list[tuple], rate: float, min_chars: int = 0):
         import ahocorasick
         self.items = [(i, folded(t)) for i, t in items]
-        self.edits = [budget(len(t), rate) for _, t in self.items]
+        self.short = [len(t) < min_chars for _, t in self.items]
+        self.edits = [0 if s else budget(len(t), rate)
+                      for s, (_, t) in zip(self.short, self.items, strict=True)]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, (_, t) in enumerate(self.items):
             parts = self.edits[n] + 1
@@ -98,6 +106,8 @@ class Searcher:
         """(distance, start, end) of the best match within text[lo:hi]."""
         word, k = self.items[n][1], self.edits[n]
         at = text.find(word, lo, hi)
+        while at >= 0 and self.short[n] and not whole_words(text, at, at + len(word)):
+            at = text.find(word, at + 1, hi)
         if at >= 0:
             return 0, at, at + len(word)
         if not k:
@@ -143,7 +153,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str,
                 min_chars: int) -> Iterator[list[tuple]]:
     """The searchable items, a block of bounded size at a time."""
     rows = items.select(F.col(id_col).alias("id"), text_of(text_col).alias("t")) \
-        .filter(F.length("t") >= min_chars)
+        .filter((F.length("t") >= min_chars) | F.col("t").rlike(WORD))
     chars = rows.agg(F.sum(F.length("t").cast("long"))).first()[0] or 0
     blocks = blocks_for(chars, BLOCK_CHARS)
     part = F.pmod(F.xxhash64("id", "t"), F.lit(blocks))
@@ -176,7 +186,7 @@ def find(docs: DataFrame, items: DataFrame, rate: float = 0.08, min_chars: int =
     rows = docs.select(F.col(doc_id).alias("id"), text_of(doc_text).alias("t"))
     out = spark.createDataFrame([], schema)
     for block in item_blocks(items, item_id, item_text, min_chars):
-        shared, key = spark.sparkContext.broadcast((block, rate)), uuid.uuid4().hex
+        shared, key = spark.sparkContext.broadcast((block, rate, min_chars)), uuid.uuid4().hex
 
         def run(batches, shared=shared, key=key):
             s = _searcher(shared, key)
@@ -200,7 +210,7 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = 0.08, min_chars: int
     """The rows of ``docs`` that hold no item, all columns as they are."""
     spark, names, flag = docs.sparkSession, docs.columns, "__holds_item__"
     for block in item_blocks(items, item_id, item_text, min_chars):
-        shared, key = spark.sparkContext.broadcast((block, rate)), uuid.uuid4().hex
+        shared, key = spark.sparkContext.broadcast((block, rate, min_chars)), uuid.uuid4().hex
 
         def start(shared=shared, key=key):
             s = _searcher(shared, key)

@@ -81,6 +81,17 @@ def test_blocks_of_items(spark, docs, monkeypatch):
         - {d for d, _ in want}
 
 
+def test_short_items_stand_as_whole_words(spark):
+    docs = spark.createDataFrame([(1, "xOne two.y, one\ttwo!"), (2, "one twofold, bone two"),
+                                  (3, "one twa"), (4, "= 42;"), (5, "142")],
+                                 "doc_id int, text string")
+    items = spark.createDataFrame([(1, "one two"), (2, "42"), (3, "  ")],
+                                  "item_id int, text string")
+    got = sorted(tuple(r) for r in decontam.find(docs, items).collect())
+    assert got == [(1, 1, 0, 12, 19), (4, 2, 0, 2, 4)]
+    assert sorted(r.doc_id for r in decontam.clean(docs, items).collect()) == [2, 3, 5]
+
+
 def test_odd_input(spark, odd):
     items = spark.createDataFrame(
         [(1, None), (2, ""), (3, "short"), (None, "A text without an id, long enough"),
