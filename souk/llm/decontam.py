@@ -8,8 +8,8 @@ edit distance verifies the stretch around each. Overlapping stretches of an
 item are verified as one, so a text costs at most its length per item hit.
 
 Letters A-Z compare in lower case and each ASCII blank as a space, which keeps
-offsets (code points). Items are taken in blocks of bounded size, each sent to
-the executors whole; every text meets every block. An item with fewer than
+offsets (code points). Distinct item texts are taken in blocks of bounded size,
+each sent to the executors whole, and the ids of a text joined to its finds; every text meets every block. An item with fewer than
 ``min_chars`` characters is found as it is only, between word boundaries.
 
 Results for odd input: null and empty texts hold nothing; items without text
@@ -82,11 +82,11 @@ def masks_of(pattern: str) -> dict[str, int]:
 
 
 class Searcher:
-    """Automaton and patterns of one block of items [(id, text)]."""
+    """Automaton and patterns of one block of item texts."""
 
-    def __init__(self, items: list[tuple], rate: float, min_chars: int = 0):
+    def __init__(self, items: list[str], rate: float, min_chars: int = 0):
         import ahocorasick
-        self.items = [(i, folded(t)) for i, t in items]
+        self.items = [(t, folded(t)) for t in items]
         self.short = [len(t) < min_chars for _, t in self.items]
         self.edits = [0 if s else budget(len(t), rate)
                       for s, (_, t) in zip(self.short, self.items, strict=True)]
@@ -149,18 +149,17 @@ class Searcher:
 _SEARCHERS: dict[tuple, Searcher] = {}
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str,
-                min_chars: int) -> Iterator[list[tuple]]:
-    """The searchable items, a block of bounded size at a time."""
-    rows = items.select(F.col(id_col).alias("id"), text_of(text_col).alias("t")) \
-        .filter((F.length("t") >= min_chars) | F.col("t").rlike(WORD))
+def item_blocks(items: DataFrame, text_col: str, min_chars: int) -> Iterator[list[str]]:
+    """The distinct searchable texts, a block of bounded size at a time."""
+    rows = items.select(text_of(text_col).alias("t")) \
+        .filter((F.length("t") >= min_chars) | F.col("t").rlike(WORD)).distinct()
     chars = rows.agg(F.sum(F.length("t").cast("long"))).first()[0] or 0
     blocks = blocks_for(chars, BLOCK_CHARS)
-    part = F.pmod(F.xxhash64("id", "t"), F.lit(blocks))
+    part = F.pmod(F.xxhash64("t"), F.lit(blocks))
     for b in range(blocks):
         got = rows.filter(part == b).collect()
         if got:
-            yield sorted(((r["id"], r["t"]) for r in got), key=repr)
+            yield sorted(r["t"] for r in got)
 
 
 def _searcher(shared, key: str) -> Searcher:
@@ -182,10 +181,11 @@ def find(docs: DataFrame, items: DataFrame, rate: float = 0.08, min_chars: int =
                            T.StructField("distance", T.IntegerType()),
                            T.StructField("match_start", T.LongType()),
                            T.StructField("match_end", T.LongType())])
-    kinds = [arrow_type(f.dataType) for f in schema]
+    hit_schema = T.StructType([schema["doc_id"], T.StructField("t", T.StringType()), *schema[2:]])
+    kinds = [arrow_type(f.dataType) for f in hit_schema]
     rows = docs.select(F.col(doc_id).alias("id"), text_of(doc_text).alias("t"))
-    out = spark.createDataFrame([], schema)
-    for block in item_blocks(items, item_id, item_text, min_chars):
+    out = spark.createDataFrame([], hit_schema)
+    for block in item_blocks(items, item_text, min_chars):
         shared, key = spark.sparkContext.broadcast((block, rate, min_chars)), uuid.uuid4().hex
 
         def run(batches, shared=shared, key=key):
@@ -198,10 +198,11 @@ def find(docs: DataFrame, items: DataFrame, rate: float = 0.08, min_chars: int =
                     [ids.take(at).cast(kinds[0]),
                      pa.array([s.items[g[1]][0] for g in got], kinds[1])]
                     + [pa.array([g[j] for g in got], kinds[j]) for j in (2, 3, 4)],
-                    names=schema.names)
+                    names=hit_schema.names)
 
-        out = out.unionByName(rows.mapInArrow(run, schema))
-    return out
+        out = out.unionByName(rows.mapInArrow(run, hit_schema))
+    owners = items.select(F.col(item_id).alias("item_id"), text_of(item_text).alias("t"))
+    return out.join(owners, "t").select(*schema.names)
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = 0.08, min_chars: int = 20,
@@ -209,7 +210,7 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = 0.08, min_chars: int
           item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item, all columns as they are."""
     spark, names, flag = docs.sparkSession, docs.columns, "__holds_item__"
-    for block in item_blocks(items, item_id, item_text, min_chars):
+    for block in item_blocks(items, item_text, min_chars):
         shared, key = spark.sparkContext.broadcast((block, rate, min_chars)), uuid.uuid4().hex
 
         def start(shared=shared, key=key):

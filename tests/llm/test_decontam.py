@@ -92,6 +92,17 @@ def test_short_items_stand_as_whole_words(spark):
     assert sorted(r.doc_id for r in decontam.clean(docs, items).collect()) == [2, 3, 5]
 
 
+def test_copies_of_an_item_are_searched_once(spark, monkeypatch):
+    text = "a benchmark item that stands in the table many times"
+    items = spark.createDataFrame([(k % 3 or None, text) for k in range(60)],
+                                  "item_id int, text string")
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 200)
+    assert list(decontam.item_blocks(items, "text", 20)) == [[text]]
+    docs = spark.createDataFrame([(7, "So " + text)], "doc_id int, text string")
+    got = sorted((r.item_id or 0, r.distance) for r in decontam.find(docs, items).collect())
+    assert got == [(k, 0) for k in (0, 1, 2) for _ in range(20)]
+
+
 def test_odd_input(spark, odd):
     items = spark.createDataFrame(
         [(1, None), (2, ""), (3, "short"), (None, "A text without an id, long enough"),
