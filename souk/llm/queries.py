@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, bytecnn, chat, decontam, langid, rules, secrets, sharding, simhash, suffixdedup
+from . import (
+    bpe,
+    bytecnn,
+    chat,
+    decontam,
+    langid,
+    merkle,
+    negatives,
+    packing,
+    rules,
+    secrets,
+    sharding,
+    simhash,
+    suffixdedup,
+)
 from .common import id_remainder, read_table, text_of
 
 
@@ -114,6 +128,40 @@ def op10_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and what is left of the
+    proof where the document was tampered with."""
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.when(id_remainder(7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+
+    def leaf(n_chars):
+        return merkle.leaf_hash([n_chars if c == "n_chars" else F.col(c) for c in fields])
+
+    got = merkle.manifest(docs, "lang", "doc_id", leaf(F.col("n_chars")),
+                          keep=[leaf(tampered).alias("claim")])
+    got = got.withColumn("folded_root", merkle.folded("claim", "proof"))
+    return got.select("doc_id", "leaf", "subroot", "root",
+                      F.sha2(merkle.proof_text("proof"), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its positives."""
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its sequence."""
+    import public_tokenizers as P
+    got = packing.pack(read_table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"),
+                       capacity=2048, end_id=0)
+    return got.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                      "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -131,6 +179,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_bpe": op9_bpe,
     "op10_suffixdedup": op10_suffixdedup,
+    "op11_merkle": op11_merkle,
+    "op12_negatives": op12_negatives,
+    "op13_packing": op13_packing,
     "pipeline": pipeline,
 }
 
