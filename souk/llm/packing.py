@@ -20,9 +20,9 @@ count:
    a length has at most ``capacity`` / length multiplicities, so the list has
    some ten thousand entries at most, whatever the input.
 
-Texts are split at blanks before words (where the pattern of byte-level
-vocabularies always starts a new match) and each distinct stretch is encoded
-once by the ``tokenizers`` library, so the ids are the library's.
+Texts are taken apart where the vocabulary's pattern does so, and each distinct
+part is encoded by the ``tokenizers`` library's model, so the ids are those the
+library gives to the whole text.
 
 Results for odd input: a null text is empty, and an empty text is one piece with
 the end id alone. Rows with null or equal ids and equal texts are pieces of
@@ -33,9 +33,14 @@ cannot clash.
 
 from __future__ import annotations
 
+import json
+import os
 import re
+import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,51 +52,113 @@ from pyspark.sql import types as T
 from .common import pinned, short_batches, text_of
 
 CAPACITY = 2048
-KEPT_STRETCHES = 150_000   # encoded stretches that a task remembers
-KEPT_CHARS = 48            # longer ones are encoded each time
+KEPT_MATCHES = 400_000   # encoded matches that a task remembers
+KEPT_CHARS = 48          # longer ones are encoded each time
+KNOWN = "\u0250"
 _SPLIT = re.compile(r" (?=\S)")
 
 
 # -------------------------------------------------------------------- tokens ----
+def byte_letters() -> str:
+    """The letters that byte-level vocabularies write bytes 0 to 255 with: visible
+    Latin-1 characters stand for themselves, the others for those from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(rest)) for b in range(256))
+
+
+def known_classes(pattern: str) -> str | None:
+    """``pattern`` for texts of characters below ``KNOWN``, whose classes no Unicode
+    version moves, with the classes written out; None if it has others."""
+    kinds = {c: unicodedata.category(c)[0] for c in map(chr, range(ord(KNOWN)))}
+    letters, numbers = ("".join(c for c in kinds if kinds[c] == k) for k in "LN")
+    blanks = r"\t\n\x0b\f\r \x85\xa0"
+    for name, chars in ((r"\s", blanks), (r"\p{L}", letters), (r"\p{N}", numbers)):
+        pattern = re.sub(r"(\[\^?[^\]]*)" + re.escape(name), lambda m, c=chars: m[1] + c, pattern)
+        pattern = pattern.replace(name, f"[{chars}]")
+    pattern = pattern.replace(r"\S", f"[^{blanks}]")
+    return None if re.search(r"\\[pPdDwWsS]", pattern) else pattern
+
+
+class Remembered(dict):
+    """Results of ``make``, those of short keys kept until there are too many."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(key) <= KEPT_CHARS:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Encoder:
-    """Token ids of texts as bytes, little-endian, ``kind`` each."""
+    """Token ids of texts as bytes, ``width`` each.
+
+    With a byte-level vocabulary, texts are taken apart at the matches of its
+    ``pattern``, and only distinct matches go to the library's model. A text with
+    characters from ``KNOWN`` on, whose classes may differ between libraries, is
+    first taken apart at blanks before anything but a blank (a match starts there
+    whatever comes before), and the stretches that have such characters go to the
+    library whole, as do texts for other vocabularies.
+    """
 
-    def __init__(self, path: str, special_as_text: bool = True):
-        import os
+    def __init__(self, path: str, pattern: str | None = None, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = special_as_text
-        self.kind = "<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        got = self.model.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in got]
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = special_as_text
+        self.model = self.library.model
+        self.kind = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.width = array(self.kind).itemsize
+        told = json.loads(self.library.to_str())
+        split = told["pre_tokenizer"] or {}
+        byte_level = (told["normalizer"] is None and told["truncation"] is None
+                      and told["model"]["type"] == "BPE" and split.get("type") == "ByteLevel"
+                      and not split["add_prefix_space"] and split["use_regex"])
+        spelled = known_classes(pattern) if pattern and byte_level else None
+        self.pattern = re.compile(spelled) if spelled else None
+        self.special = [] if special_as_text else [t["content"] for t in told["added_tokens"]]
+        self.letters = byte_letters()
+        self.matches = Remembered(self.match, KEPT_MATCHES)
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.kind, ids).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def match(self, text: str) -> bytes:
+        spelled = text.encode().decode("latin-1").translate(self.letters)
+        return array(self.kind, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def known(self, text: str) -> bool:
+        return (text.isascii() or max(text) < KNOWN) and not any(t in text for t in self.special)
+
+    def stretch(self, text: str) -> bytes:
+        if not self.known(text):
+            return self.whole(text)
+        return b"".join(map(self.matches.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str) -> bytes:
-        """A blank that is followed by anything but a blank starts a match of its
-        own, whatever comes before it, so the stretches are encoded apart."""
+        if not text:
+            return b""
+        if self.pattern is None:
+            return self.whole(text)
+        if self.known(text):
+            return self.stretch(text)
         first, *rest = _SPLIT.split(text)
-        known = self.known
-        new = [w for w in {*rest} if w not in known]
-        odd = {}
-        if new:
-            short = [w for w in new if len(w) <= KEPT_CHARS]
-            if len(known) + len(short) > KEPT_STRETCHES:
-                known.clear()
-                new = [*{*rest}]
-                short = [w for w in new if len(w) <= KEPT_CHARS]
-            for at in range(0, len(short), 4096):
-                part = short[at:at + 4096]
-                known.update(zip(part, self._ids([" " + w for w in part]), strict=True))
-            if len(short) < len(new):
-                long = [w for w in new if len(w) > KEPT_CHARS]
-                odd = {w: self._ids([" " + w])[0] for w in long}
-        head = self._ids([first])[0] if first else b""
-        if odd:
-            return head + b"".join([known[w] if w in known else odd[w] for w in rest])
-        return head + b"".join(map(known.__getitem__, rest))
+        return b"".join([self.stretch(s) for s in [first, *(" " + w for w in rest)] if s])
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str, pattern: str | None, special_as_text: bool) -> Encoder:
+    """One per Python worker, whose later tasks find its matches."""
+    return Encoder(path, pattern, special_as_text)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -101,7 +168,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
-           id_col: str = "doc_id", text_col: str = "text",
+           id_col: str = "doc_id", text_col: str = "text", pattern: str | None = None,
            special_as_text: bool = True) -> DataFrame:
     """(id, piece, start, length, ids, part, nth): ``ids`` as the encoder packs
     them, ``nth`` counts the pieces of that length in that partition."""
@@ -109,9 +176,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     src = docs.select(F.col(id_col), text_of(text_col).alias("__text__"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(path, special_as_text)
-        width = np.dtype(coder.kind).itemsize
-        end = np.array([end_id], coder.kind).tobytes()
+        coder = encoder(path, pattern, special_as_text)
+        width, end = coder.width, coder.packed([end_id])
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
             row, piece, start, length, ids, nth = [], [], [], [], [], []
@@ -204,14 +270,15 @@ class Places:
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
-         id_col: str = "doc_id", text_col: str = "text",
+         id_col: str = "doc_id", text_col: str = "text", pattern: str | None = None,
          special_as_text: bool = True,
          fill: Callable[[dict[int, int], int], list[tuple[Counter, int]]] = combinations
          ) -> DataFrame:
     """(id, piece, start, length, ids, sequence_id, offset) of every piece;
     ``ids`` holds little-endian unsigned 32-bit numbers."""
     spark = docs.sparkSession
-    rows = pinned(pieces(docs, path, capacity, end_id, id_col, text_col, special_as_text))
+    rows = pinned(pieces(docs, path, capacity, end_id, id_col, text_col, pattern,
+                         special_as_text))
     runs = rows.groupBy("part", "length").agg(F.count("*").alias("m"))
     before = Window.partitionBy("length").orderBy("part") \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -229,7 +296,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
             for n in np.unique(length).tolist():
                 mine = np.nonzero(length == n)[0]
                 seq[mine], at[mine] = places.value.find(n, number[mine])
-            ids = [np.frombuffer(v, f"<u{len(v) // n}").astype("<u4").tobytes()
+            ids = [np.frombuffer(v, f"u{len(v) // n}").astype("<u4").tobytes()
                    for v, n in zip(b.column(4).to_pylist(), length.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:4], pa.array(ids, pa.binary()), pa.array(seq), pa.array(at)],

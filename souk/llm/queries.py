@@ -157,7 +157,7 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in its sequence."""
     import public_tokenizers as P
     got = packing.pack(read_table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"),
-                       capacity=2048, end_id=0)
+                       capacity=2048, end_id=0, pattern=P.PATTERN)
     return got.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
                       "sequence_id", "offset")
 
