@@ -209,4 +209,109 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n_turns AS BIGINT) AS n_turns,
 FROM said
 """
 
-ORACLE: dict[str, str] = {"op2_chat": _CHAT}
+# DuckDB: nodes of every level by a recursive join-free halving of the ranks, then
+# each leaf's siblings by rank; crc32 (polynomial EDB88320) by folding bytes.
+_MERKLE = r"""
+WITH RECURSIVE d AS (
+  SELECT *, list_reduce(list_prepend(4294967295::UBIGINT,
+              list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                             lambda c: ascii(c)::UBIGINT)),
+              lambda crc, b: list_reduce(list_prepend(xor(crc, b),
+                [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT)
+                             ELSE x >> 1 END))
+            AS folded
+  FROM documents
+), texts AS (
+  SELECT doc_id, lang, n_chars,
+         xor(folded, 4294967295::UBIGINT) % 7 = 0 AS tampered,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM d
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':'
+                                               || n_chars, '-') || tail) AS leaf,
+         sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE
+           strlen(CAST(n_chars + CAST(tampered AS INT) AS VARCHAR)) || ':'
+           || (n_chars + CAST(tampered AS INT)) END || tail) AS claim
+  FROM texts
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM leaves
+), low AS (
+  SELECT lang, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM ranked
+  UNION ALL
+  SELECT lang, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+  FROM low WHERE n > 1 GROUP BY lang, level, i // 2, n
+), subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i
+  FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS level, i, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+  FROM high WHERE n > 1 GROUP BY level, i // 2, n
+), steps AS (
+  SELECT r.doc_id, r.lang, r.i, a.level, coalesce(b.h, '') AS h,
+         (r.i >> a.level) % 2 = 1 AS is_left
+  FROM ranked r
+  JOIN (SELECT DISTINCT lang, level FROM low WHERE n > 1) a ON a.lang IS NOT DISTINCT FROM r.lang
+  LEFT JOIN low b ON b.lang IS NOT DISTINCT FROM r.lang AND b.level = a.level
+                 AND b.i = xor(r.i >> a.level, 1::BIGINT)
+  UNION ALL
+  SELECT r.doc_id, r.lang, r.i, 100 + a.level, coalesce(b.h, ''), (s.i >> a.level) % 2 = 1
+  FROM ranked r JOIN subroots s ON s.lang IS NOT DISTINCT FROM r.lang
+  JOIN (SELECT DISTINCT level FROM high WHERE n > 1) a ON true
+  LEFT JOIN high b ON b.level = a.level AND b.i = xor(s.i >> a.level, 1::BIGINT)
+), proofs AS (
+  SELECT doc_id, lang, i, string_agg(h, '' ORDER BY level) AS proof,
+         list(struct_pack(h := h, is_left := is_left) ORDER BY level) AS path
+  FROM steps GROUP BY doc_id, lang, i
+), fold AS (
+  SELECT r.doc_id, r.lang, r.i, r.claim AS h, 1 AS k, p.path
+  FROM ranked r LEFT JOIN proofs p
+    ON p.i = r.i AND p.lang IS NOT DISTINCT FROM r.lang
+  UNION ALL
+  SELECT doc_id, lang, i, CASE WHEN path[k].is_left THEN sha256(path[k].h || h)
+                          ELSE sha256(h || path[k].h) END, k + 1, path
+  FROM fold WHERE k <= coalesce(len(path), 0)
+)
+SELECT r.doc_id, r.leaf, s.subroot, t.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+       f.h AS folded_root, f.h = t.h AS verified
+FROM ranked r
+JOIN subroots s ON s.lang IS NOT DISTINCT FROM r.lang
+JOIN (SELECT h FROM high WHERE n = 1) t ON true
+JOIN fold f ON f.i = r.i AND f.lang IS NOT DISTINCT FROM r.lang
+           AND f.k = coalesce(len(f.path), 0) + 1
+LEFT JOIN proofs p ON p.i = r.i AND p.lang IS NOT DISTINCT FROM r.lang
+"""
+
+# DuckDB: every anchor against every row.
+_NEGATIVES = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, b.label = a.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS k
+  FROM scored WHERE same QUALIFY k <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.k ORDER BY n.score DESC, n.vec_id) AS INTEGER)
+         AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.a = p.a AND NOT n.same
+ AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+QUALIFY rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op2_chat": _CHAT, "op11_merkle": _MERKLE,
+                          "op12_negatives": _NEGATIVES}
