@@ -287,11 +287,10 @@ SELECT value_band, count(*) AS payments, min(payment_value) AS min_value,
        {avg_('sum(payment_installments)', 'count(*)', 4)} AS avg_installments,
        {ratio_sql('count(*) FILTER (WHERE payment_installments > 1)', 'count(*)', 2)}
          AS multi_installment_share
-FROM (SELECT CAST(1 + (payment_value > q[1])::INT + (payment_value > q[2])::INT
-                  + (payment_value > q[3])::INT AS INTEGER) AS value_band,
+FROM (SELECT CAST(ntile(4) OVER (ORDER BY payment_value, order_id, payment_installments,
+                                          payment_type) AS INTEGER) AS value_band,
              payment_value, payment_installments
-      FROM r_payments, (SELECT quantile_disc(payment_value, [0.25, 0.5, 0.75]) AS q
-                        FROM r_payments) e) t
+      FROM r_payments WHERE payment_value IS NOT NULL) t
 GROUP BY value_band""")
 
 Q["x_cohort"] = with_proxies("""
@@ -414,10 +413,6 @@ WHERE error_flags IS NULL
 INSIGHTS = Q
 
 
-def _q(c: str) -> str:
-    return "1 + " + " + ".join(f"CAST({c} > e_{c}[{i}] AS INTEGER)" for i in range(1, 5))
-
-
 Q["x_rfm"] = with_proxies(f"""
 SELECT CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'champions'
             WHEN f >= 4 THEN 'loyal'
@@ -427,12 +422,11 @@ SELECT CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'champions'
             ELSE 'regular' END AS segment,
        count(*) AS customers, {rnd('avg(recency)', 2)} AS avg_recency_days,
        {rnd('avg(frequency)', 4)} AS avg_frequency, {rnd('avg(monetary)', 2)} AS avg_monetary
-FROM (SELECT base.*, 6 - ({_q('recency')}) AS r, {_q('frequency')} AS f,
-             {_q('monetary')} AS m
-      FROM base, (SELECT quantile_disc(recency, [0.2, 0.4, 0.6, 0.8]) AS e_recency,
-                         quantile_disc(frequency, [0.2, 0.4, 0.6, 0.8]) AS e_frequency,
-                         quantile_disc(monetary, [0.2, 0.4, 0.6, 0.8]) AS e_monetary
-                  FROM base) e) s
+FROM (SELECT base.*,
+             ntile(5) OVER (ORDER BY recency DESC NULLS FIRST, customer_unique_id NULLS FIRST) AS r,
+             ntile(5) OVER (ORDER BY frequency, customer_unique_id NULLS FIRST) AS f,
+             ntile(5) OVER (ORDER BY monetary, customer_unique_id NULLS FIRST) AS m
+      FROM base) s
 GROUP BY 1""", ("po", """
   SELECT order_id, sum(price_cents) AS rev_cents FROM r_items GROUP BY order_id"""),
                           ("pp", """

@@ -14,18 +14,23 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(price: str | Column) -> Column:
-    """Money as an exact decimal number of cents, to a millionth of a unit."""
-    return (col_(price).cast("decimal(18,6)") * F.lit(100)).cast("decimal(20,4)")
+MOST_MONEY = 1e15  # from here on a double does not tell cents apart
 
 
 def money_sum(price: str | Column) -> Column:
-    """Exact sum of a money column, in cents.
+    """Exact sum of a money column, in cents, to a millionth of a unit.
 
-    Summing raw doubles depends on the order rows arrive in; summing decimals
-    does not, and parts of a cent add up too.
+    Summing raw doubles depends on the order rows arrive in. Whole units and
+    millionths are summed as longs, which does not, stays in generated code and
+    adds parts of a cent up too; one decimal is made of the two sums. NaN and
+    amounts of ``MOST_MONEY`` and more count as missing.
     """
-    return F.sum(cents(price))
+    amount = col_(price).cast("double")
+    amount = F.when(F.abs(amount) < MOST_MONEY, amount)
+    whole = F.floor(amount)
+    parts = F.round((amount - whole) * 1_000_000).cast("long")
+    units = F.sum(whole).cast("decimal(20,0)") * 100
+    return (units + F.sum(parts).cast("decimal(20,0)") / 10_000).cast("decimal(30,4)")
 
 
 def from_cents(total: str | Column) -> Column:

@@ -1,9 +1,10 @@
-"""Exact discrete quantiles without a sort of the values.
+"""Exact discrete quantiles of groups of any size.
 
-Equal values are counted first (a combinable aggregate). Each round then counts
-the values of a range in ``RANGES`` equal parts, and only the part that holds
-the wanted rank is looked at in the next round, until it is down to one value.
-No round sorts more than RANGES rows, and a round keeps about one value in RANGES.
+Equal values are counted first (a combinable aggregate), so a value that a third
+of all rows hold is one row. The counts are dealt by ranges of (group, value)
+and pinned; prefix sums over the ranges tell which range holds a wanted rank, and
+only the rows of those ranges are added up value by value. Nothing is repeated
+until it fits, so infinite values and denormals are values like others.
 """
 
 from __future__ import annotations
@@ -13,9 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-RANGES = 1024
+from .ranks import by_ranges
 
 
 def exact_quantiles(df: DataFrame, by: str, value: str | Column,
@@ -23,39 +22,30 @@ def exact_quantiles(df: DataFrame, by: str, value: str | Column,
     """(by, quantiles): for each group the values at the ranks ceil(q * n), in
     the order of ``qs``. Missing values and NaN do not count; a group with no
     other has no row. A null group is a group."""
-    ensure_checkpoint_dir(df.sparkSession)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     counts = (df.select(F.col(by).alias("g"), v.alias("v"))
               .filter(F.col("v").isNotNull() & ~F.isnan("v"))
-              .groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))).checkpoint()
+              .groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")))
+    rows = by_ranges(counts, "g", "v").drop("__place__")
+    whole = Window.partitionBy("pg")
+    before = whole.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(F.col("__part__").alias("p"), F.col("g").alias("pg")) \
+        .agg(F.sum("n").alias("m")) \
+        .select("p", "pg", "m", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before"),
+                F.sum("m").over(whole).alias("all"))
     wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q"))
                                  for i, q in enumerate(qs)]))
-    todo = (counts.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                                    F.sum("n").alias("n"))
-            .select("g", "lo", "hi", "n", wanted.alias("w"))
-            .select("g", "lo", "hi", F.lit(0).cast("long").alias("before"), "w.i",
-                    F.greatest(F.ceil(F.col("n") * F.col("w.q")), F.lit(1)).cast("long")
-                    .alias("rank"))).checkpoint()
-    while todo.filter("lo < hi").limit(1).count():
-        ranges = todo.select(F.col("g").alias("rg"), "lo", "hi").distinct()
-        # halves, so that the width of a huge range does not overflow; a range of
-        # one value has no width and is one part
-        half = F.try_divide(F.col("v") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2)
-        part = F.least(F.floor(half * RANGES), F.lit(RANGES - 1))
-        parts = (counts.join(ranges, F.col("g").eqNullSafe(F.col("rg"))
-                             & F.col("v").between(F.col("lo"), F.col("hi")))
-                 .groupBy("rg", "lo", "hi", F.coalesce(part, F.lit(0)).alias("part"))
-                 .agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")))
-        order = Window.partitionBy("rg", "lo", "hi").orderBy("part")
-        parts = parts.select("rg", F.col("lo").alias("plo"), F.col("hi").alias("phi"), "low",
-                             "high", "n", F.sum("n").over(order).alias("upto"))
-        here = F.col("rank") - F.col("before")
-        todo = (todo.join(parts, F.col("g").eqNullSafe(F.col("rg")) & (F.col("lo") == F.col("plo"))
-                          & (F.col("hi") == F.col("phi")) & (here <= F.col("upto"))
-                          & (here > F.col("upto") - F.col("n")))
-                .select("g", F.col("low").alias("lo"), F.col("high").alias("hi"),
-                        (F.col("before") + F.col("upto") - F.col("n")).alias("before"),
-                        "i", "rank")).checkpoint()
-    return (todo.groupBy(F.col("g").alias(by))
-            .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "lo"))),
-                             lambda x: x["lo"]).alias("quantiles")))
+    rank = F.greatest(F.ceil(F.col("all") * F.col("w.q")), F.lit(1)) - F.col("before")
+    asked = parts.select("*", wanted.alias("w")).select("p", "pg", "m", "w.i", rank.alias("rank")) \
+        .filter((F.col("rank") > 0) & (F.col("rank") <= F.col("m"))) \
+        .groupBy("p", "pg").agg(F.collect_list(F.struct("i", "rank")).alias("asks"))
+    # asks: one entry per quantile at most
+    inside = Window.partitionBy("__part__", "g").orderBy("v")
+    hit = rows.join(asked, (F.col("__part__") == F.col("p")) & F.col("g").eqNullSafe(F.col("pg"))) \
+        .withColumn("upto", F.sum("n").over(inside))
+    here = F.filter("asks", lambda a: (a["rank"] <= F.col("upto"))
+                    & (a["rank"] > F.col("upto") - F.col("n")))
+    return (hit.select("g", "v", F.explode(here).alias("a"))
+            .groupBy(F.col("g").alias(by))
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct("a.i", "v"))),
+                             lambda x: x["v"]).alias("quantiles")))

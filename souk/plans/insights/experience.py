@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions import cents, correlation, day_diff, from_cents, pct
+from ...functions import correlation, day_diff, from_cents, money_sum, pct
 from ...operators.joins import bounded_broadcast
 from ...operators.quantiles import exact_quantiles
+from ...operators.ranks import ntile, ranked
 from .common import delivered, order_categories, order_sellers
 
 # National public holidays with a fixed calendar date
@@ -174,7 +175,7 @@ def price_vs_score(order_items: DataFrame, reviews: DataFrame) -> DataFrame:
 def payment_mix(payments: DataFrame) -> DataFrame:
     """Payment types: number of payments, share and value."""
     per = payments.groupBy("payment_type").agg(
-        F.count(F.lit(1)).alias("payments"), F.sum(cents("payment_value")).alias("cents"))
+        F.count(F.lit(1)).alias("payments"), money_sum("payment_value").alias("cents"))
     total = per.agg(F.sum("payments").alias("all_payments"))
     return per.crossJoin(F.broadcast(total)).select(
         "payment_type", "payments", pct("payments", "all_payments", 2).alias("share"),
@@ -191,7 +192,7 @@ def payment_vs_value(payments: DataFrame) -> DataFrame:
         .select(F.col("payment_type").alias("_type"), F.get("quantiles", F.lit(0))
                 .alias("median_value"))
     per = payments.groupBy("payment_type").agg(
-        F.count(F.lit(1)).alias("payments"), F.sum(cents("payment_value")).alias("c"),
+        F.count(F.lit(1)).alias("payments"), money_sum("payment_value").alias("c"),
         F.max("payment_value").alias("max_value"),
         F.sum("payment_installments").alias("inst"))
     return per.join(median, per.payment_type.eqNullSafe(F.col("_type")), "left").select(
@@ -214,15 +215,16 @@ def installments_by_category(order_items: DataFrame, products: DataFrame,
 
 
 def installments_by_value(payments: DataFrame, bands: int = 4) -> DataFrame:
-    """Instalment use per payment-value band: equal shares of the payments,
-    cut at the exact quantiles of the value (quartiles by default)."""
-    cuts = [i / bands for i in range(1, bands)]
-    one = exact_quantiles(payments.withColumn("_all", F.lit(0)), "_all", "payment_value", cuts)
-    v = F.col("payment_value")
-    band = (F.lit(1) + F.size(F.filter("quantiles", lambda q: v > q))).cast("int")
-    # one row of edges
-    tagged = payments.filter(v.isNotNull()).crossJoin(F.broadcast(one.select("quantiles"))) \
-        .select(band.alias("value_band"), v, "payment_installments")
+    """Instalment use per payment-value band: equal shares of the payments by
+    value (quartiles by default; sizes differ by one payment at most). Equal
+    values are told apart by order, instalments and type; a payment without a
+    value has no band."""
+    rows = payments.select("payment_value", "order_id", "payment_installments", "payment_type") \
+        .filter(F.col("payment_value").isNotNull() & ~F.isnan(F.col("payment_value")
+                                                              .cast("double")))
+    order = ["payment_value", "order_id", "payment_installments", "payment_type"]
+    tagged = ranked(rows.withColumn("_all", F.lit(0)), "_all", order) \
+        .withColumn("value_band", ntile("rank", "group_rows", bands))
     return (tagged.groupBy("value_band")
             .agg(F.count(F.lit(1)).alias("payments"),
                  F.min("payment_value").alias("min_value"),
@@ -232,4 +234,3 @@ def installments_by_value(payments: DataFrame, bands: int = 4) -> DataFrame:
             .select("value_band", "payments", "min_value", "max_value",
                     _ratio("inst", "payments", 4).alias("avg_installments"),
                     pct("multi", "payments", 2).alias("multi_installment_share")))
-

@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions import day_diff, from_cents, money_sum
-from ...operators.quantiles import exact_quantiles
+from ...operators.ranks import ntile, ranked
 from ...operators.topk import top_k_per_group
-from ...session import ensure_checkpoint_dir
-from .common import MISC, order_categories, revenue_per_order
+from .common import MISC, order_category_sets, revenue_per_order
 
 PERSON = "customer_unique_id"
+SCORES = 5
 
 
 def _month_index(ts):
@@ -43,12 +43,12 @@ def cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def rfm_scores(orders: DataFrame, order_items: DataFrame,
                customers: DataFrame) -> DataFrame:
     """Per person: recency (days before the day after the last purchase in
-    the data), frequency (orders), monetary (item revenue), each scored 1-5
-    against the quintiles of all persons.
+    the data), frequency (orders), monetary (item revenue), each scored 1-5:
+    equal fifths of all persons, ties by person, the best fifth 5.
 
-    Quintile edges are exact at any size (``operators/quantiles``: no global
-    sort or single-partition window). The per-person rows are pinned once, for
-    the edges and the scores alike.
+    The three values of a person become three rows and are ranked in one pass
+    (``operators/ranks``: no window holds all persons). A person without a
+    dated order comes first in recency, with the worst score.
     """
     day = F.col("order_purchase_timestamp").cast("date")
     per_order = (orders.select("order_id", "customer_id", day.alias("d"))
@@ -60,31 +60,24 @@ def rfm_scores(orders: DataFrame, order_items: DataFrame,
                   .groupBy(PERSON).agg(F.max("last_d").alias("last_d"),
                                        F.sum("orders").alias("frequency"),
                                        F.sum("cents").alias("cents")))
-    ensure_checkpoint_dir(per_person.sparkSession)
-    per_person = per_person.checkpoint()
-    # recency is (last day in the data + 1) minus the person's last day:
-    # quantiles shift with their values, so -last_day scores it
-    qs = [0.2, 0.4, 0.6, 0.8]
-    neg_day = -F.unix_date("last_d")
-    monetary = from_cents("cents")
-    values = {"e_recency": neg_day, "e_frequency": F.col("frequency"), "e_monetary": monetary}
-    long = per_person.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("edge"), v.cast("double").alias("v"))
-        for k, v in values.items()])).alias("x")).select("x.edge", "x.v")
-    edges = exact_quantiles(long, "edge", "v", qs).agg(*[
-        F.max(F.when(F.col("edge") == k, F.col("quantiles"))).alias(k) for k in values])
-    stats = per_person.agg(F.date_add(F.max("last_d"), 1).alias("ref")) \
-        .crossJoin(F.broadcast(edges))
-
-    def score(value, edges):
-        return 1 + sum(F.when(value > F.col(edges)[i], 1).otherwise(0)
-                       for i in range(len(qs)))
-    return per_person.crossJoin(F.broadcast(stats)).select(
-        PERSON, F.datediff("ref", "last_d").alias("recency"), "frequency",
-        monetary.alias("monetary"),
-        (6 - score(neg_day, "e_recency")).alias("r_score"),
-        score(F.col("frequency"), "e_frequency").alias("f_score"),
-        score(monetary, "e_monetary").alias("m_score"))
+    # the latest day is the best one, so the last day itself stands for recency
+    values = {"r": F.unix_date("last_d"), "f": F.col("frequency"), "m": from_cents("cents")}
+    long = per_person.select(PERSON, "last_d", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), v.cast("double").alias("v"))
+        for k, v in values.items()])).alias("x")).select(PERSON, "last_d", "x.kind", "x.v")
+    scored = ranked(long, "kind", ["v", PERSON]) \
+        .withColumn("score", ntile("rank", "group_rows", SCORES))
+
+    def of(kind: str, column: str):
+        return F.max(F.when(F.col("kind") == kind, F.col(column)))
+
+    wide = scored.groupBy(PERSON).agg(
+        F.max("last_d").alias("last_d"), of("f", "v").cast("long").alias("frequency"),
+        of("m", "v").alias("monetary"), *[of(k, "score").alias(f"{k}_score") for k in values])
+    ref = scored.agg(F.date_add(F.max("last_d"), 1).alias("ref"))  # one row
+    return wide.crossJoin(F.broadcast(ref)).select(
+        PERSON, F.datediff("ref", "last_d").alias("recency"), "frequency", "monetary",
+        "r_score", "f_score", "m_score")
 
 
 def rfm_segments(scores: DataFrame) -> DataFrame:
@@ -108,14 +101,11 @@ def category_sets(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """(cats, n): each distinct set of categories bought together and the
     number of orders that bought exactly that set.
 
-    ``collect_set`` per order is bounded by the number of categories and
-    merges on the map side, so even an order with a third of all items is
-    cheap; the result has one row per distinct set. There can be many (at most
-    one per order), but each set is as short as the category domain.
+    A set is as short as the list of categories. There can be many sets (at most
+    one per order); equal ones are counted on the map side.
     """
-    oc = order_categories(order_items, products)
-    return (oc.groupBy("order_id").agg(F.sort_array(F.collect_set("category")).alias("cats"))
-            .groupBy("cats").agg(F.count(F.lit(1)).alias("n")))
+    return (order_category_sets(order_items, products)
+            .groupBy(F.sort_array("cats").alias("cats")).agg(F.count(F.lit(1)).alias("n")))
 
 
 _PAIRS = ("flatten(transform(cats, (a, i) -> transform(slice(cats, i + 2, size(cats)), "

@@ -57,6 +57,21 @@ def test_duplicate_detection_has_no_per_key_window(plans):
         assert "Window" not in plans[k], k
 
 
+def test_copies_within_an_order_go_before_the_shuffle(spark):
+    """A partial aggregate stands below the first exchange by order, so an order
+    with a third of all items is combined where it is read."""
+    from souk.catalog import retail
+    from souk.plans.insights import common
+    r = retail(spark, SF001)
+    for df, name in ((common.order_categories(r.order_items, r.products), "collect_set"),
+                     (common.order_sellers(r.order_items), "HashAggregate")):
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        shuffle = next(i for i, x in enumerate(plan) if "Exchange hashpartitioning(order_id" in x)
+        above, below = "\n".join(plan[:shuffle]), "\n".join(plan[shuffle:])
+        assert name in above and ("partial_collect_set" in below if name == "collect_set"
+                                  else name in below), plan
+
+
 def test_nested_loop_joins_only_against_tiny_sides(plans):
     """BroadcastNestedLoopJoin appears only where one side is a one-row global
     aggregate or a driver-built list (cutoffs); never between two tables."""

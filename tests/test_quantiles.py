@@ -29,6 +29,8 @@ def test_groups_nulls_ties_and_wild_spreads(spark):
         "one": [3.25], "same": [7.0] * 40, None: [rng.random() for _ in range(99)],
         "wild": [10.0 ** rng.randint(-12, 12) * rng.choice([-1, 1]) for _ in range(400)],
         "huge": [-1.7e308, 1.7e308, 0.0, 1.0],
+        "endless": [1.0, 2.0, 3.0, math.inf], "both ends": [-math.inf, 1.0, 2.0, math.inf],
+        "denormal": [0.0, 5e-324, 5e-324, 1e-323], "zeros": [-0.0, 0.0, 0.0],
     }
     rows = [(g, v) for g, vs in groups.items() for v in vs]
     rows += [("none", None), ("ties", None), ("one", float("nan"))]
