@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from souk.catalog import SET_SUPPORT
+
 from . import ratio_sql, with_proxies
 from .etl import PRODUCT_COLS, STAGED, VALIDATED_MESSAGE, _cols
 
@@ -335,6 +337,36 @@ LEFT JOIN (SELECT partner_category, product_id AS top_product_id
            WHERE rn = 1) b ON r.partner_category = b.partner_category
 WHERE r.rank <= 3""", OC, _CATSETS)
 
+# item to item: every pair of every order, counted
+Q["x_recommend_items"] = with_proxies(f"""
+SELECT product_id, CAST(rank AS INTEGER) AS rank, similar_id, orders,
+       {rnd('cosine', 6)} AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id
+                                   ORDER BY cosine DESC, orders DESC, similar_id) AS rank
+      FROM (SELECT a.product_id, b.product_id AS similar_id, count(*) AS orders,
+                   count(*) / sqrt(any_value(na.n) * any_value(nb.n)) AS cosine
+            FROM bought a JOIN bought b
+              ON a.order_id = b.order_id AND a.product_id <> b.product_id
+            JOIN per na ON na.product_id = a.product_id
+            JOIN per nb ON nb.product_id = b.product_id
+            GROUP BY 1, 2 HAVING count(*) >= 2) p) r
+WHERE rank <= 3""", ("bought", "SELECT DISTINCT order_id, product_id FROM r_items"),
+                                ("per", "SELECT product_id, count(*) AS n FROM bought GROUP BY 1"))
+
+# sets grown by one larger category at a time, order by order
+Q["x_basket_sets"] = with_proxies(f"""
+SELECT array_to_string(items, ' + ') AS categories, CAST(len(items) AS INTEGER) AS n_items,
+       orders, {rnd('orders / n', 6)} AS support
+FROM (WITH RECURSIVE grown AS (
+        SELECT order_id, [category] AS items FROM oc
+        UNION ALL
+        SELECT g.order_id, list_append(g.items, o.category)
+        FROM grown g JOIN oc o ON o.order_id = g.order_id AND o.category > g.items[-1]
+        WHERE len(g.items) < 8)
+      SELECT items, count(*) AS orders FROM grown WHERE len(items) > 1 GROUP BY items) s,
+     (SELECT count(DISTINCT order_id) AS n FROM oc) t
+WHERE orders >= {SET_SUPPORT} * n""", OC)
+
 Q["x_forecast"] = with_proxies(f"""
 SELECT CAST(m1 + h - m0 AS INTEGER) AS month_index,
        printf('%04d-%02d', (m1 + h) // 12, (m1 + h) % 12 + 1) AS month_label,

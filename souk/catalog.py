@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import customers, logistics, pipeline, quality, revenue
+from .plans.insights import baskets as BK
 from .plans.insights import experience as X
 from .plans.insights import operations as OP
 from .plans.insights import segments as SG
@@ -30,6 +31,7 @@ CHURN_CUTOFFS = ("1997-01-01", "1999-01-01", "2001-01-01")
 # once per geolocation row of its zip prefix there): the repeat test separates
 REPEAT_ORDERS = 20
 REPEAT_ORDERS_CITY = 40
+SET_SUPPORT = 0.05               # of the orders: sets of two to four categories reach it
 LOAD_TS = dt.datetime(2024, 1, 1)  # fixed load time so results are repeatable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,6 +285,9 @@ QUERIES: dict[str, Query] = {
     "x_satisfaction_index": _on(lambda r: SG.satisfaction_index(
         r.orders, r.customers, r.order_reviews)),
     "x_recommend": _on(lambda r: SG.recommend(r.order_items, r.products)),
+    "x_recommend_items": _on(lambda r: BK.similar_products(r.order_items)),
+    "x_basket_sets": _on(lambda r: BK.category_sets_above(
+        r.order_items, r.products, min_support=SET_SUPPORT)),
     "x_price_elasticity": _on(lambda r: SG.price_elasticity(
         r.order_items, r.products, r.orders)),
     "x_incremental_load": _incremental,
