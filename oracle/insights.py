@@ -442,6 +442,15 @@ WHERE error_flags IS NULL
     ("first_checked", VALIDATED_MESSAGE.replace("r_staged", "first_rows")),
     ("second_checked", VALIDATED_MESSAGE.replace("r_staged", "second_rows")))
 
+# the batch of each even id among four loads that are validated on their own
+Q["x_key_index"] = with_proxies(" UNION ALL ".join(
+    f"""SELECT product_id, CAST({n + 1} AS INTEGER) AS batch FROM checked_{n}
+WHERE error_flags IS NULL AND CAST(product_id AS BIGINT) % 2 = 0""" for n in range(4)),
+    ("r_staged", STAGED),
+    *[(f"load_{n}", "SELECT * FROM r_staged "
+       f"WHERE (coalesce(CAST(product_id AS BIGINT), 0) // 7) % 4 = {n}") for n in range(4)],
+    *[(f"checked_{n}", VALIDATED_MESSAGE.replace("r_staged", f"load_{n}")) for n in range(4)])
+
 INSIGHTS = Q
 
 

@@ -142,6 +142,20 @@ def _incremental(spark: SparkSession, root: str) -> DataFrame:
     return pipeline.read_published(spark, zones, "clean", "products", all_batches=True)
 
 
+def _key_index(spark: SparkSession, root: str) -> DataFrame:
+    """Four appends of a quarter of the product ids each; then, for the even ids and
+    as many that no batch has, the batch that holds them."""
+    zones, raw = _zones(spark), retail(spark, root).raw_products
+    key = F.coalesce(F.col("product_id").cast("long"), F.lit(0))
+    for part in range(4):
+        pipeline.run_pipeline(spark, raw.filter(F.floor(key / 7) % 4 == part), quality.PRODUCTS,
+                              zones, load_ts=LOAD_TS, incremental=True)
+    even = raw.filter(key % 2 == 0).select("product_id")
+    asked = even.unionByName(even.select(F.concat("product_id", F.lit("x")).alias("product_id")))
+    return pipeline.keys_published(spark, zones, "products", asked, quality.PRODUCTS.key) \
+        .select("product_id", "batch")
+
+
 def _clean_zone_revenue(spark: SparkSession, root: str) -> DataFrame:
     """Category revenue over the published clean products."""
     zones, r = _zones(spark), retail(spark, root)
@@ -157,7 +171,7 @@ P = quality.PRODUCTS
 # Keys that write files while being built (zone folders under the session's
 # checkpoint folder); plan-only tools skip them.
 WRITING_KEYS = frozenset({"etl_end_to_end", "etl_published", "src_csv_translation",
-                          "x_incremental_load", "q_category_revenue_clean_zone"})
+                          "x_incremental_load", "x_key_index", "q_category_revenue_clean_zone"})
 
 QUERIES: dict[str, Query] = {
     # ---- the nine reference reports (faithful) ----
@@ -291,5 +305,6 @@ QUERIES: dict[str, Query] = {
     "x_price_elasticity": _on(lambda r: SG.price_elasticity(
         r.order_items, r.products, r.orders)),
     "x_incremental_load": _incremental,
+    "x_key_index": _key_index,
     "q_category_revenue_clean_zone": _clean_zone_revenue,
 }

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import strip_ws
+from ..operators import key_index
 from ..operators.rules import rule_counts, validate_flags, validate_message
 from ..sources.files import CORRUPT
 from .quality import TableSpec
@@ -175,10 +176,11 @@ def audit_summary(validated: DataFrame, table: str) -> DataFrame:
              F.lit(None).cast("string").alias("error_message"))
 
 
-def _published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """(run_id) of the batches with a SUCCESS audit row."""
+def _published(spark: SparkSession, root: str, table: str, least_rows: int = 0) -> DataFrame:
+    """(run_id) of the batches with a SUCCESS audit row and enough rows loaded."""
     return (read_audit(spark, root)
-            .filter((F.col("table_name") == table) & (F.col("status") == "SUCCESS"))
+            .filter((F.col("table_name") == table) & (F.col("status") == "SUCCESS")
+                    & (F.col("rows_loaded") >= least_rows))
             .select("run_id"))
 
 
@@ -206,8 +208,47 @@ def read_published(spark: SparkSession, root: str, zone: str, table: str,
     return every.join(done, every.batch == done.run_id, "left_semi").select(*one.columns)
 
 
+def batches_holding(spark: SparkSession, root: str, table: str, new: DataFrame,
+                    key: tuple[str, ...]) -> list[int]:
+    """The published batches that may hold a key of ``new``: those whose key index
+    does not rule all of them out, and those without an index. One number a batch
+    comes to the driver; no row of a batch is read."""
+    done = _published(spark, root, table, least_rows=1)
+    path = zone_path(root, "index", table)
+    if not path_exists(spark, path):
+        return sorted(r["run_id"] for r in done.collect())
+    index = key_index.read(spark, path)
+    bare = done.join(index.select("batch").distinct(), F.col("run_id") == F.col("batch"),
+                     "left_anti")
+    named = key_index.may_hold(new, key, index).select(F.col("batch").alias("run_id")) \
+        .distinct().join(done, "run_id", "left_semi")
+    return sorted(r["run_id"] for r in bare.unionByName(named).distinct().collect())
+
+
+def keys_published(spark: SparkSession, root: str, table: str, new: DataFrame,
+                   key: tuple[str, ...]) -> DataFrame:
+    """(batch, key columns) of the keys of ``new`` that a published batch holds:
+    the index names the batches, their key columns decide."""
+    found = batches_holding(spark, root, table, new, key)
+    held = _read_batches(spark, root, "clean", table, found)
+    if held is None:
+        return new.select(F.lit(None).cast("int").alias("batch"), *key).limit(0)
+    return held.join(new.select(*key).distinct(), list(key), "left_semi") \
+        .select("batch", *key).distinct()
+
+
+def _read_batches(spark: SparkSession, root: str, zone: str, table: str,
+                  batches: list[int]) -> DataFrame | None:
+    """Rows of some batches, with ``batch``; other folders are not opened."""
+    if not batches:
+        return None
+    whole = zone_path(root, zone, table)
+    return spark.read.option("basePath", whole) \
+        .parquet(*[zone_path(root, zone, table, b) for b in batches])
+
+
 def keep_newest(spark: SparkSession, root: str, table: str, keep: int = 1,
-                zones: tuple[str, ...] = ("stg", "error", "clean", "malformed")) -> int:
+                zones: tuple[str, ...] = ("stg", "error", "clean", "malformed", "index")) -> int:
     """Retention for fully refreshed tables: delete the folders of all batches
     but the ``keep`` newest published ones (and of failed runs before them).
     Appended tables need every batch: do not call this for them. Returns the
@@ -236,10 +277,12 @@ def _write_counted(df: DataFrame, path: str) -> int:
     return int(obs.get["rows"])
 
 
-def _write_new(clean: DataFrame, old: DataFrame, key: tuple[str, ...],
+def _write_new(clean: DataFrame, old: DataFrame | None, key: tuple[str, ...],
                path: str) -> tuple[int, int]:
-    """Write the rows of ``clean`` whose key ``old`` does not have; returns the
-    numbers of rows written and left out."""
+    """Write the rows of ``clean`` whose key ``old`` (None: no rows) does not have;
+    returns the numbers of rows written and left out."""
+    if old is None:
+        return _write_counted(clean, path), 0
     obs, seen = Observation(), "_published_before"
     marked = clean.join(old.select(*key).distinct().withColumn(seen, F.lit(True)),
                         list(key), "left")
@@ -249,11 +292,21 @@ def _write_new(clean: DataFrame, old: DataFrame, key: tuple[str, ...],
     return int(obs.get["new"]), int(obs.get["known"])
 
 
+def _tidy(spark: SparkSession, root: str, table: str, batch_id: int) -> None:
+    """Drop the working folders of a run. What the run published or recorded
+    stands already, so a failure here is noted and no more."""
+    for zone in ("arrived", "checked"):
+        try:
+            _drop_folder(spark, zone_path(root, zone, table, batch_id))
+        except Exception as exc:
+            log.warning("could not drop %s of %s batch %d: %s", zone, table, batch_id, exc)
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str,
                  profile: str = "message",
                  load_ts: dt.datetime | None = None,
                  source_file: str | None = None,
-                 incremental: bool = False) -> dict:
+                 incremental: bool = False, keep: int | None = None) -> dict:
     """Stage, validate, split and publish one batch of ``raw``.
 
     ``profile`` is ``"message"`` (SQL rules, error_flags text) or ``"flags"``
@@ -264,12 +317,19 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
 
     ``incremental=True`` appends instead of replacing: clean rows whose key is
     already published in an earlier SUCCESS batch are left out and counted as
-    skipped, and readers use ``read_published(..., all_batches=True)``.
+    skipped, and readers use ``read_published(..., all_batches=True)``. Each such
+    batch gets a key index (``operators/key_index``), and a load reads only the
+    batches that may hold one of its keys, and those from before the index.
+
+    ``keep=k`` deletes all but the ``k`` newest published batches after a full
+    refresh, as the reference empties its tables on each run.
 
     If ``raw`` has the reader's column of malformed rows, those go to the zone
     ``malformed`` with their raw text and count as rejected. So loaded,
     rejected and skipped rows add up to the rows staged, in every run.
     """
+    if keep is not None and incremental:
+        raise ValueError("appended tables need every batch: keep is for full refreshes")
     load_ts = load_ts or dt.datetime.now().replace(microsecond=0)
     batch_id = next_batch_id(read_audit(spark, root))
     try:
@@ -305,19 +365,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         rejected = broken + _write_counted(err, zone_path(root, "error", spec.table, batch_id))
         if incremental and has_published(spark, root, spec.table):
             _check_profile(spark, root, spec.table, profile)
-            old = read_published(spark, root, "clean", spec.table, all_batches=True)
+            old = _read_batches(spark, root, "clean", spec.table, batches_holding(
+                spark, root, spec.table, clean, spec.key))
             loaded, skipped = _write_new(clean, old, spec.key, clean_path)
         else:
             loaded = _write_counted(clean, clean_path)
+        if incremental:
+            key_index.build(spark.read.parquet(clean_path), spec.key, loaded) \
+                .write.mode("overwrite").parquet(zone_path(root, "index", spec.table, batch_id))
         audit_row(spark, batch_id, spec.table, loaded, rejected, "SUCCESS", None,
                   load_ts, source_file or spec.source_file, profile, skipped) \
             .write.mode("append").parquet(audit_path(root))
-        for zone in ("arrived", "checked"):
-            _drop_folder(spark, zone_path(root, zone, spec.table, batch_id))
-        log.info("%s batch %d: %d loaded, %d rejected", spec.table, batch_id,
-                 loaded, rejected)
-        return {"batch_id": batch_id, "rows_loaded": loaded, "rows_rejected": rejected,
-                "rows_skipped": skipped}
     except Exception as exc:
         log.error("%s batch %d failed: %s", spec.table, batch_id, exc)
         # The SQL procedure records 0/0 and the whole message (4000 chars);
@@ -331,6 +389,13 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, spec: TableSpec, root: str
         except Exception as audit_exc:  # keep the original error
             log.error("could not write the failure audit row: %s", audit_exc)
         raise
+    finally:
+        _tidy(spark, root, spec.table, batch_id)
+    if keep is not None and not incremental:
+        keep_newest(spark, root, spec.table, keep)
+    log.info("%s batch %d: %d loaded, %d rejected", spec.table, batch_id, loaded, rejected)
+    return {"batch_id": batch_id, "rows_loaded": loaded, "rows_rejected": rejected,
+            "rows_skipped": skipped}
 
 
 def _check_profile(spark: SparkSession, root: str, table: str, profile: str) -> None:
