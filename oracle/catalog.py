@@ -55,6 +55,10 @@ ORACLE.update({
     "q_churn_by_inactivity": reports.churn_by_inactivity(6),
     "q_repeat_by_state_often": reports.repeat_by("customer_state", REPEAT_ORDERS),
     "q_repeat_rate_often": reports.repeat_rate(REPEAT_ORDERS),
+    # refreshed reports equal the full ones
+    "q_monthly_revenue_trend_refreshed": reports.monthly_revenue_trend(),
+    "q_repeat_rate_refreshed": reports.repeat_rate(REPEAT_ORDERS),
+    "q_churn_refreshed": reports.churn(CHURN_CUTOFF),
     # tables with missing dates and persons and repeated products
     "q_monthly_revenue_trend_dirty": reports.monthly_revenue_trend(dirty=True),
     "q_category_revenue_dirty": reports.category_revenue(dirty=True),

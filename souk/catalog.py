@@ -18,6 +18,7 @@ from .plans.insights import baskets as BK
 from .plans.insights import experience as X
 from .plans.insights import operations as OP
 from .plans.insights import segments as SG
+from .plans.refresh import ReportStates
 from .session import ensure_checkpoint_dir
 from .sources.files import read_raw
 from .sources.proxies import DirtyRetail, Retail
@@ -156,6 +157,20 @@ def _key_index(spark: SparkSession, root: str) -> DataFrame:
         .select("product_id", "batch")
 
 
+def _refreshed(report: Callable[[ReportStates, Retail], DataFrame]) -> Query:
+    """A report refreshed after three appends of a third of the orders each, the
+    first two compacted."""
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        r, states = retail(spark, root), ReportStates(spark, _zones(spark))
+        for part in range(3):
+            mine = F.col("order_id") % 3 == part
+            states.add(part + 1, r.orders.filter(mine), r.order_items.filter(mine))
+            if part == 1:
+                states.compact()
+        return report(states, r)
+    return run
+
+
 def _clean_zone_revenue(spark: SparkSession, root: str) -> DataFrame:
     """Category revenue over the published clean products."""
     zones, r = _zones(spark), retail(spark, root)
@@ -171,7 +186,9 @@ P = quality.PRODUCTS
 # Keys that write files while being built (zone folders under the session's
 # checkpoint folder); plan-only tools skip them.
 WRITING_KEYS = frozenset({"etl_end_to_end", "etl_published", "src_csv_translation",
-                          "x_incremental_load", "x_key_index", "q_category_revenue_clean_zone"})
+                          "x_incremental_load", "x_key_index",
+                          "q_monthly_revenue_trend_refreshed", "q_repeat_rate_refreshed",
+                          "q_churn_refreshed", "q_category_revenue_clean_zone"})
 
 QUERIES: dict[str, Query] = {
     # ---- the nine reference reports (faithful) ----
@@ -306,5 +323,10 @@ QUERIES: dict[str, Query] = {
         r.order_items, r.products, r.orders)),
     "x_incremental_load": _incremental,
     "x_key_index": _key_index,
+    "q_monthly_revenue_trend_refreshed": _refreshed(
+        lambda s, r: s.monthly_revenue_trend()),
+    "q_repeat_rate_refreshed": _refreshed(
+        lambda s, r: s.repeat_rate(r.customers, min_orders=REPEAT_ORDERS)),
+    "q_churn_refreshed": _refreshed(lambda s, r: s.churn(r.customers, cutoff=CHURN_CUTOFF)),
     "q_category_revenue_clean_zone": _clean_zone_revenue,
 }

@@ -173,8 +173,15 @@ def repeat_rate(orders: DataFrame, customers: DataFrame, *, min_orders: int = 1,
     reference does, and a group of orders without a person can count as a
     repeat buyer. Corrected: both count known persons with an order.
     """
+    return repeat_rate_of(orders_per_customer(orders), customers, min_orders=min_orders,
+                          faithful=faithful)
+
+
+def repeat_rate_of(per_customer: DataFrame, customers: DataFrame, *, min_orders: int = 1,
+                   faithful: bool = True) -> DataFrame:
+    """The repeat rate from (customer_id, n_orders)."""
     known = F.col(PERSON).isNotNull()
-    per_person = (orders_per_customer(orders)
+    per_person = (per_customer
                   .join(customers.select("customer_id", PERSON), "customer_id")
                   .groupBy(PERSON).agg(F.sum("n_orders").alias("n")))
     repeat = F.col("n") > min_orders
@@ -188,12 +195,16 @@ def repeat_rate(orders: DataFrame, customers: DataFrame, *, min_orders: int = 1,
                     .alias("repeat_customer_rate")))
 
 
-def _first_last(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """(person, first_purchase, last_purchase) as dates."""
+def purchase_days(orders: DataFrame) -> DataFrame:
+    """(customer_id, first_d, last_d): days of the first and last purchase."""
     day = F.col("order_purchase_timestamp").cast("date")
-    per_cust = (orders.groupBy("customer_id")
-                .agg(F.min(day).alias("first_d"), F.max(day).alias("last_d")))
-    return (per_cust.join(customers.select("customer_id", PERSON), "customer_id")
+    return (orders.groupBy("customer_id")
+            .agg(F.min(day).alias("first_d"), F.max(day).alias("last_d")))
+
+
+def _first_last(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """(person, first_purchase, last_purchase) as dates."""
+    return (per_customer.join(customers.select("customer_id", PERSON), "customer_id")
             .groupBy(PERSON)
             .agg(F.min("first_d").alias("first_d"), F.max("last_d").alias("last_d")))
 
@@ -207,8 +218,14 @@ def churn(orders: DataFrame, customers: DataFrame, *,
     As in the reference, orders without a person form one group that can be
     churned but is never eligible.
     """
+    return churn_of(purchase_days(orders), customers, cutoff=cutoff)
+
+
+def churn_of(per_customer: DataFrame, customers: DataFrame, *,
+             cutoff: str | dt.date = "2017-07-01") -> DataFrame:
+    """Churn from (customer_id, first_d, last_d)."""
     c = F.lit(str(cutoff)).cast("date")
-    return (_first_last(orders, customers)
+    return (_first_last(per_customer, customers)
             .agg(F.count_if(F.col("last_d") < c).alias("Churned_Customers"),
                  F.count_if((F.col("first_d") < c) & F.col(PERSON).isNotNull())
                  .alias("Eligible_Customers"))
@@ -226,7 +243,7 @@ def churn_over_time(orders: DataFrame, customers: DataFrame,
     calendar days) and only those are matched against the cutoffs: no
     persons × cutoffs product is built.
     """
-    fl = _first_last(orders, customers)
+    fl = _first_last(purchase_days(orders), customers)
     spark = orders.sparkSession
     cutoffs = sorted({str(c) for c in cutoffs})  # one given twice counts once
     cut = spark.createDataFrame([(c,) for c in cutoffs], "cutoff string") \

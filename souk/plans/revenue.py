@@ -26,20 +26,19 @@ def revenue_per_order(order_items: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("n_items")))
 
 
-def monthly_revenue_trend(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Revenue per calendar month with a running total that restarts each year.
-
-    Revenue is the item price of all orders (cancelled ones included), as in
-    the reference report. The windows run after the monthly aggregate, so they
-    see at most twelve rows per year whatever the data size.
-    """
+def monthly_revenue(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """(order_year, order_month, month_label, rev_cents): exact revenue of each
+    calendar month; sums of the months of disjoint orders are those of all."""
     ts = F.col("order_purchase_timestamp")
-    monthly = (orders.select("order_id", "order_purchase_timestamp")
-               .join(revenue_per_order(order_items), "order_id")
-               .groupBy(F.year(ts).alias("order_year"),
-                        F.month(ts).alias("order_month"),
-                        month_label(ts).alias("month_label"))
-               .agg(F.sum("rev_cents").alias("rev_cents")))
+    return (orders.select("order_id", "order_purchase_timestamp")
+            .join(revenue_per_order(order_items), "order_id")
+            .groupBy(F.year(ts).alias("order_year"), F.month(ts).alias("order_month"),
+                     month_label(ts).alias("month_label"))
+            .agg(F.sum("rev_cents").alias("rev_cents")))
+
+
+def revenue_trend(monthly: DataFrame) -> DataFrame:
+    """The report from the revenue of the months."""
     # At most twelve rows a year (orders without a date are a year of their
     # own), so a window by year sees a bounded group.
     so_far = Window.partitionBy("order_year").orderBy("order_month").rowsBetween(
@@ -52,6 +51,16 @@ def monthly_revenue_trend(orders: DataFrame, order_items: DataFrame) -> DataFram
         .orderBy("order_year", "order_month"))
 
 
+def monthly_revenue_trend(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """Revenue per calendar month with a running total that restarts each year.
+
+    Revenue is the item price of all orders (cancelled ones included), as in
+    the reference report. The windows run after the monthly aggregate, so they
+    see at most twelve rows per year whatever the data size.
+    """
+    return revenue_trend(monthly_revenue(orders, order_items))
+
+
 def category_revenue(order_items: DataFrame, products: DataFrame,
                      category_name: DataFrame, *, misc_label: str = "Misc",
                      keep_unmapped: bool = False) -> DataFrame:
