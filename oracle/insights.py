@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from souk.catalog import SET_SUPPORT
+from souk.catalog import QUIET_MONTHS, SET_SUPPORT
 
 from . import ratio_sql, with_proxies
 from .etl import PRODUCT_COLS, STAGED, VALIDATED_MESSAGE, _cols
@@ -159,6 +159,33 @@ FROM (SELECT os.seller_id, min(CAST(o.order_purchase_timestamp AS DATE)) AS f,
              max(CAST(o.order_purchase_timestamp AS DATE)) AS l
       FROM os JOIN r_orders o ON os.order_id = o.order_id GROUP BY os.seller_id) per""", OS)
 
+
+
+def retention_curve(who: str, source: str, quiet: int, *extra: tuple[str, str]) -> str:
+    """The product-limit estimate: who was at risk in each month, by counting."""
+    return with_proxies(f"""
+SELECT CAST(t AS INTEGER) AS months_since_first, CAST(n AS BIGINT) AS at_risk,
+       CAST(d AS BIGINT) AS dropped, CAST(c AS BIGINT) AS censored,
+       {rnd('(SELECT product(1.0 - e.d / e.n) FROM sets e WHERE e.t <= sets.t)', 6)}
+         AS retained_share
+FROM sets""", *extra, ("active", f"""
+  SELECT {who} AS who, year(o.order_purchase_timestamp) * 12
+         + month(o.order_purchase_timestamp) - 1 AS m
+  FROM {source} WHERE {who} IS NOT NULL AND o.order_purchase_timestamp IS NOT NULL"""),
+        ("spans", f"""
+  SELECT who, max(m) - min(m) AS t, (SELECT max(m) FROM active) - max(m) >= {quiet} AS gone
+  FROM active GROUP BY who"""),
+        ("sets", """
+  SELECT x.t, any_value(x.d) AS d, any_value(x.c) AS c, count(*) AS n
+  FROM (SELECT t, count(*) FILTER (gone) AS d, count(*) FILTER (NOT gone) AS c
+        FROM spans GROUP BY t) x JOIN spans s ON s.t >= x.t GROUP BY x.t"""))
+
+
+Q["x_seller_retention_curve"] = retention_curve(
+    "os.seller_id", "os JOIN r_orders o ON os.order_id = o.order_id", QUIET_MONTHS, OS)
+Q["x_customer_retention_curve"] = retention_curve(
+    "c.customer_unique_id", "r_orders o JOIN r_customers c ON o.customer_id = c.customer_id", 6)
+
 Q["x_region_performance"] = with_proxies(f"""
 SELECT per.seller_region, {money('sum(per.cents)')} AS revenue, count(*) AS orders,
        {avg_('sum(d.days)', 'count(d.days)', 2)} AS avg_delivery_days

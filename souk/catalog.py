@@ -32,6 +32,7 @@ CHURN_CUTOFFS = ("1997-01-01", "1999-01-01", "2001-01-01")
 # once per geolocation row of its zip prefix there): the repeat test separates
 REPEAT_ORDERS = 20
 REPEAT_ORDERS_CITY = 40
+QUIET_MONTHS = 1                 # sellers of the test data sell nearly every month
 SET_SUPPORT = 0.05               # of the orders: sets of two to four categories reach it
 LOAD_TS = dt.datetime(2024, 1, 1)  # fixed load time so results are repeatable
 
@@ -301,6 +302,10 @@ QUERIES: dict[str, Query] = {
     "x_price_vs_score": _on(lambda r: X.price_vs_score(r.order_items, r.order_reviews)),
     "x_top_sellers": _on(lambda r: OP.top_sellers(r.order_items)),
     "x_seller_retention": _on(lambda r: OP.seller_retention(r.orders, r.order_items)),
+    "x_seller_retention_curve": _on(lambda r: OP.seller_retention_curve(
+        r.orders, r.order_items, quiet=QUIET_MONTHS)),
+    "x_customer_retention_curve": _on(lambda r: OP.customer_retention_curve(
+        r.orders, r.customers)),
     "x_seller_ship_time": _on(lambda r: OP.seller_ship_time(r.orders, r.order_items)),
     "x_region_performance": _on(lambda r: OP.region_performance(
         r.orders, r.order_items, r.sellers)),

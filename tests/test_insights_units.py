@@ -79,3 +79,43 @@ def test_forecast_continues_a_straight_line(spark):
     got = [(r.month_index, r.month_label, r.forecast_revenue)
            for r in SG.revenue_forecast(orders, items).orderBy("month_index").collect()]
     assert got == [(6, "2020-07", 160.0), (7, "2020-08", 170.0), (8, "2020-09", 180.0)]
+
+
+def _curve(spark, spans, quiet):
+    """(who, first month, last month) of 2000, to the rows of the curve."""
+    rows = [(w, T(2000 + m // 12, 1 + m % 12, 15)) for w, a, b in spans for m in (a, b)]
+    df = spark.createDataFrame(rows + [(None, T(2009, 1, 1)), ("x", None)],
+                               "who string, d timestamp_ntz").repartition(4)
+    return {r.months_since_first: (r.at_risk, r.dropped, r.censored, r.retained_share)
+            for r in OP.retention_curve(df, "who", quiet).collect()}
+
+
+def test_retention_curve_by_hand(spark):
+    """Data end in month 11; whoever was last seen in month 6 or later is censored."""
+    spans = [("a", 0, 0), ("b", 0, 3), ("c", 2, 5), ("d", 0, 11), ("e", 8, 11), ("f", 10, 10)]
+    assert _curve(spark, spans, 6) == {
+        0: (6, 1, 1, round(5 / 6, 6)),             # a dropped; f began too late to tell
+        3: (4, 2, 1, round(5 / 6 * 2 / 4, 6)),     # b and c dropped, e censored
+        11: (1, 0, 1, round(5 / 6 * 2 / 4, 6))}
+
+
+def test_retention_curve_by_risk_sets(spark):
+    import random
+    rnd = random.Random(9)
+    spans = []
+    for i in range(300):
+        first = rnd.randrange(60)
+        spans.append((f"w{i}", first, min(first + int(rnd.expovariate(1 / 15)), 60)))
+    end = max(b for _, _, b in spans)
+    share, want = 1.0, {}
+    for t in sorted({b - a for _, a, b in spans}):
+        here = [end - b >= 4 for _, a, b in spans if b - a == t]
+        risk = sum(b - a >= t for _, a, b in spans)
+        share *= 1 - sum(here) / risk
+        want[t] = (risk, sum(here), len(here) - sum(here), round(share, 6))
+    assert _curve(spark, spans, 4) == want
+
+
+def test_retention_curve_of_nobody_and_of_one(spark):
+    assert _curve(spark, [], 6) == {}
+    assert _curve(spark, [("a", 3, 3)], 6) == {0: (1, 0, 1, 1.0)}
