@@ -42,10 +42,19 @@ RAW_SCHEMAS = {
 }
 
 
-# Quoted text may hold line breaks and doubled quotes; the header must name the
-# columns of the schema, in its order.
-CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "multiLine": "true", "quote": '"',
-               "escape": '"', "enforceSchema": "false"}
+# Doubled quotes stand for quotes; the header must name the columns of the
+# schema, in its order.
+_CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
+                "enforceSchema": "false"}
+
+# Tables whose texts may hold line breaks. Such a file is read whole, by one task;
+# files of the other tables are cut into splits.
+LINE_BREAKS = frozenset({"order_reviews"})
+
+
+def csv_options(line_breaks: bool = False) -> dict[str, str]:
+    return {**_CSV_OPTIONS, "multiLine": str(line_breaks).lower()}
+
 
 # Column that holds the raw text of a row that does not parse, where such rows
 # are kept for the error zone instead of failing the job.
@@ -53,22 +62,23 @@ CORRUPT = "_malformed_row"
 QUARANTINE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def read_csv(spark: SparkSession, path: str, schema: str,
-             quarantine: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, quarantine: bool = False,
+             line_breaks: bool = False) -> DataFrame:
     """Header CSV (UTF-8, a leading byte-order mark is tolerated).
 
     A row that does not parse fails the job, or, with ``quarantine``, comes
     with its raw text in the column ``CORRUPT``; the load pipeline sends such
-    rows to the error zone. Files are read whole (text may span lines), so one
-    file is one task: split very large exports into several files.
+    rows to the error zone. With ``line_breaks`` quoted text may span lines, and
+    one file is one task; without, a text that does is a row that does not parse.
     """
+    options = csv_options(line_breaks)
     if quarantine:
         return spark.read.schema(f"{schema}, {CORRUPT} string") \
-            .options(**CSV_OPTIONS, **QUARANTINE).csv(path)
-    return spark.read.schema(schema).options(**CSV_OPTIONS, mode="FAILFAST").csv(path)
+            .options(**options, **QUARANTINE).csv(path)
+    return spark.read.schema(schema).options(**options, mode="FAILFAST").csv(path)
 
 
 def read_raw(spark: SparkSession, path: str, table: str,
              quarantine: bool = False) -> DataFrame:
     """One of the raw retail files by its table name (see ``RAW_SCHEMAS``)."""
-    return read_csv(spark, path, RAW_SCHEMAS[table], quarantine)
+    return read_csv(spark, path, RAW_SCHEMAS[table], quarantine, table in LINE_BREAKS)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import bounded_broadcast
-from .files import RAW_SCHEMAS, read_csv
+from .files import LINE_BREAKS, RAW_SCHEMAS, read_csv
 
 # File names of the public data set, by table.
 FILES = {
@@ -53,7 +53,8 @@ class RetailFiles:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             path = f"{self.folder.rstrip('/')}/{FILES[name]}"
-            self._tables[name] = read_csv(self.spark, path, RAW_SCHEMAS[name])
+            self._tables[name] = read_csv(self.spark, path, RAW_SCHEMAS[name],
+                                          line_breaks=name in LINE_BREAKS)
         return self._tables[name]
 
     @cached_property

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import pipeline
 from ..plans.quality import PRODUCTS, TableSpec
-from ..sources.files import CORRUPT, CSV_OPTIONS, QUARANTINE, RAW_SCHEMAS
+from ..sources.files import CORRUPT, LINE_BREAKS, QUARANTINE, RAW_SCHEMAS, csv_options
 
 
 def _epoch_tag(spec: TableSpec, epoch_id: int, stream_id: str) -> str:
@@ -76,7 +76,8 @@ def start_incremental_load(spark: SparkSession, source_dir: str, root: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        stream = reader.options(**CSV_OPTIONS, **QUARANTINE).csv(source_dir)
+        stream = reader.options(**csv_options(raw_table in LINE_BREAKS), **QUARANTINE) \
+            .csv(source_dir)
     else:
         stream = reader.format(fmt).load(source_dir)
 

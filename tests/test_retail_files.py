@@ -142,3 +142,29 @@ def test_no_break_space_is_stripped(spark):
     from souk.functions import strip_ws
     df = spark.createDataFrame([("\u00a0 x\u2003y \u3000\n",)], "s string")
     assert df.select(strip_ws(F.col("s"))).first()[0] == "x\u2003y"
+
+
+def test_large_files_are_read_in_splits(spark, tmp_path):
+    """Only reviews, whose texts may span lines, are one task a file."""
+    from souk.sources.files import read_raw
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        path = tmp_path / "sellers.csv"
+        path.write_text("﻿seller_id,seller_zip_code_prefix,seller_city,seller_state\n" + "".join(
+            f's{i},0{i},"a, ""quoted"" city",SP\n' for i in range(20_000)), encoding="utf-8")
+        sellers = read_raw(spark, str(path), "sellers")
+        assert sellers.rdd.getNumPartitions() > 4
+        assert sellers.count() == sellers.distinct().count() == 20_000
+        assert sellers.first().seller_city == 'a, "quoted" city'
+        path = tmp_path / "reviews.csv"
+        path.write_text(
+            "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+            "review_creation_date,review_answer_timestamp\n" + "".join(
+                f'r{i},o{i},5,,"two\nlines",2018-01-01 00:00:00,2018-01-02 00:00:00\n'
+                for i in range(3_000)))
+        reviews = read_raw(spark, str(path), "order_reviews")
+        assert reviews.rdd.getNumPartitions() == 1
+        assert reviews.filter("review_comment_message = 'two\\nlines'").count() == 3_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
