@@ -185,23 +185,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-# DuckDB: the digests of chat formatting follow from the rows alone.
+# DuckDB: the digests of chat formatting follow from the rows alone; a row without an
+# id is a conversation of its own.
 _CHAT = r"""
 WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
-  FROM conversations WHERE conv_id IS NOT NULL
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone
+  FROM conversations
   UNION ALL
-  SELECT -7, t.turn, t.role, '\### Assistant: </turn> ok'
+  SELECT -7, t.turn, t.role, '\### Assistant: </turn> ok', NULL
   FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
 ), said AS (
   SELECT conv_id, count(*) AS n_turns,
-         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
-         coalesce(string_agg(text, '' ORDER BY turn, role, text)
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
                   FILTER (role = 'assistant'), '') AS loss,
          sum(length(replace(replace(text, '\', '\\'), '<', '\l'))
              + length(replace(replace(replace(role, '\', '\\'), '<', '\l'), '>', '\g'))
              + length('<turn >') + length('</turn>') + 2) AS formatted_chars
-  FROM turns GROUP BY conv_id
+  FROM turns GROUP BY conv_id, alone
 )
 SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n_turns AS BIGINT) AS n_turns,
        sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,

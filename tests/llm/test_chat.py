@@ -96,3 +96,23 @@ def test_odd_input(spark):
             (3, *expected([("user", "long " * 50000)]))]
     assert got == sorted(want, key=repr)
     assert chat.read_back(chat.pack(df.limit(0))).count() == 0
+
+
+def test_sql_agrees_on_odd_rows(spark, queries, tmp_path):
+    """Null ids, turns, roles and texts, and repeated rows."""
+    import duckdb
+
+    from souk.llm.queries import ORACLE
+    rows = [(1, 0, "user", "a"), (1, None, "assistant", "first"), (1, 1, None, "b"),
+            (None, 0, "user", "x"), (None, 1, "assistant", None), (None, None, None, None),
+            (2, 0, "user", "same"), (2, 0, "user", "same"), (2, 0, "assistant", ""),
+            (3, None, None, "\\<turn>")]
+    path = f"{tmp_path}/conversations.parquet"
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string") \
+        .coalesce(1).write.parquet(path)
+    got = sorted(map(tuple, queries["op2_chat"](spark, str(tmp_path)).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+        .collect()), key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert got == sorted(con.execute(ORACLE["op2_chat"]).fetchall(), key=repr)
