@@ -15,10 +15,10 @@ count:
    the other would find it again).
 3. Pieces of one length are interchangeable. Their numbers, counted through all
    partitions, run through the bins that ask for their length; each piece looks
-   its bin and its offset up in the broadcast list of combinations. Every bin's
-   last piece but one leaves some length too rare to repeat the combination, and
-   a length has at most ``capacity`` / length multiplicities, so the list has
-   some ten thousand entries at most, whatever the input.
+   its bin and its offset up in the broadcast list of combinations. A combination
+   is dropped when some length has become too rare for it, and a length occurs at
+   most ``capacity`` / length times in a bin, so the list has some ten thousand
+   entries at most, whatever the input.
 
 Texts are taken apart where the vocabulary's pattern does so, and each distinct
 part is encoded by the ``tokenizers`` library's model, so the ids are those the
