@@ -15,7 +15,8 @@ judged on the input). The work is dealt out by content:
    anchor's bucket. An anchor met very often (HOT) sends its windows one by
    one, dealt by their content, so that no bucket depends on one passage.
 4. A bucket merges equal segments. Where an anchor has several, it builds an
-   enhanced suffix array of their windows and scans the common-prefix
+   enhanced suffix array of their windows that two documents have (equal windows
+   are found by hash and verified by their bytes) and scans the common-prefix
    intervals with a stack: each interval that is left-diverse (not all
    occurrences follow the same byte) is a maximal repeat group with all its
    occurrences; one that is not is part of a longer group to its left. Within a
@@ -170,17 +171,32 @@ class Block:
 
 
 # ------------------------------------------------------- enhanced suffix array ----
-def suffix_array(buf: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.ndarray:
+def equal_windows(buf: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of the ``length`` bytes at each of ``starts``."""
+    words = np.ndarray((len(buf) - 7,), "<u8", buffer=buf.data, strides=(1,))
+    h = np.zeros(len(starts), np.uint64)
+    for at in [*range(0, length - 7, 8), max(length - 8, 0)]:
+        h ^= words[starts + at]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h * np.uint64(0xD6E8FEB86659FD93)
+
+
+def suffix_array(buf: np.ndarray, starts: np.ndarray, left: np.ndarray,
+                 group: np.ndarray | None = None, depth: int = 0) -> np.ndarray:
     """Order of the suffixes at ``starts``, each ``left`` bytes long (numbers of
     ``starts``). Eight bytes are compared a round, and only suffixes that still
     tie with another go into the next. Stretches are parted by eight bytes
     0xFF, which UTF-8 never has, so a suffix that ends within a word ties with
     its equals only. One that ends with the word ties with longer ones too: it
-    goes before them, so that they stay together.
+    goes before them, so that they stay together. With ``group`` (ascending) the
+    suffixes are known to fall into these groups, equal in ``depth`` bytes.
     """
     words = np.ndarray((len(buf) - 8,), ">u8", buffer=buf.data, strides=(1,))
     order = np.arange(len(starts))
-    slots, group, depth = order.copy(), np.zeros(len(starts), np.int64), 0
+    slots = order.copy()
+    if group is None:
+        group = np.zeros(len(starts), np.int64)
     while len(slots):
         of = order[slots]
         word = words[starts[of] + depth].astype(np.uint64)
@@ -199,15 +215,20 @@ def suffix_array(buf: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.nd
     return order
 
 
-def common_prefixes(buf: np.ndarray, order: np.ndarray, left: np.ndarray) -> np.ndarray:
+def common_prefixes(buf: np.ndarray, order: np.ndarray, left: np.ndarray,
+                    group: np.ndarray | None = None) -> np.ndarray:
     """Bytes that each suffix shares with the one before it in ``order``;
-    ``left`` holds the bytes up to the end of each suffix's stretch."""
+    ``left`` holds the bytes up to the end of each suffix's stretch. With
+    ``group``, 0 for the first of each group."""
     out = np.zeros(len(order), np.int64)
     if len(order) < 2:
         return out
     most = np.minimum(left[1:], left[:-1])
-    at, a, b = np.arange(len(order) - 1), order[:-1].copy(), order[1:].copy()
-    got = np.zeros(len(at), np.int64)
+    at = np.arange(len(order) - 1)
+    if group is not None:
+        at = at[group[1:] == group[:-1]]
+    a, b = order[at], order[at + 1]
+    got = np.zeros(len(order) - 1, np.int64)
     words = np.ndarray((len(buf) - 8,), ">u8", buffer=buf.data, strides=(1,))
     while len(at):
         diff = words[a].astype(np.uint64) ^ words[b].astype(np.uint64)
@@ -255,6 +276,24 @@ def repeat_groups(lcp: np.ndarray, left: np.ndarray, least: int):
                 stack.append([h, start, seen])
 
 
+def shared_windows(buf: np.ndarray, starts: np.ndarray, owners: np.ndarray,
+                   length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that two owners have, by class of equal windows: (numbers of
+    ``starts``, class of each). A repeat of ``length`` bytes or more lies within
+    one class, so all others stay out of the suffix array."""
+    by = np.argsort(h := equal_windows(buf, starts, length), kind="stable")
+    new = np.ones(len(by), bool)
+    new[1:] = h[by[1:]] != h[by[:-1]]
+    at = np.nonzero(new)[0]
+    if not len(at):
+        return by, by
+    own = owners[by]
+    several = np.minimum.reduceat(own, at) != np.maximum.reduceat(own, at)
+    number = np.cumsum(new) - 1
+    keep = several[number]
+    return by[keep], number[keep]
+
+
 def covered(segments: list[bytes], owners: np.ndarray, length: int) -> list[list]:
     """For each segment, the stretches of it that some segment with a smaller
     owner has too: repeats of ``length`` bytes or more."""
@@ -267,30 +306,54 @@ def covered(segments: list[bytes], owners: np.ndarray, length: int) -> list[list
     starts = np.repeat(begin, windows) + np.arange(len(seg)) \
         - np.repeat(np.cumsum(windows) - windows, windows)
     left = begin[seg] + sizes[seg] - starts
-    rank = suffix_array(buf, starts, left)
-    order, of = starts[rank], seg[rank]
-    lcp = common_prefixes(buf, order, left[rank])
-    own = owners[of]
-    reach = np.zeros(len(order), np.int64)
-    for size, a, b in repeat_groups(lcp, buf[order - 1], length):
-        mine = own[a:b + 1]
-        low = mine.min()
-        if (mine > low).any():
-            part = reach[a:b + 1]
-            np.maximum(part, np.where(mine > low, size, 0), out=part)
     out: list[list] = [[] for _ in segments]
+    some, group = shared_windows(buf, starts, owners[seg], length)
+    if not len(some):
+        return out
+    rank = some[suffix_array(buf, starts[some], left[some], group, (length - 1) // 8 * 8)]
+    lcp = common_prefixes(buf, starts[rank], left[rank], group)
+    if (lcp[1:][group[1:] == group[:-1]] < length).any():  # two windows, one hash
+        rank = suffix_array(buf, starts, left)
+        lcp = common_prefixes(buf, starts[rank], left[rank])
+    order, of = starts[rank], seg[rank]
+    reach = reaches(lcp, buf[order - 1], owners[of], length)
     hit = np.nonzero(reach)[0]
+    if not len(hit):
+        return out
     hit = hit[np.argsort(order[hit], kind="stable")]
-    for k in hit.tolist():
-        s, at = int(of[k]), int(order[k] - begin[of[k]])
-        end = at + int(reach[k])
-        if out[s] and at <= out[s][-1][1]:
-            out[s][-1][1] = max(end, out[s][-1][1])
-        else:
-            out[s].append([at, end])
+    # segments lie apart in the buffer, so stretches of two never meet
+    at, end = order[hit], np.maximum.accumulate(order[hit] + reach[hit])
+    first = np.nonzero(np.append(True, at[1:] > end[:-1]))[0]
+    last = np.append(first[1:], len(at)) - 1
+    of = of[hit[first]]
+    for s, a, b in zip(of.tolist(), (at[first] - begin[of]).tolist(),
+                       (end[last] - begin[of]).tolist(), strict=True):
+        out[s].append([a, b])
     return out
 
 
+def reaches(lcp: np.ndarray, left: np.ndarray, own: np.ndarray, length: int) -> np.ndarray:
+    """Bytes of each suffix that a smaller owner has too, by maximal repeats. A
+    stretch of entries with one common prefix throughout is a tree of a single
+    interval: those are judged together, the others by the stack scan."""
+    at = np.nonzero(lcp < length)[0]
+    number = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(lcp))))
+    longest = np.maximum.reduceat(np.where(lcp < length, 0, lcp), at)
+    shortest = np.minimum.reduceat(np.where(lcp < length, NO_ID, lcp), at)
+    most, least = np.maximum.reduceat(left, at), np.minimum.reduceat(left, at)
+    flat = longest == shortest
+    use = flat & ((most == 255) | (most != least))
+    low = np.minimum.reduceat(own, at)
+    reach = np.where(use[number] & (own > low[number]), longest[number], 0)
+    for size, a, b in repeat_groups(np.where(flat[number], 0, lcp), left, length):
+        mine = own[a:b + 1]
+        lowest = mine.min()
+        if (mine > lowest).any():
+            part = reach[a:b + 1]
+            np.maximum(part, np.where(mine > lowest, size, 0), out=part)
+    return reach
+
+
 # ------------------------------------------------------------------ the passes ----
 def _pack(batches, block_bytes: int):
     """Blocks of (block, ids, lens, data) from the documents of a partition."""

@@ -107,6 +107,25 @@ def test_covered_against_brute_force():
         checked_covered(words, rng.sample(range(20), len(words)), 8)
 
 
+@pytest.mark.parametrize("hash_bits", [64, 1])
+def test_covered_at_full_length_also_when_hashes_collide(monkeypatch, hash_bits):
+    """Equal windows are verified, so colliding hashes change nothing."""
+    right = suffixdedup.equal_windows
+    if hash_bits == 1:
+        monkeypatch.setattr(suffixdedup, "equal_windows",
+                            lambda *a: right(*a) & np.uint64(1))
+    rng = random.Random(6)
+    for length in (16, 17, 24, 50):
+        for _ in range(60):
+            base = ["".join(rng.choice("ab") for _ in range(rng.randint(length, 3 * length)))
+                    for _ in range(3)]
+            words = {("".join(rng.choice("ab") for _ in range(rng.randint(0, 6)))
+                      + (w := rng.choice(base))[rng.randint(0, 5):len(w) - rng.randint(0, 8)]
+                      + "x" * length).encode() for _ in range(12)}
+            words = sorted(words)
+            checked_covered(words, [rng.randint(0, 5) for _ in words], length)
+
+
 def test_odd_input(odd):
     src = [(r.doc_id, r.text) for r in odd.collect()]
     got = sorted(map(shape, suffixdedup.dedup(odd).collect()), key=repr)
