@@ -7,10 +7,16 @@ each prefix of a piece has one encoding, and the encoding of a longer prefix
 ends in a token whose start is a prefix already known. The transducer reads
 bytes and keeps the prefixes from which a vocabulary entry may still be
 growing (at most the longest entry's length back: the bounded lookahead).
-Tokens that all of them share are settled and emitted at once. A state is the
-set of (trie node, unsettled tokens) of the live prefixes; states and arcs are
-made when first met and kept in a bounded table; beyond the first DEEP bytes of
-a piece, where hardly two pieces share a state, they are not kept.
+States and arcs are made when first met, at every depth of a piece, and kept in
+tables of bounded size that start afresh when full.
+
+Pieces of up to SHORT bytes, less than the lookahead, settle at their end. New
+ones of a group of texts run through the states together, byte by byte
+(``Together``): a state is the set of (trie node, token before it) of the live
+prefixes, and each is labelled with the token that closes there, so that the
+labels read backwards give the tokens. Longer pieces run alone
+(``Transducer``): a state also holds the unsettled tokens, and those that all
+live prefixes share are emitted at once.
 
 Decoding. Token bytes run through an incremental UTF-8 state machine whose
 state is the unfinished sequence (three bytes at most), some tokens at a time.
@@ -33,18 +39,24 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import map_columns, text_of
 
-ARC_LIMIT = 60_000     # arcs kept per worker before the tables start afresh
-PAIR_LIMIT = 200_000   # neighbour checks remembered per worker
+ARC_LIMIT = 20_000     # arcs of long pieces kept before the tables start afresh
+TABLE_BYTES = 40 << 20  # states and arcs of short pieces, estimated, likewise
+PAIR_LIMIT = 100_000   # neighbour checks remembered per worker
+SLOTS = 1 << 20        # slots of the tables of neighbour checks, newest kept
+SHORT = 64             # bytes of a piece that runs together with others
+TOGETHER = 1 << 13     # pieces that run together
+STRETCHES = 50_000     # stretches between blanks that are split at a time
+GROUP = 4 << 20        # bytes of texts whose new pieces are gathered
 NEVER = 1 << 60
-DEEP = 6              # bytes of a piece whose states are kept; few share longer ones
-FEW = 2              # entries below a trie node that are tried one by one
-PIECE_LIMIT = 100_000  # finished pieces in each of two generations per worker
+FEW = 1              # entries below a trie node that are tried one by one
+PIECE_LIMIT = 150_000  # finished pieces in each of two generations per worker
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -256,23 +268,179 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:  # an entry of the vocabulary stands for itself
             return (whole,)
-        if self.n_arcs > ARC_LIMIT:
-            self.reset()
         state, out = self.start, []
-        for byte in piece[:DEEP]:
-            made = state[1].get(byte) or self.arc(state, byte)
+        for byte in piece:
+            made = state[1].get(byte)
+            if made is None:
+                if self.n_arcs >= ARC_LIMIT:
+                    self.reset()  # the state at hand stays usable
+                made = self.arc(state, byte)
             state = made[0]
             if made[1]:
                 out.extend(made[1])
-        live, step = state[0], self.step
-        for byte in piece[DEEP:]:
-            live, done = step(live, byte)
-            if done:
-                out.extend(done)
-        out.extend(live[-1][1])
+        out.extend(state[0][-1][1])
         return tuple(out)
 
 
+class Slots:
+    """Answers to pairs of numbers, one slot a hash: a newer pair takes the slot."""
+
+    def __init__(self, ask):
+        self.ask = ask
+        self.keys, self.said = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
+
+    def get(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 20 | b
+        slot = (key * 0x9E3779B97F4A7C1 >> 30) % SLOTS
+        out = self.said[slot]
+        miss = np.nonzero(self.keys[slot] != key)[0]
+        if len(miss):
+            new, where = np.unique(key[miss], return_inverse=True)
+            got = np.array([self.ask(k >> 20, k & 0xFFFFF) for k in new.tolist()], bool)
+            out[miss] = got[where]
+            # where two pairs want a slot, key and answer are of the same one
+            slot, last = np.unique(slot[miss][::-1], return_index=True)
+            self.keys[slot], self.said[slot] = key[miss][::-1][last], out[miss][::-1][last]
+        return out
+
+
+class Together:
+    """Runs many short pieces through shared states; see the module text."""
+
+    def __init__(self, machine: Transducer):
+        self.machine = machine
+        edges = [(node << 8 | byte, child) for node, below in enumerate(machine.next)
+                 for byte, child in below.items()]
+        edges.sort()
+        self.edge = np.array([e[0] for e in edges], np.int64)
+        self.child = np.array([e[1] for e in edges], np.int64)
+        self.entry = np.array(machine.entry, np.int64)
+        self.inner = np.array([bool(below) for below in machine.next])
+        self.size = np.zeros(max(machine.bytes_of, default=0) + 1, np.int64)
+        for token, word in machine.bytes_of.items():
+            self.size[token] = len(word)
+        self.fits, self.opens = Slots(machine.fit), Slots(machine.may_close)
+        self.reset()
+
+    def reset(self) -> None:
+        # live prefixes of all states in a row: (node << 32 | token before it + 1)
+        self.cells, self.used = np.zeros(1 << 12, np.int64), 1
+        self.at, self.count = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+        self.label = np.zeros(1 << 10, np.int64)
+        self.count[0] = 1  # state 0: the empty prefix, nothing before it
+        self.number: dict[bytes, int] = {self.cells[:1].tobytes(): 0}
+        self.arcs: dict[int, int] = {}
+
+    def full(self) -> bool:
+        return 130 * len(self.arcs) + 250 * len(self.number) + 16 * self.used > TABLE_BYTES
+
+    def step(self, keys: np.ndarray) -> np.ndarray:
+        """Make the arcs (state << 8 | byte): the states they lead to."""
+        state, byte = keys >> 8, keys & 255
+        n = self.count[state]
+        row = np.repeat(np.arange(len(keys)), n)
+        cell = self.cells[np.arange(len(row)) + np.repeat(self.at[state] - np.cumsum(n) + n, n)]
+        edge = (cell >> 32) << 8 | byte[row]
+        where = np.searchsorted(self.edge, edge)
+        where[where == len(self.edge)] = 0
+        go = self.edge[where] == edge
+        row, child, before = row[go], self.child[where[go]], (cell[go] & 0xFFFFFFFF) - 1
+        token = self.entry[child]
+        closed = np.full(len(keys), -1, np.int64)
+        ends = np.nonzero(token >= 0)[0]
+        while len(ends):  # one token closes here: the longest are asked first
+            ask = ends[np.append(True, row[ends[1:]] != row[ends[:-1]])]
+            fit = before[ask] < 0
+            rest = ask[~fit]
+            fit[~fit] = self.fits.get(before[rest], token[rest])
+            closed[row[ask[fit]]] = token[ask[fit]]
+            ends = ends[(closed[row[ends]] < 0) & ~np.isin(ends, ask, assume_unique=True)]
+        if (closed < 0).any():
+            raise ValueError(f"no token for byte {byte[closed < 0][0]}")
+        grow = np.nonzero(self.inner[child])[0]
+        ok = before[grow] < 0
+        rest = grow[~ok]
+        ok[~ok] = self.opens.get(child[rest], before[rest])
+        grow = grow[ok]
+        # the grown prefixes in their order, then the one that ends here
+        n = np.bincount(row[grow], minlength=len(keys)) + 1
+        end = np.cumsum(n)
+        cells = np.empty(end[-1], np.int64)
+        cells[end - 1] = closed + 1
+        cells[np.arange(len(grow)) + row[grow]] = child[grow] << 32 | before[grow] + 1
+        return self.states(cells, end - n, n, closed)
+
+    def states(self, cells: np.ndarray, first: np.ndarray, n: np.ndarray,
+               closed: np.ndarray) -> np.ndarray:
+        raw, number = cells.tobytes(), self.number
+        out, new, made = [], [], len(number)
+        for k, (a, c) in enumerate(zip((8 * first).tolist(), (8 * n).tolist(), strict=True)):
+            live = raw[a:a + c]
+            got = number.get(live)
+            if got is None:
+                got = number[live] = made + len(new)
+                new.append(k)
+            out.append(got)
+        if new:
+            at = np.array(new)
+            keep = np.zeros(len(n), bool)
+            keep[at] = True
+            add = cells[np.repeat(keep, n)]
+            self.cells = self._room(self.cells, self.used + len(add))
+            self.cells[self.used:self.used + len(add)] = add
+            end = made + len(new)
+            for name in ("at", "count", "label"):
+                setattr(self, name, self._room(getattr(self, name), end))
+            self.count[made:end] = n[at]
+            self.at[made:end] = self.used + np.cumsum(n[at]) - n[at]
+            self.label[made:end] = closed[at]
+            self.used += len(add)
+        return np.array(out, np.int64)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        return np.concatenate([array, np.zeros(max(size, len(array) * 3 // 2) - len(array),
+                                               np.int64)])
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece (of one byte or more), as little-endian 32-bit
+        numbers; pieces in ascending order share the most."""
+        if self.full():
+            self.reset()
+        size = np.array([len(p) for p in pieces], np.int64)
+        flat, start = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size
+        state = np.zeros(len(pieces), np.int64)
+        seen = np.zeros((int(size.max()), len(pieces)), np.int32)
+        get = self.arcs.get
+        for depth in range(len(seen)):
+            on = np.nonzero(size > depth)[0]
+            key = state[on] << 8 | flat[start[on] + depth]
+            new = np.append(True, key[1:] != key[:-1])
+            ask = key[new]
+            to = np.array([get(k, -1) for k in ask.tolist()], np.int64)
+            miss = np.nonzero(to < 0)[0]
+            if len(miss):
+                made, where = np.unique(ask[miss], return_inverse=True)
+                got = self.step(made)
+                self.arcs.update(zip(made.tolist(), got.tolist(), strict=True))
+                to[miss] = got[where]
+            state[on] = to[np.cumsum(new) - 1]
+            seen[depth, on] = self.label[state[on]]
+        found = np.full((len(pieces), len(seen)), -1, np.int32)
+        on, end = np.arange(len(pieces)), size.copy()
+        while len(on):
+            token = seen[end[on] - 1, on]
+            end[on] -= self.size[token]
+            found[on, end[on]] = token
+            on = on[end[on] > 0]
+        real = found >= 0
+        raw = found[real].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(real.sum(axis=1))).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Memory:
     """What was encoded lately, in two generations of bounded size."""
 
@@ -285,12 +453,24 @@ class Memory:
         if len(key) <= 64:
             self.new[key] = ids
 
+    def get(self, key: str) -> bytes | None:
+        ids = self.new.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is not None:
+                self.put(key, ids)
+        return ids
+
+    def __contains__(self, key: str) -> bool:
+        return key in self.new or key in self.old
+
 
 class Encoder:
     """Splits a text by the pattern and encodes each match on its own.
 
     With ``cut`` a text is first cut before each blank (U+0020) that follows
-    other than white space, and stretches met before are not split again. That
+    other than white space; each different stretch of a group of texts is looked
+    up once, and those met before are not split again. That
     holds for patterns that never match across such a place.
     """
 
@@ -298,46 +478,110 @@ class Encoder:
         import regex
         self.split = regex.compile(pattern).findall
         self.machine = Transducer(ranks)
+        self.together = Together(self.machine)
         self.pieces, self.stretches = Memory(PIECE_LIMIT), Memory(PIECE_LIMIT)
         self.cut = cut
 
     def plain(self, text: str) -> bytes:
+        return self.joined(self.split(text))
+
+    def joined(self, pieces: Sequence[str]) -> bytes:
         out: list[bytes] = []
-        for piece in self.split(text):
-            ids = self.pieces.new.get(piece)
+        for piece in pieces:
+            ids = self.pieces.get(piece)
             if ids is None:
-                ids = self.pieces.old.get(piece)
-                if ids is None:
-                    got = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
-                    ids = struct.pack(f"<{len(got)}i", *got)
+                got = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+                ids = struct.pack(f"<{len(got)}i", *got)
                 self.pieces.put(piece, ids)
             out.append(ids)
         return b"".join(out)
 
-    def ids(self, text: str) -> bytes:
-        """The token ids as little-endian 32-bit numbers."""
-        if not self.cut:
-            return self.plain(text)
-        parts = text.split(" ")
-        if not parts[0] or parts[0][-1].isspace():
-            return self.plain(text)
-        out, memory = [self.plain(parts[0])], self.stretches
-        get, add = memory.new.get, out.append
-        for part in parts[1:]:
-            ids = get(part)
-            if ids is None:
-                ids = memory.old.get(part)
+    def learned(self, parts: Sequence[str]) -> list[bytes]:
+        """The ids of different stretches, each with the blank before it."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), STRETCHES):
+            some = parts[at:at + STRETCHES]
+            known = [self.stretches.get(part) for part in some]
+            fresh = [part for part, ids in zip(some, known, strict=True) if ids is None]
+            split = [self.split(" " + part) for part in fresh]
+            alone = self.short([p[0] for p in split if len(p) == 1])
+            inner = {p for pieces in split if len(pieces) > 1 for p in pieces}
+            for piece, ids in self.short([p for p in inner if p not in self.pieces]).items():
+                self.pieces.put(piece, ids)
+            new = iter([(part, alone.get(pieces[0]) if len(pieces) == 1 else None, pieces)
+                        for part, pieces in zip(fresh, split, strict=True)])
+            for ids in known:
                 if ids is None:
-                    if not part or part[-1].isspace():  # a run of white space
-                        return self.plain(text)
-                    ids = self.plain(" " + part)
-                memory.put(part, ids)
-                get = memory.new.get
-            add(ids)
-        return b"".join(out)
+                    part, ids, pieces = next(new)
+                    if ids is None:
+                        ids = self.joined(pieces)
+                    self.stretches.put(part, ids)
+                out.append(ids)
+        return out
+
+    def short(self, pieces: Sequence[str]) -> dict[str, bytes]:
+        """The ids of those of ``pieces`` that are short and no entries."""
+        ranks, new = self.machine.ranks, []
+        for piece in pieces:
+            raw = piece.encode("utf-8", "surrogatepass")
+            if len(raw) <= SHORT and raw not in ranks:
+                new.append((raw, piece))
+        new.sort()
+        out: dict[str, bytes] = {}
+        for at in range(0, len(new), TOGETHER):
+            part = new[at:at + TOGETHER]
+            ids = self.together.encode([raw for raw, _ in part])
+            out.update(zip([piece for _, piece in part], ids, strict=True))
+        return out
+
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` (without nulls) in a row, and how many each has."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        parts, at = [], 0
+        while at < len(texts):
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + GROUP, side="right")))
+            group = texts.slice(at, to - at)
+            parts.append(self._cut(group) if self.cut else
+                         _rows([self.plain(t) for t in group.to_pylist()]))
+            at = to
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
+        which, keys = words.indices.to_numpy(), words.dictionary.to_pylist()
+        n = np.diff(split.offsets.to_numpy())
+        first = np.cumsum(n) - n
+        # a text with a run of white space before a blank is not cut
+        blank = np.array([not k or k[-1].isspace() for k in keys])
+        whole = np.logical_or.reduceat(blank[which], first)
+        use = np.repeat(~whole, n)
+        use[first] = False
+        need = np.unique(which[use])
+        entries = self.learned([keys[k] for k in need.tolist()])
+        lone = [self.plain(texts[k].as_py() if w else keys[which[f]])
+                for k, (w, f) in enumerate(zip(whole.tolist(), first.tolist(), strict=True))]
+        flat, size = _rows(entries + lone)
+        entry = np.zeros(len(keys), np.int64)
+        entry[need] = np.arange(len(need))
+        place = entry[which]
+        place[first] = len(need) + np.arange(len(n))
+        use[first] = True
+        place, text = place[use], np.repeat(np.arange(len(n)), n)[use]
+        long, start = size[place], (np.cumsum(size) - size)[place]
+        take = np.repeat(start - np.cumsum(long) + long, long) + np.arange(long.sum())
+        return flat[take], np.bincount(text, long, len(n)).astype(np.int64)
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.ids(text), "<i4").tolist()
+        return self.many(pa.array([text], pa.string()))[0].tolist()
+
+
+def _rows(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return (np.frombuffer(b"".join(ids), "<i4"),
+            np.array([len(i) // 4 for i in ids], np.int64))
 
 
 class StreamDecoder:
@@ -394,13 +638,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
                        lambda: Encoder(parse_ranks(data.value), pattern, cut))
 
         def fn(texts):
-            ends, parts = [0], []
-            for t in texts:
-                ids = np.frombuffer(enc.ids(t.as_py() or ""), "<i4")
-                parts.append(ids)
-                ends.append(ends[-1] + len(ids))
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
+            flat, sizes = enc.many(texts)
+            ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
         return fn
 
     kind = T.ArrayType(T.IntegerType(), False)

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -45,6 +46,40 @@ def test_long_piece_and_full_tables(ranks, tk, monkeypatch):
         assert enc.encode(s) == tk.encode_ordinary(s)
 
 
+def test_many_texts_together_with_small_tables(ranks, tk, monkeypatch):
+    """Groups of texts, states that start afresh, slots taken over by newer pairs."""
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 20_000)
+    monkeypatch.setattr(bpe, "TOGETHER", 7)
+    monkeypatch.setattr(bpe, "STRETCHES", 11)
+    monkeypatch.setattr(bpe, "GROUP", 900)
+    monkeypatch.setattr(bpe, "SLOTS", 64)
+    enc = bpe.Encoder(ranks, P.PATTERN, True)
+    enc.pieces.limit = enc.stretches.limit = 9
+    rng = random.Random(8)
+    texts = ["", " ", "x ", "a\n b", "long" * 30 + " " + "é" * 33 + " end"]
+    for _ in range(120):
+        texts.append(" ".join("".join(rng.choice("abcdeéß日1,.") for _ in range(rng.randint(1, 20)))
+                              for _ in range(rng.randint(1, 30))))
+    flat, sizes = enc.many(pa.array(texts))
+    ends = sizes.cumsum().tolist()
+    for text, n, end in zip(texts, sizes.tolist(), ends, strict=True):
+        assert flat[end - n:end].tolist() == tk.encode_ordinary(text), text
+    assert [len(x) for x in enc.many(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_short_and_long_pieces_agree(ranks):
+    """Pieces run together give the ids of the same pieces run alone."""
+    machine = bpe.Transducer(ranks)
+    rng = random.Random(2)
+    pieces = sorted({bytes(rng.choices(b"aeinrst\xc3\xa9\xff", k=rng.randint(1, 64)))
+                     for _ in range(400)})
+    for piece, ids in zip(pieces, bpe.Together(machine).encode(pieces), strict=True):
+        got = [int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)]
+        if piece not in ranks:
+            assert tuple(got) == machine.encode(piece)
+        assert b"".join(machine.bytes_of[i] for i in got) == piece
+
+
 def test_streaming_decode_keeps_unfinished_bytes(ranks):
     dec = bpe.StreamDecoder(ranks)
     by = [ranks[bytes([b])] for b in "é😀".encode()]
