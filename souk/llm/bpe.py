@@ -56,7 +56,7 @@ STRETCHES = 50_000     # stretches between blanks that are split at a time
 GROUP = 4 << 20        # bytes of texts whose new pieces are gathered
 NEVER = 1 << 60
 FEW = 1              # entries below a trie node that are tried one by one
-PIECE_LIMIT = 150_000  # finished pieces in each of two generations per worker
+PIECE_LIMIT = 250_000  # finished pieces in each of two generations per worker
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
