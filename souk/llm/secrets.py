@@ -41,6 +41,44 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
 RUN = "[A-Za-z0-9+/_=-]"
 SPAN = "array<struct<s:int,k:int,e:int>>"
+BLOCK = 256  # spans that are gathered, or cut from the text, at a time
+
+
+def _span(s: Column, k: Column, e: Column) -> Column:
+    return F.struct(s.alias("s"), k.alias("k"), e.alias("e"))
+
+
+def _none() -> Column:
+    return F.array().cast(SPAN)
+
+
+def swept(items: Column, state: Column, step) -> Column:
+    """One pass over an array: ``step(state, item)`` gives the next state and the
+    spans that the item adds. Struct of the last state and all spans (``out``).
+
+    Appending copies what it appends to, so spans are gathered BLOCK items at a
+    time and joined once at the end.
+    """
+    def add(acc: Column, x: Column) -> Column:
+        state, more = step(acc["state"], x)
+        return let(F.struct(state.alias("state"), more.alias("more")), lambda got: F.struct(
+            got["state"].alias("state"), F.concat(acc["out"], got["more"]).alias("out")))
+
+    def block(acc: Column, some: Column) -> Column:
+        begin = F.struct(acc["state"].alias("state"), _none().alias("out"))
+        return let(F.aggregate(some, begin, add), lambda got: F.struct(
+            got["state"].alias("state"),
+            F.concat(acc["out"], F.array(got["out"])).alias("out")))
+
+    def all_of(xs: Column) -> Column:
+        last = F.greatest(F.floor((F.size(xs) - 1) / BLOCK).cast("int"), F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last),
+                             lambda b: F.slice(xs, b * BLOCK + 1, F.lit(BLOCK)))
+        begin = F.struct(state.alias("state"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        return let(F.aggregate(blocks, begin, block), lambda got: F.struct(
+            got["state"].alias("state"), F.flatten(got["out"]).alias("out")))
+
+    return let(items, all_of)
 
 
 def _located(text: Column, pattern: str, kind: int, keep: Column | None = None) -> Column:
@@ -50,18 +88,13 @@ def _located(text: Column, pattern: str, kind: int, keep: Column | None = None)
     between = F.transform(F.split(text, pattern, -1), F.length)
     steps = F.filter(F.arrays_zip(between.alias("gap"), F.transform(found, F.length).alias("len"),
                                   ok.alias("ok")), lambda z: z["len"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(acc: Column, z: Column) -> Column:
-        s = acc["at"] + z["gap"]
+    def step(at: Column, z: Column) -> tuple[Column, Column]:
+        s = at + z["gap"]
         e = s + z["len"]
-        one = F.array(F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e")))
-        return F.struct(e.alias("at"),
-                        F.when(z["ok"], F.concat(acc["out"], one)).otherwise(acc["out"])
-                        .alias("out"))
+        return e, F.when(z["ok"], F.array(_span(s, F.lit(kind), e))).otherwise(_none())
 
-    return F.when(text.rlike(pattern), F.aggregate(steps, start, step)["out"]) \
-        .otherwise(F.array().cast(SPAN))
+    return F.when(text.rlike(pattern), swept(steps, F.lit(0), step)["out"]).otherwise(_none())
 
 
 def base_spans(text: Column) -> Column:
@@ -155,13 +188,27 @@ def scan(docs: DataFrame, ratios: list[float], text_col: str = "text",
     random = F.transform(words, lambda w: log_ratio(w, ratios) > log_odds)
     more = _located(text, run, 3, random)
 
-    def joined(base: Column) -> Column:
-        clear = F.filter(more, lambda m: ~F.exists(
-            base, lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"])))
-        return F.sort_array(F.concat(base, clear))
+    none = F.lit(None).cast("struct<s:int,k:int,e:int>")
+
+    def step(state: Column, x: Column) -> tuple[Column, Column]:
+        # a run waits until the next span shows that no base span touches it
+        run, end = state["run"], state["end"]
+        is_run = x["k"] == KINDS.index("markov")
+        stays = run.isNotNull() & (is_run | (x["s"] >= run["e"]))
+        return (F.struct(F.when(is_run, end).otherwise(F.greatest(end, x["e"])).alias("end"),
+                         F.when(is_run & (x["s"] >= end), x).alias("run")),
+                F.concat(F.when(stays, F.array(run)).otherwise(_none()),
+                         F.when(is_run, _none()).otherwise(F.array(x))))
+
+    def joined(base: Column, runs: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("end"), none.alias("run"))
+        both = let(swept(F.sort_array(F.concat(base, runs)), begin, step), lambda got: F.concat(
+            got["out"], F.when(got["state"]["run"].isNotNull(), F.array(got["state"]["run"]))
+            .otherwise(_none())))
+        return F.when(F.size(runs) == 0, base).when(F.size(base) == 0, runs).otherwise(both)
 
     return docs.withColumn(base_out, base_spans(text)) \
-        .withColumn(all_out, let(F.col(base_out), joined))
+        .withColumn(all_out, let(more, lambda runs: joined(F.col(base_out), runs)))
 
 
 def spelled(spans: Column) -> Column:
@@ -173,21 +220,34 @@ def spelled(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every stretch that spans cover replaced by ``mark``."""
-    pair = "array<struct<s:int,e:int>>"
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        one = F.array(F.struct(x["s"].alias("s"), x["e"].alias("e")))
-        grown = F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e")))
-        return F.when((F.size(acc) > 0) & (x["s"] < last["e"]),
-                      F.concat(F.slice(acc, 1, F.size(acc) - 1), grown)) \
-            .otherwise(F.concat(acc, one))
-
-    merged = F.aggregate(spans, F.array().cast(pair), step)
-    cuts = F.concat(F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"))), merged)
-    parts = let(cuts, lambda cs: F.transform(cs, lambda x, i: text.substr(
-        x["e"] + 1, F.coalesce(F.get(cs, i + 1)["s"], F.length(text)) - x["e"])))
-    return F.when(F.size(spans) > 0, F.array_join(parts, mark)).otherwise(text)
+    def step(last: Column, x: Column) -> tuple[Column, Column]:
+        apart = x["s"] >= last["e"]  # the first one too: no stretch ends at 0
+        return (_span(F.when(apart, x["s"]).otherwise(last["s"]), F.lit(0),
+                      F.when(apart, x["e"]).otherwise(F.greatest(last["e"], x["e"]))),
+                F.when(apart & (last["e"] > 0), F.array(last)).otherwise(_none()))
+
+    def parts(cuts: Column) -> Column:
+        """The text between the stretches; substr counts from the start of its
+        text, so a block of parts is cut out first."""
+        n = F.size(cuts)
+
+        def left(i: Column) -> Column:
+            return F.coalesce(F.get(cuts, i - 1)["e"], F.lit(0))
+
+        def right(i: Column) -> Column:
+            return F.coalesce(F.get(cuts, i)["s"], F.length(text))
+
+        def block(b: Column) -> Column:
+            first, last = b * BLOCK, F.least(b * BLOCK + BLOCK - 1, n)
+            return let(text.substr(left(first) + 1, right(last) - left(first)),
+                       lambda t: F.transform(F.sequence(first, last), lambda i: t.substr(
+                           left(i) - left(first) + 1, right(i) - left(i))))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.floor(n / BLOCK).cast("int")), block))
+
+    merged = let(swept(spans, _span(F.lit(0), F.lit(0), F.lit(0)), step),
+                 lambda got: F.concat(got["out"], F.array(got["state"])))
+    return F.when(F.size(spans) > 0, F.array_join(let(merged, parts), mark)).otherwise(text)
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> list[float]:

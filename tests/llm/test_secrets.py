@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -89,3 +90,36 @@ def test_odd_input(odd):
         assert [(x.s, x.k, x.e) for x in r.base] == slow_base(r.text)
     empty = odd.limit(0)
     assert secrets.scan(empty, secrets.fit(empty)).count() == 0
+
+
+def test_text_with_many_spans(spark):
+    """Spans of all kinds by the thousand, over block borders, in one text."""
+    rng = random.Random(3)
+    words = []
+    for i in range(20_000):
+        words.append(rng.choice([f"{rng.getrandbits(128):032x}", f"token={rng.getrandbits(90):x}",
+                                 "AKIA" + f"{rng.getrandbits(70):018X}", "plain é words"]))
+        if i % 50 == 0:
+            words.append("Zx8Qp2LmN7vRt4KsW9yB" * 2)
+    text = " ".join(words)
+    ratios = secrets.train(secrets.random_strings(spark))
+    df = spark.createDataFrame([(text,)], "text string")
+    row = secrets.scan(df, ratios, log_odds=-1e9).withColumn(
+        "out", secrets.redacted(F.col("text"), F.col("spans"))).first()
+    base = slow_base(text)
+    assert [(x.s, x.k, x.e) for x in row.base] == base
+    runs, at = [], 0
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        while at < len(base) and base[at][2] <= m.start():
+            at += 1
+        if not any(b[0] < m.end() and m.start() < b[2] for b in base[at:at + 4]):
+            runs.append((m.start(), 3, m.end()))
+    assert len(runs) > 300
+    spans = sorted(base + runs)
+    assert [(x.s, x.k, x.e) for x in row.spans] == spans
+    want, end = [], 0
+    for s, _, e in spans:
+        if s >= end:
+            want += [text[end:s], "[SECRET]"]
+        end = max(end, e)
+    assert row.out == "".join(want) + text[end:]
