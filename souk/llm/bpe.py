@@ -47,16 +47,18 @@ from pyspark.sql import types as T
 from .common import map_columns, text_of
 
 ARC_LIMIT = 20_000     # arcs of long pieces kept before the tables start afresh
-TABLE_BYTES = 40 << 20  # states and arcs of short pieces, estimated, likewise
+TABLE_BYTES = 32 << 20  # states and arcs of short pieces, estimated, likewise
 PAIR_LIMIT = 100_000   # neighbour checks remembered per worker
-SLOTS = 1 << 20        # slots of the tables of neighbour checks, newest kept
+SLOTS = 1 << 19        # slots of the tables of neighbour checks, newest kept
 SHORT = 64             # bytes of a piece that runs together with others
 TOGETHER = 1 << 13     # pieces that run together
 STRETCHES = 50_000     # stretches between blanks that are split at a time
-GROUP = 4 << 20        # bytes of texts whose new pieces are gathered
+GROUP = 2 << 20        # bytes of texts whose new pieces are gathered
 NEVER = 1 << 60
 FEW = 1              # entries below a trie node that are tried one by one
-PIECE_LIMIT = 250_000  # finished pieces in each of two generations per worker
+KEY = 64               # bytes of a string that is remembered
+PROBES = 32            # slots tried for a string
+PIECE_LIMIT = 200_000  # finished pieces in each of two generations per worker
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -386,24 +388,17 @@ class Together:
             keep = np.zeros(len(n), bool)
             keep[at] = True
             add = cells[np.repeat(keep, n)]
-            self.cells = self._room(self.cells, self.used + len(add))
+            self.cells = _room(self.cells, self.used + len(add))
             self.cells[self.used:self.used + len(add)] = add
             end = made + len(new)
             for name in ("at", "count", "label"):
-                setattr(self, name, self._room(getattr(self, name), end))
+                setattr(self, name, _room(getattr(self, name), end))
             self.count[made:end] = n[at]
             self.at[made:end] = self.used + np.cumsum(n[at]) - n[at]
             self.label[made:end] = closed[at]
             self.used += len(add)
         return np.array(out, np.int64)
 
-    @staticmethod
-    def _room(array: np.ndarray, size: int) -> np.ndarray:
-        if size <= len(array):
-            return array
-        return np.concatenate([array, np.zeros(max(size, len(array) * 3 // 2) - len(array),
-                                               np.int64)])
-
     def encode(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece (of one byte or more), as little-endian 32-bit
         numbers; pieces in ascending order share the most."""
@@ -441,28 +436,117 @@ class Together:
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
-class Memory:
-    """What was encoded lately, in two generations of bounded size."""
+class Generation:
+    """Strings of up to KEY bytes and their ids, in arrays: about 60 bytes an
+    entry. A string is found by a 64-bit hash and told by its bytes."""
 
     def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
+        self.limit, self.n = limit, 0
+        self.slots = np.full(1 << max(4, (2 * limit - 1).bit_length()), -1, np.int32)
+        self.hash = np.zeros(16, np.uint64)
+        self.key_at, self.id_at = np.zeros(17, np.int64), np.zeros(17, np.int64)
+        self.keys, self.ids = np.zeros(64, np.uint8), np.zeros(64, np.int32)
+
+    def find(self, hashes: np.ndarray, flat: np.ndarray, start: np.ndarray,
+             size: np.ndarray) -> np.ndarray:
+        """The entry of each string, -1 for those not here."""
+        out, left = np.full(len(hashes), -1, np.int64), np.arange(len(hashes))
+        place = hashes.astype(np.int64) & len(self.slots) - 1
+        for probe in range(PROBES):
+            at = self.slots[place[left] + probe & len(self.slots) - 1]
+            left, at = left[at >= 0], at[at >= 0]
+            same = self.hash[at] == hashes[left]
+            out[left[same]] = at[same]
+            left = left[~same]
+            if not len(left):
+                break
+        hit = np.nonzero(out >= 0)[0]
+        hit = np.delete(hit, np.nonzero(self.key_at[out[hit] + 1] - self.key_at[out[hit]]
+                                        != size[hit])[0])
+        equal = self.keys[_spans(self.key_at[out[hit]], size[hit])] \
+            == flat[_spans(start[hit], size[hit])]
+        true = np.full(len(out), -1, np.int64)
+        if len(hit):
+            hit = hit[np.logical_and.reduceat(equal, np.cumsum(size[hit]) - size[hit])]
+            true[hit] = out[hit]
+        return true
+
+    def add(self, hashes: np.ndarray, keys: np.ndarray, key_size: np.ndarray,
+            ids: np.ndarray, id_size: np.ndarray) -> None:
+        """Append strings that are not here, up to the limit."""
+        m, n = min(len(hashes), self.limit - self.n), self.n
+        hashes, key_size, id_size = hashes[:m], key_size[:m], id_size[:m]
+        key_end = self.key_at[n] + np.cumsum(key_size)
+        id_end = self.id_at[n] + np.cumsum(id_size)
+        for name, at, values in (("hash", n, hashes), ("key_at", n + 1, key_end),
+                                 ("id_at", n + 1, id_end),
+                                 ("keys", int(self.key_at[n]), keys[:key_size.sum()]),
+                                 ("ids", int(self.id_at[n]), ids[:id_size.sum()])):
+            array = _room(getattr(self, name), at + len(values))
+            array[at:at + len(values)] = values
+            setattr(self, name, array)
+        todo, place = np.arange(m), hashes.astype(np.int64) & len(self.slots) - 1
+        for probe in range(PROBES):  # what finds no slot is not remembered
+            slot = place[todo] + probe & len(self.slots) - 1
+            free = np.nonzero(self.slots[slot] < 0)[0]
+            slot, first = np.unique(slot[free], return_index=True)
+            self.slots[slot] = n + todo[free[first]]
+            todo = np.delete(todo, free[first])
+            if not len(todo):
+                break
+        self.n += m
 
-    def put(self, key: str, ids: bytes) -> None:
-        if len(self.new) >= self.limit:  # what was not met again goes first
-            self.old, self.new = self.new, {}
-        if len(key) <= 64:
-            self.new[key] = ids
 
-    def get(self, key: str) -> bytes | None:
-        ids = self.new.get(key)
-        if ids is None:
-            ids = self.old.get(key)
-            if ids is not None:
-                self.put(key, ids)
-        return ids
+class Memory:
+    """What was encoded lately, in two generations of bounded size."""
 
-    def __contains__(self, key: str) -> bool:
-        return key in self.new or key in self.old
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.new, self.old = Generation(limit), Generation(0)
+        self.code = np.random.default_rng(1).integers(0, 1 << 64, (KEY, 256), np.uint64)
+
+    def ids(self, keys: pa.Array, make) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each of some different strings, in a row, and how many
+        each has; ``make`` gives the ids of those not remembered."""
+        raw = keys.cast(pa.large_binary())
+        ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+        flat = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+        start, size = ends[:-1], np.diff(ends)
+        short = np.nonzero((size > 0) & (size <= KEY))[0]
+        start, size = start[short], size[short]
+        depth = _spans(np.zeros(len(short), np.int64), size)
+        code = self.code[depth, flat[_spans(start, size)]]
+        hashes = np.bitwise_xor.reduceat(code, np.cumsum(size) - size) if len(short) \
+            else np.zeros(0, np.uint64)
+        new = self.new.find(hashes, flat, start, size)
+        old = np.full(len(short), -1, np.int64)
+        rest = np.nonzero(new < 0)[0]
+        old[rest] = self.old.find(hashes[rest], flat, start[rest], size[rest])
+        known = np.zeros(len(keys), bool)
+        known[short] = (new >= 0) | (old >= 0)
+        fresh = np.nonzero(~known)[0]
+        made, made_size = _rows(make(keys.take(pa.array(fresh)).to_pylist()))
+
+        parts, sizes, order = [made], [made_size], [fresh]
+        for gen, entry in ((self.new, new), (self.old, old)):
+            hit = np.nonzero(entry >= 0)[0]
+            at = entry[hit]
+            sizes.append(gen.id_at[at + 1] - gen.id_at[at])
+            parts.append(gen.ids[_spans(gen.id_at[at], sizes[-1])])
+            order.append(short[hit])
+        found, length, order = map(np.concatenate, (parts, sizes, order))
+        out, first = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        out[order], first[order] = length, np.cumsum(length) - length
+        found = found[_spans(first, out)]
+
+        put = np.nonzero(new < 0)[0]  # what was not met again goes first
+        if self.new.n + len(put) > self.limit:
+            self.old, self.new = self.new, Generation(self.limit)
+            put = np.arange(len(short))
+        where = short[put]
+        self.new.add(hashes[put], flat[_spans(start[put], size[put])], size[put],
+                     found[_spans((np.cumsum(out) - out)[where], out[where])], out[where])
+        return found, out
 
 
 class Encoder:
@@ -482,42 +566,51 @@ class Encoder:
         self.pieces, self.stretches = Memory(PIECE_LIMIT), Memory(PIECE_LIMIT)
         self.cut = cut
 
-    def plain(self, text: str) -> bytes:
-        return self.joined(self.split(text))
+    def plain(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each whole text."""
+        return self.joined([self.split(t) for t in texts])
+
+    def joined(self, splits: Sequence[list[str]]) -> list[bytes]:
+        """The ids of each list of pieces, some distinct pieces at a time."""
+        out, at = [], 0
+        while at < len(splits):
+            ids, to = {}, at
+            while to < len(splits) and len(ids) < STRETCHES >= len(splits[to]):
+                ids.update(dict.fromkeys(splits[to], b""))
+                to += 1
+            self.learn(ids)
+            out += [b"".join([ids[p] for p in pieces]) for pieces in splits[at:to]]
+            if to < len(splits) and len(splits[to]) > STRETCHES:
+                out.append(b"".join([self.joined([splits[to][k:k + STRETCHES]])[0]
+                                     for k in range(0, len(splits[to]), STRETCHES)]))
+                to += 1
+            at = to
+        return out
 
-    def joined(self, pieces: Sequence[str]) -> bytes:
-        out: list[bytes] = []
+    def learn(self, ids: dict[str, bytes]) -> None:
+        """Fill in the ids of the pieces."""
+        flat, size = self.pieces.ids(pa.array(list(ids), pa.string()), self.made)
+        raw, ends = flat.astype("<i4", copy=False).tobytes(), (4 * np.cumsum(size)).tolist()
+        ids.update(zip(list(ids), [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+
+    def made(self, pieces: Sequence[str]) -> list[bytes]:
+        short = self.short(pieces)
+        out = []
         for piece in pieces:
-            ids = self.pieces.get(piece)
+            ids = short.get(piece)
             if ids is None:
                 got = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
                 ids = struct.pack(f"<{len(got)}i", *got)
-                self.pieces.put(piece, ids)
             out.append(ids)
-        return b"".join(out)
+        return out
 
     def learned(self, parts: Sequence[str]) -> list[bytes]:
         """The ids of different stretches, each with the blank before it."""
-        out: list[bytes] = []
-        for at in range(0, len(parts), STRETCHES):
-            some = parts[at:at + STRETCHES]
-            known = [self.stretches.get(part) for part in some]
-            fresh = [part for part, ids in zip(some, known, strict=True) if ids is None]
-            split = [self.split(" " + part) for part in fresh]
-            alone = self.short([p[0] for p in split if len(p) == 1])
-            inner = {p for pieces in split if len(pieces) > 1 for p in pieces}
-            for piece, ids in self.short([p for p in inner if p not in self.pieces]).items():
-                self.pieces.put(piece, ids)
-            new = iter([(part, alone.get(pieces[0]) if len(pieces) == 1 else None, pieces)
-                        for part, pieces in zip(fresh, split, strict=True)])
-            for ids in known:
-                if ids is None:
-                    part, ids, pieces = next(new)
-                    if ids is None:
-                        ids = self.joined(pieces)
-                    self.stretches.put(part, ids)
-                out.append(ids)
-        return out
+        split = [self.split(" " + part) for part in parts]
+        out = self.made([p[0] for p in split if len(p) == 1])
+        more = self.joined([p for p in split if len(p) != 1])
+        one, many = iter(out), iter(more)
+        return [next(one if len(p) == 1 else many) for p in split]
 
     def short(self, pieces: Sequence[str]) -> dict[str, bytes]:
         """The ids of those of ``pieces`` that are short and no entries."""
@@ -543,7 +636,7 @@ class Encoder:
             to = max(at + 1, int(np.searchsorted(ends, done + GROUP, side="right")))
             group = texts.slice(at, to - at)
             parts.append(self._cut(group) if self.cut else
-                         _rows([self.plain(t) for t in group.to_pylist()]))
+                         _rows(self.plain(group.to_pylist())))
             at = to
         if not parts:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -552,19 +645,22 @@ class Encoder:
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.split_pattern(texts, " ")
         words = split.flatten().dictionary_encode()
-        which, keys = words.indices.to_numpy(), words.dictionary.to_pylist()
+        which, keys = words.indices.to_numpy(), words.dictionary
         n = np.diff(split.offsets.to_numpy())
         first = np.cumsum(n) - n
         # a text with a run of white space before a blank is not cut
-        blank = np.array([not k or k[-1].isspace() for k in keys])
+        blank = _ends_blank(keys)
         whole = np.logical_or.reduceat(blank[which], first)
         use = np.repeat(~whole, n)
         use[first] = False
         need = np.unique(which[use])
-        entries = self.learned([keys[k] for k in need.tolist()])
-        lone = [self.plain(texts[k].as_py() if w else keys[which[f]])
-                for k, (w, f) in enumerate(zip(whole.tolist(), first.tolist(), strict=True))]
-        flat, size = _rows(entries + lone)
+        got = [self.stretches.ids(keys.take(pa.array(need[at:at + STRETCHES])), self.learned)
+               for at in range(0, len(need), STRETCHES)]
+        lone = keys.take(pa.array(which[first])).to_pylist()
+        for k in np.nonzero(whole)[0].tolist():
+            lone[k] = texts[k].as_py()
+        got.append(_rows(self.plain(lone)))
+        flat, size = map(np.concatenate, zip(*got, strict=True))
         entry = np.zeros(len(keys), np.int64)
         entry[need] = np.arange(len(need))
         place = entry[which]
@@ -572,13 +668,35 @@ class Encoder:
         use[first] = True
         place, text = place[use], np.repeat(np.arange(len(n)), n)[use]
         long, start = size[place], (np.cumsum(size) - size)[place]
-        take = np.repeat(start - np.cumsum(long) + long, long) + np.arange(long.sum())
-        return flat[take], np.bincount(text, long, len(n)).astype(np.int64)
+        return flat[_spans(start, long)], np.bincount(text, long, len(n)).astype(np.int64)
 
     def encode(self, text: str) -> list[int]:
         return self.many(pa.array([text], pa.string()))[0].tolist()
 
 
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each span, one span after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """``array``, grown by half where it has less than ``size`` places."""
+    if size <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(size, len(array) * 3 // 2) - len(array),
+                                           array.dtype)])
+
+
+def _ends_blank(keys: pa.Array) -> np.ndarray:
+    """Whether each string is empty or ends in white space."""
+    out = pc.equal(pc.binary_length(keys), 0).to_numpy(zero_copy_only=False).copy()
+    last = pc.utf8_slice_codeunits(keys, start=-1).dictionary_encode()
+    blank = np.array([c.isspace() for c in last.dictionary.to_pylist()], bool)
+    if len(blank):
+        out |= blank[last.indices.to_numpy()]
+    return out
+
+
 def _rows(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(b"".join(ids), "<i4"),
             np.array([len(i) // 4 for i in ids], np.int64))
