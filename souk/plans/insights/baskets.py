@@ -11,43 +11,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ...operators.joins import bounded_broadcast
 from ...operators.ranks import ranked
 from ...operators.topk import top_k_per_group
 from ...session import ensure_checkpoint_dir
 from .common import order_categories
 
+SMALL = 32           # an order of as many products makes all its pairs
 TILE = 1024          # products of an order that meet the others at a time
 LOT = 200_000        # candidate sets that are counted in one pass
 LEAST_LOCAL = 64     # a set's least count within a block that makes it a candidate
 
 
+def _known(order_items: DataFrame, item: str) -> DataFrame:
+    """(order_id, item) of every row where both are known."""
+    return (order_items.select("order_id", F.col(item).alias("item"))
+            .filter(F.col("order_id").isNotNull() & F.col("item").isNotNull()))
+
+
 def _bought(order_items: DataFrame, item: str) -> DataFrame:
     """Distinct (order_id, item), both known; copies go on the map side."""
-    return (order_items.select("order_id", F.col(item).alias("item"))
-            .filter(F.col("order_id").isNotNull() & F.col("item").isNotNull()).distinct())
+    return _known(order_items, item).distinct()
 
 
 # ------------------------------------------------------------- item to item ----
+def _by_size(rows: DataFrame, fits: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct (order_id, item) of the orders of at most ``fits`` products, dealt by
+    order, and (order_id, item, size) of the larger ones.
+
+    An order of few rows has few products, so only orders of many rows are
+    measured. Copies within those go before the shuffle by order: no order brings
+    more than ``fits`` rows to it.
+    """
+    listed = bounded_broadcast(
+        rows.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
+        .filter(F.col("lines") > fits).select("order_id").checkpoint())
+    long = rows.join(listed, "order_id", "left_semi").distinct()
+    sizes = long.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
+    sized = long.join(sizes, "order_id").checkpoint()
+    small = (rows.join(listed, "order_id", "left_anti")
+             .unionByName(sized.filter(F.col("size") <= fits).drop("size")))
+    return small.repartition("order_id").distinct(), sized.filter(F.col("size") > fits)
+
+
 def _pairs(early: DataFrame, tile: int) -> DataFrame:
-    """(a, b, n_a, n_b, shared) of the products that meet in the orders of
-    ``early``. An order of more than ``tile`` products is cut into tiles, and each
+    """(a, b), a < b, of the products that meet in the orders of ``early``, once an
+    order. An order of more than ``tile`` products is cut into tiles, and each
     pair of tiles is a join key of its own."""
     tiles = F.ceil(F.col("size") / tile)
     mine = F.pmod(F.xxhash64("item"), tiles)
-    rows = early.select("order_id", "item", "n", tiles.alias("tiles"), mine.alias("tile"))
+    rows = early.select("order_id", "item", tiles.alias("tiles"), mine.alias("tile"))
     first = rows.select("order_id", F.col("tile").alias("lo"), F.col("item").alias("x"),
-                        F.col("n").alias("n_x"),
                         F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("hi"))
     second = rows.select("order_id", F.col("tile").alias("hi"), F.col("item").alias("y"),
-                         F.col("n").alias("n_y"),
                          F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("lo"))
-    met = first.join(second, ["order_id", "lo", "hi"]) \
+    # few bytes make many pairs: a number of tasks is given, or they would be merged
+    keys = ["order_id", "lo", "hi"]
+    parts = int(early.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = first.repartition(parts, *keys).join(second.repartition(parts, *keys), keys) \
         .filter((F.col("lo") < F.col("hi")) | (F.col("x") < F.col("y")))
-    low = F.col("x") < F.col("y")
-    return (met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-                        F.when(low, F.col("n_x")).otherwise(F.col("n_y")).alias("n_a"),
-                        F.when(low, F.col("n_y")).otherwise(F.col("n_x")).alias("n_b"))
-            .agg(F.count(F.lit(1)).alias("shared")))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def similar_products(order_items: DataFrame, top: int = 3, min_orders: int = 2,
@@ -58,23 +81,30 @@ def similar_products(order_items: DataFrame, top: int = 3, min_orders: int = 2,
     ``min_orders`` orders in common, or less similar than ``min_similarity``,
     do not count.
 
-    Counting all pairs of every order would let one huge order decide the cost.
-    Orders are ranked by size instead, and a product's largest ones are left
-    aside: as many as a partner may lack in the rest and still have enough in
-    common. Two products similar enough meet in the smaller orders of both
-    (prefix filter), so only those make pairs; a bound on the similarity (all
-    orders left aside in common) drops more, and the rest are looked up in the
-    orders left aside. With ``min_orders`` 2 no pair comes from the largest
-    order at all, and products that only it has make none.
+    Orders of at most ``SMALL`` products make all their pairs, which are at most
+    half of ``SMALL`` for each row. Pairs too rare are dropped as they are
+    counted, before they meet anything else.
+
+    Counting all pairs of a larger order would let one huge order decide the cost.
+    These are ranked by size, and a product's largest ones are left aside: as many
+    as a partner may lack in the rest and still have enough in common. Two
+    products similar enough meet in the smaller orders of both (prefix filter), so
+    only those make pairs; a bound on the similarity (all orders left aside in
+    common) drops more, and the rest are looked up in the orders left aside. With
+    ``min_orders`` 2 no pair comes from a huge order that is the largest one of
+    all its products, and products that only it has make none.
 
     The rank of an order in its product's list is exact (``operators/ranks``),
     so a product of a third of all orders is many tasks, and so is an order of a
     third of all items (tiles).
     """
     ensure_checkpoint_dir(order_items.sparkSession)
-    bought = _bought(order_items, "product_id")
-    sizes = bought.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
-    placed = ranked(bought.join(sizes, "order_id"), "item", ["size", "order_id"], "rank", "n")
+    small, large = _by_size(_known(order_items, "product_id"), min(SMALL, tile))
+    met = (small.select("order_id", F.col("item").alias("a"))
+           .join(small.select("order_id", F.col("item").alias("b")), "order_id")
+           .filter(F.col("a") < F.col("b")).select("a", "b"))
+    one = F.count(F.lit(1))
+    per = small.groupBy("item").agg(one.alias("n"))
     # n_b is at least t^2 * n_a, or the cosine could not reach t; then the common
     # orders are at least t^2 * n_a as well
 
@@ -84,27 +114,57 @@ def similar_products(order_items: DataFrame, top: int = 3, min_orders: int = 2,
         least = F.ceil(F.col(n) * min_similarity * min_similarity - 1e-9)
         return F.greatest(F.lit(min_orders), F.lit(1), least)
 
-    member = placed.select("item", "order_id", "size", "n",
-                           (F.col("rank") <= F.col("n") - need("n")).alias("early")).checkpoint()
+    huge = not large.isEmpty()
+    if huge:
+        per = per.unionByName(large.groupBy("item").agg(one.alias("n"))) \
+            .groupBy("item").agg(F.sum("n").alias("n")).checkpoint()
+        # small orders come first in a product's list, so the ranks of the large
+        # ones count from its end
+        placed = ranked(large.join(per, "item"), "item", ["size", "order_id"], "rank", "larger")
+        member = placed.select("item", "order_id", "size", (
+            F.col("rank") <= F.col("larger") - need("n")).alias("early")).checkpoint()
+        met = met.unionByName(_pairs(member.filter("early"), tile))
+
+    found = met.groupBy("a", "b").agg(one.alias("shared"))
     root = F.sqrt(F.col("n_a") * F.col("n_b"))
 
-    bound = F.least("n_a", "n_b", F.col("shared") + need("n_a") + need("n_b") - 2)
-    found = _pairs(member.filter("early"), tile) \
-        .filter((bound >= min_orders) & (bound / root >= min_similarity - 1e-9)).checkpoint()
-    late, pair = member.filter(~F.col("early")), found.select("a", "b")
-
-    def looked_up(own: str, other: str, members: DataFrame) -> DataFrame:
-        """Orders left aside by one side of a pair that the other one is in."""
-        aside = pair.join(late.select(F.col("item").alias(own), "order_id"), own)
-        return aside.join(members.select(F.col("item").alias(other), "order_id"),
-                          [other, "order_id"]).select("a", "b")
-
-    more = looked_up("a", "b", member).unionByName(looked_up("b", "a", member.filter("early"))) \
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("more"))
-    together = F.col("shared") + F.coalesce("more", F.lit(0))
-    pairs = (found.join(more, ["a", "b"], "left")
-             .select("a", "b", together.alias("orders"), (together / root).alias("cosine"))
-             .filter((F.col("orders") >= min_orders) & (F.col("cosine") >= min_similarity)))
+    def with_orders(pairs: DataFrame) -> DataFrame:
+        """The orders of each side, n_a and n_b."""
+        for side in ("a", "b"):
+            pairs = pairs.join(per.select(F.col("item").alias(side), F.col("n").alias(f"n_{side}")),
+                               side)
+        return pairs
+
+    if not huge:
+        pairs = with_orders(found.filter(F.col("shared") >= min_orders)) \
+            .select("a", "b", "n_a", "n_b", F.col("shared").alias("orders"))
+    else:
+        late = bounded_broadcast(member.filter(~F.col("early")).select("item", "order_id"))
+        aside = bounded_broadcast(late.groupBy("item").agg(one.alias("aside")))
+        for side in ("a", "b"):
+            found = found.join(aside.select(F.col("item").alias(side),
+                                            F.col("aside").alias(f"aside_{side}")), side, "left")
+        most = F.col("shared") + F.coalesce("aside_a", F.lit(0)) + F.coalesce("aside_b", F.lit(0))
+        bound = F.least("n_a", "n_b", most)
+        found = with_orders(found.filter(most >= min_orders)) \
+            .filter((bound >= min_orders) & (bound / root >= min_similarity - 1e-9)).checkpoint()
+        pair = found.select("a", "b")
+
+        def looked_up(own: str, other: str, members: DataFrame) -> DataFrame:
+            """Orders left aside by one side of a pair that the other one is in."""
+            left = pair.join(late.select(F.col("item").alias(own), "order_id"), own)
+            return left.join(members.select(F.col("item").alias(other), "order_id"),
+                             [other, "order_id"]).select("a", "b")
+
+        more = looked_up("a", "b", member) \
+            .unionByName(looked_up("b", "a", member.filter("early"))) \
+            .groupBy("a", "b").agg(one.alias("more"))
+        pairs = found.join(more, ["a", "b"], "left").select(
+            "a", "b", "n_a", "n_b",
+            (F.col("shared") + F.coalesce("more", F.lit(0))).alias("orders"))
+
+    pairs = pairs.withColumn("cosine", F.col("orders") / root) \
+        .filter((F.col("orders") >= min_orders) & (F.col("cosine") >= min_similarity))
     both = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("product_id"), F.col("b").alias("similar_id"), "orders", "cosine"),
         F.struct(F.col("b").alias("product_id"), F.col("a").alias("similar_id"), "orders", "cosine")

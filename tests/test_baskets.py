@@ -82,6 +82,44 @@ def test_a_huge_order_is_dealt_in_tiles(spark):
         similar(rows, 1, 1, 0.0)
 
 
+def test_pairs_of_large_orders_are_many_tasks(spark):
+    """Their rows are few bytes, but they are not merged into one task."""
+    rows = spark.createDataFrame([(o, p, 40) for o in range(9) for p in range(40)],
+                                 "order_id long, item long, size long")
+    met = BK._pairs(rows, 8)
+    assert met.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert met.groupBy("a", "b").count().filter("count = 9 and a < b").count() == 40 * 39 // 2
+
+
+def test_small_orders_are_counted_in_one_pass(spark, monkeypatch):
+    """No row of theirs is ranked or set down, no pair looked up again."""
+    rows = random_rows(3)
+    df, kept = frame(spark, rows), []
+    whole = type(df).checkpoint
+
+    def checkpoint(self, *args):
+        kept.append(whole(self, *args))
+        return kept[-1]
+    monkeypatch.setattr(type(df), "checkpoint", checkpoint)
+    got = BK.similar_products(df, 4).collect()
+    assert {(r.product_id, r["rank"]): (r.similar_id, r.orders, r.similarity) for r in got} == \
+        similar(rows, 4, 2, 0.0)
+    assert sum(k.count() for k in kept) == 0
+
+
+@pytest.mark.parametrize("least,t", [(1, 0.0), (2, 0.0), (3, 0.4)])
+def test_orders_around_the_size_of_small_ones(spark, least, t):
+    """Small, large and just at the limit, some with every product many times."""
+    rnd = random.Random(least)
+    sizes = [BK.SMALL + k for k in (-1, 0, 1, 2)] * 3 + [rnd.randint(1, 6) for _ in range(60)]
+    rows = [(o, p) for o, n in enumerate(sizes) for p in rnd.sample(range(70), n)]
+    rows += [(1000, p % 5) for p in range(100)] + [(0, 3)] * 40
+    rows += [(1001, p) for p in range(200)] + [(1002, p) for p in range(50, 250)]
+    got = BK.similar_products(frame(spark, rows), 4, least, t, 64).collect()
+    assert {(r.product_id, r["rank"]): (r.similar_id, r.orders, r.similarity) for r in got} == \
+        similar(rows, 4, least, t)
+
+
 def test_similar_products_of_nothing(spark):
     assert BK.similar_products(frame(spark, [(1, 2)]).limit(0)).count() == 0
     assert BK.similar_products(frame(spark, [(1, 2), (2, 3)])).count() == 0
